@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from airshed.functions.calendar import as_of_col
 from airshed.operators.gold import daily_gold
+from airshed.sources.layers_io import write_partitions
 
 MARK_SCHEMA = T.StructType([
     T.StructField("pipeline_name", T.StringType(), False),
@@ -68,10 +69,4 @@ def refresh_gold_dates(spark: SparkSession, silver: DataFrame, touched: DataFram
     without any streaming state.
     """
     part = daily_gold(silver.join(touched.select("date").distinct(), "date", "left_semi"))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (part.write.mode("overwrite").option("compression", "snappy")
-         .partitionBy("date").parquet(gold_path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    write_partitions(part, gold_path, ["date"])

@@ -14,10 +14,11 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
     The emptiness test is ``isEmpty()`` - a one-row job, not a count.
     """
     try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.parquet(path)
+        df = spark.read.parquet(path)
         if not df.columns:
             raise ValueError(f"layer has no columns: {path}")
+        if schema is not None:
+            df = spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if _is_missing_path(e):
             raise FileNotFoundError(f"input not found: {path}") from e
@@ -43,6 +44,18 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition
+    overwrite): idempotent reruns of one day or one micro-batch."""
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_layer(df, path, partition_by=partition_by)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def register_view(df: DataFrame, name: str = "gold_weather") -> DataFrame:
     """Expose a layer to SQL under the name the reports' SQL text uses."""
     df.createOrReplaceTempView(name)
