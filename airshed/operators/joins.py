@@ -1,0 +1,28 @@
+"""Join helpers: broadcast only a side that was measured small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side is shipped whole to every executor: keep it to a size an
+# executor holds comfortably (rows x a few dozen bytes).
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows, by a bounded count
+    (``limit(max_rows + 1)``) that stops reading once the bound is passed."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave
+    the join to the planner (sort-merge, with AQE skew splitting).
+
+    The check is a bounded count (``limit(max_rows + 1)``): it stops reading
+    as soon as the bound is exceeded, so a large side costs one partial scan,
+    never a full one. Only a row count reaches the driver.
+    """
+    return F.broadcast(df) if is_small(df, max_rows) else df
+

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import labels as L
+from airshed.operators.joins import is_small
 from airshed.sources.tables import read_table
 
 
@@ -20,17 +21,22 @@ def supplier_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     nation (25 rows) and region (5 rows) are fixed-size dimensions; their scans
     report a few KB to the planner, which broadcasts them on its own size check.
-    supplier grows with the data (10k rows per TPC-H scale unit), so no hint is
-    given: AQE broadcasts it only after measuring it below the threshold and
-    falls back to a sort-merge join otherwise.
+    supplier grows with the data (10k rows per TPC-H scale unit): the result
+    (at most one row per supplier) is marked for broadcast only after a
+    bounded row count of supplier says it is small; otherwise the planner
+    shuffles both sides of the lineitem join on the key (sort-merge join, AQE
+    splitting skewed keys). Without this explicit choice the static estimate
+    of the pruned lineitem scan can fall under the broadcast threshold, and
+    the big side would be broadcast.
     """
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
-    return supplier.join(geo, supplier.s_nationkey == geo.n_nationkey).select(
+    out = supplier.join(geo, supplier.s_nationkey == geo.n_nationkey).select(
         "s_suppkey", "n_nationkey", "n_name", "r_name")
+    return F.broadcast(out) if is_small(supplier) else out
 
 
 def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +49,7 @@ def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("l_quantity")
     return j.select(
         F.when(k % 101 == 0, F.lit("invalid-date"))
-         .otherwise(F.substring(F.col("l_shipdate").cast("string"), 1, 10)).alias("date"),
+         .otherwise(F.col("l_shipdate").cast("date").cast("string")).alias("date"),
         F.col("n_name").alias("location"),
         F.when(k % 97 == 0, F.lit(999.0))
          .otherwise(((F.col("n_nationkey") * 7) % 180 - 90).cast("double")).alias("latitude"),

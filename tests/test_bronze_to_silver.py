@@ -107,6 +107,7 @@ def test_bronze_to_silver_data_integrity(spark, sample_bronze_parquet, tmp_data_
 @pytest.mark.parametrize("text,ok", [
     ("2024-01-05", True), ("2024-1-5", True), ("2024-01-05 10:00:00", False),
     ("2024-02-30", False), ("20240105", False), (" 2024-01-05", False), ("invalid-date", False),
+    ("0000-01-01", False),
 ])
 def test_date_format_rules(spark, text, ok):
     row = ("x",) + RAW_ROWS[0][1:]
@@ -114,6 +115,26 @@ def test_date_format_rules(spark, text, ok):
     assert clean.to_silver(df).count() == (1 if ok else 0)
 
 
+def test_fast_date_parse_equals_pattern_parse(spark):
+    texts = ["2024-01-05", "2024-1-5", "2024-12-31", "1999-2-28", "2024-02-29", "2023-02-29",
+             "2024-02-30", "2024-13-01", "2024-00-10", "2024-01-00", "2024-1-32", "2024-01-05 10:00:00",
+             "2024-01-05T10:00", "20240105", "2024/01/05", " 2024-01-05", "2024-01-05 ", "2024-01",
+             "2024", "24-01-05", "02024-01-05", "+2024-01-05", "-2024-01-05", "2024-001-05",
+             "2024-01-005", "abcd-ef-gh", "", "invalid-date", "9999-12-31", "1000-01-01", "0001-01-01",
+             "0000-01-01"]
+    df = spark.createDataFrame([(t,) for t in texts], "date string")
+    out = df.select("date", clean.parse_date("date").cast("string").alias("fast"),
+                    F.try_to_date("date", clean.DATE_FORMAT).cast("string").alias("pattern")).collect()
+    # the pattern parser also takes a signed year, year 0 and three-digit
+    # months or days; the reference's '%Y-%m-%d' takes none of them
+    lax = {"-2024-01-05", "2024-001-05", "2024-01-005", "0000-01-01"}
+    for r in out:
+        if r.date in lax:
+            assert r.fast is None
+        else:
+            assert r.fast == r.pattern, r
+
+
 def test_nan_rejected_infinity_kept(spark):
     rows = [RAW_ROWS[0][:7] + (float("nan"),) + RAW_ROWS[0][8:],
             RAW_ROWS[0][:7] + (float("inf"),) + RAW_ROWS[0][8:]]
