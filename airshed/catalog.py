@@ -1,8 +1,11 @@
 """The registered queries: every report and operator over the driver tables.
 
-Each entry is ``(spark, sf_dir) -> DataFrame`` and runs over the whole tables:
-lineitem -> raw measurements -> Silver -> Gold -> report. The report date is
-the latest date in Gold, as a scalar subquery.
+Each entry is ``(spark, sf_dir) -> DataFrame`` and runs over the whole tables.
+As in the reference's layered design, the layers are materialised once per
+session - lineitem -> raw measurements (Bronze) -> Silver -> Gold, each written
+as Parquet in the shared checkpoint folder - and every operator reads the
+layer it consumes: cleaning and quarantine read Bronze, the daily aggregate
+reads Silver, the reports read Gold. The report date is the latest Gold date.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,23 +39,47 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_gold(silver(spark, sf_dir))
 
 
-_GOLD_TABLES: dict[tuple[str, str], str] = {}
+@dataclass(frozen=True)
+class LayerTables:
+    bronze: str
+    silver: str
+    gold: str
 
 
-def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold computed from the driver tables once per session and written as a
-    Parquet table in the shared checkpoint folder, sorted by date, location,
-    pollutant and zone - the layer the reports read, as in the reference
-    (Gold file + external table). The date order gives every row group tight
-    min/max statistics, so a report's last-N-days filter skips old row groups.
+_LAYERS: dict[tuple[str, str], LayerTables] = {}
+
+
+def layer_tables(spark: SparkSession, sf_dir: str) -> LayerTables:
+    """Write Bronze, Silver and Gold for ``sf_dir`` once per session.
+
+    Each layer is written from the one below, read back (the written table
+    is the lineage cut: a lost executor recomputes nothing upstream of it).
+    Gold is sorted by date, location, pollutant and zone, which gives each
+    row group tight date statistics: a report's last-N-days filter skips
+    the older row groups.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _GOLD_TABLES.get(key)
-    if path is None:
-        path = scratch_path(spark, f"gold-{uuid.uuid4().hex[:12]}")
-        write_layer(sorted_gold(gold(spark, sf_dir)), path)
-        _GOLD_TABLES[key] = path
-    return spark.read.parquet(path)
+    t = _LAYERS.get(key)
+    if t is None:
+        root = scratch_path(spark, f"layers-{uuid.uuid4().hex[:12]}")
+        t = LayerTables(*(os.path.join(root, n) for n in ("bronze", "silver", "gold")))
+        write_layer(raw(spark, sf_dir), t.bronze)
+        write_layer(clean.to_silver(spark.read.parquet(t.bronze)), t.silver)
+        write_layer(sorted_gold(daily_gold(spark.read.parquet(t.silver))), t.gold)
+        _LAYERS[key] = t
+    return t
+
+
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(layer_tables(spark, sf_dir).bronze)
+
+
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(layer_tables(spark, sf_dir).silver)
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(layer_tables(spark, sf_dir).gold)
 
 
 def report_date(g: DataFrame):
@@ -84,19 +112,27 @@ def _runs(fn, **kw):
     return run
 
 
+def _gold_daily(spark, sf_dir):
+    return daily_gold(silver_table(spark, sf_dir))
+
+
+def _clean_rows(spark, sf_dir):
+    return clean.to_silver(bronze_table(spark, sf_dir))
+
+
 def _reject_counts(spark, sf_dir):
-    return clean.reject_counts(raw(spark, sf_dir))
+    return clean.reject_counts(bronze_table(spark, sf_dir))
 
 
 def _quarantine_rows(spark, sf_dir):
-    q = clean.to_quarantine(raw(spark, sf_dir))
+    q = clean.to_quarantine(bronze_table(spark, sf_dir))
     return q.withColumn(clean.REJECT_REASONS, F.array_join(clean.REJECT_REASONS, ","))
 
 
 def _layer_reconciliation(spark, sf_dir):
-    r = raw(spark, sf_dir)
-    s = clean.to_silver(r)
-    return checks.reconcile(r, s, clean.to_quarantine(r), daily_gold(s))
+    b = bronze_table(spark, sf_dir)
+    return checks.reconcile(b, silver_table(spark, sf_dir), clean.to_quarantine(b),
+                            gold_table(spark, sf_dir))
 
 
 def _aggregate_violations(spark, sf_dir):
@@ -104,12 +140,12 @@ def _aggregate_violations(spark, sf_dir):
 
 
 def _dedupe(spark, sf_dir):
-    return silver(spark, sf_dir).dropDuplicates()
+    return silver_table(spark, sf_dir).dropDuplicates()
 
 
 def _silver_retention(spark, sf_dir):
     from airshed.sources.incremental import retention_split
-    s = silver(spark, sf_dir)
+    s = silver_table(spark, sf_dir)
     keep, _ = retention_split(s, days=365, as_of=s.agg(F.max("date")).scalar())
     return keep
 
@@ -164,8 +200,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "circuit_breaker": _runs(runmon.circuit_breaker),
     "failure_windows": _runs(runmon.failure_windows),
     # layers and data-quality operators
-    "gold_daily": gold,
-    "clean_rows": silver,
+    "gold_daily": _gold_daily,
+    "clean_rows": _clean_rows,
     "reject_counts": _reject_counts,
     "quarantine_rows": _quarantine_rows,
     "layer_reconciliation": _layer_reconciliation,
