@@ -48,7 +48,7 @@ def location_coverage(gold: DataFrame) -> DataFrame:
     )
 
 
-def missing_series_days(gold: DataFrame, as_of=None) -> DataFrame:
+def missing_series_days(gold: DataFrame, as_of=None, bounds: tuple | None = None) -> DataFrame:
     """(date, location, pollutant) combinations absent from Gold, where the
     dates are those observed anywhere and the series those observed anywhere.
 
@@ -58,11 +58,18 @@ def missing_series_days(gold: DataFrame, as_of=None) -> DataFrame:
     first / last date - is expanded into its calendar days, and an equi-join
     with the distinct observed dates keeps the days that count. Work is
     proportional to the holes, i.e. to the answer, not to dates x series.
+
+    ``bounds`` = (first, last) observed date; when absent it is computed with
+    one global min/max aggregate (two values reach the driver) and used as
+    literals.
     """
-    series_days = gold.select("date", "location", "pollutant_type").distinct()
+    # one shuffle by series serves both the distinct and the window
+    series_days = (gold.select("date", "location", "pollutant_type")
+                   .repartition("location", "pollutant_type").distinct())
     dates = gold.select("date").distinct()
-    bounds = gold.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    if bounds is None:
+        bounds = tuple(gold.agg(F.min("date"), F.max("date")).first())
+    lo, hi = F.lit(bounds[0]).cast("date"), F.lit(bounds[1]).cast("date")
 
     w = Window.partitionBy("location", "pollutant_type").orderBy("date")
     prev = F.lag("date").over(w)
