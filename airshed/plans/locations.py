@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from airshed.functions import labels as L
 from airshed.functions.bands import DEFAULT_LIMITS, Limits, location_grade
 from airshed.functions.numeric import r2
+from airshed.operators.quantiles import exact_percentiles
 from airshed.plans.common import window_days
 
 
@@ -36,23 +37,34 @@ def location_ranking(gold: DataFrame, as_of=None, k: int = 5, days: int = 30) ->
     return ranked(L.CLEANEST, F.asc("_mean")).unionByName(ranked(L.DIRTIEST, F.desc("_mean")))
 
 
-def zone_comparison(gold: DataFrame, as_of=None, days: int = 90, approx: bool = False) -> DataFrame:
+def zone_comparison(gold: DataFrame, as_of=None, days: int = 90,
+                    method: str = "distributed") -> DataFrame:
     """Per zone and pollutant: locations, days, mean, min, max, stdev, median.
 
-    The exact median keeps a value -> count map per group (partial on the map
-    side, merged per group); ``approx=True`` switches to a bounded-memory sketch.
+    A zone may hold a large share of all locations, so by default the exact
+    median is computed without gathering a group in one task
+    (``operators.quantiles.exact_percentiles``). ``method="merged"`` uses the
+    single exact aggregate (one value -> count map per group, fine for small
+    groups); ``method="approx"`` a bounded-memory sketch.
     """
-    med = (F.percentile_approx("avg_value", 0.5, 10000) if approx
-           else F.percentile("avg_value", 0.5))
-    return window_days(gold, as_of, days).groupBy("zone", "pollutant_type").agg(
+    keys = ["zone", "pollutant_type"]
+    g = window_days(gold, as_of, days)
+    aggs = [
         F.count_distinct("location").alias("locations_in_zone"),
         F.count_distinct("date").alias("days_of_data"),
         r2(F.avg("avg_value")).alias("avg_level"),
         r2(F.min("min_value")).alias("min_level"),
         r2(F.max("max_value")).alias("max_level"),
         r2(F.stddev_samp("avg_value")).alias("volatility"),
-        r2(med).alias("median"),
-    )
+    ]
+    if method == "merged":
+        return g.groupBy(*keys).agg(*aggs, r2(F.percentile("avg_value", 0.5)).alias("median"))
+    if method == "approx":
+        return g.groupBy(*keys).agg(
+            *aggs, r2(F.percentile_approx("avg_value", 0.5, 10000)).alias("median"))
+    med = exact_percentiles(g, keys, "avg_value", [0.5], out="_p")
+    return (g.groupBy(*keys).agg(*aggs)
+            .join(med.select(*keys, r2(F.col("_p")[0]).alias("median")), keys, "left"))
 
 
 def location_scorecard(gold: DataFrame, as_of=None, limits: Limits = DEFAULT_LIMITS,

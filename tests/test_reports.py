@@ -254,3 +254,10 @@ def test_rounding_is_half_up_on_decimal(spark):
     r = [g(1, "A", "NO2", "z", 1.005), g(1, "A", "PM2.5", "z", 2.675)]
     out = rows(levels.current_levels(spark.createDataFrame(r, GOLD_SCHEMA)), "pollutant_type", "avg_level")
     assert out == [("NO2", 1.01), ("PM2.5", 2.68)]
+
+
+def test_zone_comparison_methods_agree(gold):
+    cols = ["zone", "pollutant_type", "median", "volatility", "locations_in_zone"]
+    a = rows(locations.zone_comparison(gold, as_of=AS_OF), *cols)
+    b = rows(locations.zone_comparison(gold, as_of=AS_OF, method="merged"), *cols)
+    assert a == b
