@@ -70,16 +70,29 @@ def layer_tables(spark: SparkSession, sf_dir: str) -> LayerTables:
     return t
 
 
+_SCANS: dict[str, DataFrame] = {}
+_REPORT_DATES: dict[str, object] = {}
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """The session's layer tables are written once and never changed, so each
+    scan (file listing, footer schema) is resolved once and reused."""
+    df = _SCANS.get(path)
+    if df is None:
+        df = _SCANS[path] = spark.read.parquet(path)
+    return df
+
+
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(layer_tables(spark, sf_dir).bronze)
+    return _scan(spark, layer_tables(spark, sf_dir).bronze)
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(layer_tables(spark, sf_dir).silver)
+    return _scan(spark, layer_tables(spark, sf_dir).silver)
 
 
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(layer_tables(spark, sf_dir).gold)
+    return _scan(spark, layer_tables(spark, sf_dir).gold)
 
 
 def report_date(g: DataFrame):
@@ -89,11 +102,18 @@ def report_date(g: DataFrame):
     return g.agg(F.max("date")).first()[0]
 
 
+def gold_report_date(spark: SparkSession, sf_dir: str):
+    """Latest date of the session's Gold table (computed once per table)."""
+    path = layer_tables(spark, sf_dir).gold
+    if path not in _REPORT_DATES:
+        _REPORT_DATES[path] = report_date(gold_table(spark, sf_dir))
+    return _REPORT_DATES[path]
+
+
 def _report(fn, **kw):
     """Wrap a report that takes (gold, as_of=...) with as_of = max(date)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        g = gold_table(spark, sf_dir)
-        return fn(g, as_of=report_date(g), **kw)
+        return fn(gold_table(spark, sf_dir), as_of=gold_report_date(spark, sf_dir), **kw)
     run.__name__ = fn.__name__
     return run
 

@@ -37,18 +37,27 @@ def location_ranking(gold: DataFrame, as_of=None, k: int = 5, days: int = 30) ->
     return ranked(L.CLEANEST, F.asc("_mean")).unionByName(ranked(L.DIRTIEST, F.desc("_mean")))
 
 
+# Largest group (rows) for which one task may merge the exact value -> count map.
+MERGED_PERCENTILE_MAX_ROWS = 1_000_000
+
+
 def zone_comparison(gold: DataFrame, as_of=None, days: int = 90,
-                    method: str = "distributed") -> DataFrame:
+                    method: str = "auto") -> DataFrame:
     """Per zone and pollutant: locations, days, mean, min, max, stdev, median.
 
-    A zone may hold a large share of all locations, so by default the exact
-    median is computed without gathering a group in one task
-    (``operators.quantiles.exact_percentiles``). ``method="merged"`` uses the
-    single exact aggregate (one value -> count map per group, fine for small
-    groups); ``method="approx"`` a bounded-memory sketch.
+    The median is exact in both main forms. ``method="merged"`` is the single
+    exact aggregate (one value -> count map per group, merged in one task);
+    ``method="distributed"`` never gathers a group in one task
+    (``operators.quantiles.exact_percentiles``), for zones holding a large share
+    of all rows. ``"auto"`` (default) measures the largest group with one
+    aggregate and takes the merged form only below
+    ``MERGED_PERCENTILE_MAX_ROWS``. ``method="approx"`` is a bounded sketch.
     """
     keys = ["zone", "pollutant_type"]
     g = window_days(gold, as_of, days)
+    if method == "auto":
+        largest = g.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        method = "merged" if largest <= MERGED_PERCENTILE_MAX_ROWS else "distributed"
     aggs = [
         F.count_distinct("location").alias("locations_in_zone"),
         F.count_distinct("date").alias("days_of_data"),

@@ -258,6 +258,14 @@ def test_rounding_is_half_up_on_decimal(spark):
 
 def test_zone_comparison_methods_agree(gold):
     cols = ["zone", "pollutant_type", "median", "volatility", "locations_in_zone"]
-    a = rows(locations.zone_comparison(gold, as_of=AS_OF), *cols)
+    a = rows(locations.zone_comparison(gold, as_of=AS_OF, method="distributed"), *cols)
     b = rows(locations.zone_comparison(gold, as_of=AS_OF, method="merged"), *cols)
-    assert a == b
+    c = rows(locations.zone_comparison(gold, as_of=AS_OF), *cols)
+    assert a == b == c
+
+
+def test_zone_comparison_auto_switches_to_distributed(gold, monkeypatch):
+    cols = ["zone", "pollutant_type", "median"]
+    small = rows(locations.zone_comparison(gold, as_of=AS_OF), *cols)
+    monkeypatch.setattr(locations, "MERGED_PERCENTILE_MAX_ROWS", 1)
+    assert rows(locations.zone_comparison(gold, as_of=AS_OF), *cols) == small
