@@ -11,14 +11,20 @@ from airshed.functions.numeric import percent, r2, r4, safe_div
 from airshed.plans.common import count_rows, window_days
 
 
-def quality_summary(gold: DataFrame, as_of=None, days: int = 90) -> DataFrame:
+def quality_summary(gold: DataFrame, as_of=None, days: int = 90, approx: bool = False) -> DataFrame:
     """One row: distinct days / locations / pollutants, first and last date,
-    covered span, rows, and rows / (days x locations x pollutants)."""
+    covered span, rows, and rows / (days x locations x pollutants).
+
+    Three exact distinct counts make Spark expand each row three times before
+    the two-level aggregate; ``approx=True`` uses HyperLogLog sketches instead
+    (one pass, fixed memory, ~1% error).
+    """
     g = window_days(gold, as_of, days)
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     s = g.agg(
-        F.count_distinct("date").alias("unique_days"),
-        F.count_distinct("location").alias("unique_locations"),
-        F.count_distinct("pollutant_type").alias("pollutant_types"),
+        distinct("date").alias("unique_days"),
+        distinct("location").alias("unique_locations"),
+        distinct("pollutant_type").alias("pollutant_types"),
         F.min("date").alias("earliest_date"),
         F.max("date").alias("latest_date"),
         count_rows().alias("total_records"),

@@ -22,6 +22,24 @@ BASE_CONF = {
 }
 
 
+def scale_conf(shuffle_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, from the expected size of the largest shuffle.
+
+    Shuffle partitions start at shuffle size / target size (at least two waves
+    of tasks); AQE then coalesces small ones and splits skewed ones (a
+    partition over 5x the median and over 512 MB is split, the other side
+    replicated). Scan splits match the target size.
+    """
+    partitions = max(shuffle_bytes // target_partition_bytes, 2 * executor_cores, 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "airshed",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

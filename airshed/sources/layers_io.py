@@ -62,6 +62,16 @@ def register_view(df: DataFrame, name: str = "gold_weather") -> DataFrame:
     return df
 
 
+def external_table(spark: SparkSession, path: str, name: str = "gold_weather") -> DataFrame:
+    """Catalog table over an existing Parquet folder (no copy): the
+    ``CREATE EXTERNAL TABLE ... LOCATION`` of a warehouse, in Spark SQL."""
+    if not all(part.isidentifier() for part in name.split(".")):
+        raise ValueError(f"not a table name: {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    return spark.table(name)
+
+
 def refresh_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Full refresh of a derived table (a materialized summary): write, read back."""
     write_layer(df, path)

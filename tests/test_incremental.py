@@ -105,3 +105,21 @@ def test_csv_to_gold_end_to_end_matches_reference_fixture(spark, tmp_path, sampl
     got = sorted((r.date.isoformat(), r.location, r.pollutant_type, r.avg_value)
                  for r in spark.read.parquet(paths.gold).collect())
     assert got == sorted((r[0], r[1], r[6], r[7]) for r in RAW_ROWS)
+
+
+def test_external_table_over_gold(spark, tmp_path):
+    from airshed.sources.layers_io import external_table
+    rows = [(dt.date(2024, 1, 1), "A", "NO2", "z", 1.0, 1.0, 1.0, 1)]
+    path = str(tmp_path / "gold")
+    spark.createDataFrame(rows, GOLD_SCHEMA).write.parquet(path)
+    t = external_table(spark, path, "gold_weather_ext")
+    assert t.count() == 1
+    assert spark.sql("SELECT COUNT(*) AS n FROM gold_weather_ext").first().n == 1
+    spark.sql("DROP TABLE gold_weather_ext")
+
+
+def test_scale_conf():
+    from airshed.session import scale_conf
+    c = scale_conf(100 << 40, executor_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1 << 20, executor_cores=8)["spark.sql.shuffle.partitions"] == "16"

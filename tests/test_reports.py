@@ -269,3 +269,9 @@ def test_zone_comparison_auto_switches_to_distributed(gold, monkeypatch):
     small = rows(locations.zone_comparison(gold, as_of=AS_OF), *cols)
     monkeypatch.setattr(locations, "MERGED_PERCENTILE_MAX_ROWS", 1)
     assert rows(locations.zone_comparison(gold, as_of=AS_OF), *cols) == small
+
+
+def test_quality_summary_approx(gold):
+    a = quality.quality_summary(gold, as_of=AS_OF).first()
+    b = quality.quality_summary(gold, as_of=AS_OF, approx=True).first()
+    assert (a.unique_days, a.unique_locations, a.pollutant_types) == (b.unique_days, b.unique_locations, b.pollutant_types)
