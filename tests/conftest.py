@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from airshed.schema import BRONZE_SCHEMA, SILVER_SCHEMA  # noqa: E402
-from airshed.session import BASE_CONF  # noqa: E402
+from airshed.session import BASE_CONF, checkpoint_dir  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MEDIUM = "/root/testdata/sf0.01"
@@ -37,10 +36,10 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
-    # Tests run without a cluster folder: name a scratch one, as a cluster would.
-    b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="airshed-test-ckpt-"))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    # the shared folder named by spark.checkpoint.dir; a scratch one only if unset
+    checkpoint_dir(s)
     yield s
     s.stop()
 
