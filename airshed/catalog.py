@@ -132,6 +132,28 @@ def _runs(fn, **kw):
     return run
 
 
+_CSV_DIRS: dict[tuple[str, str], str] = {}
+
+
+def landing_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The raw measurement rows as CSV files with a header (a landing folder),
+    written once per session from Bronze."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _CSV_DIRS.get(key)
+    if path is None:
+        path = scratch_path(spark, f"landing-{uuid.uuid4().hex[:12]}")
+        bronze_table(spark, sf_dir).write.option("header", True).csv(path)
+        _CSV_DIRS[key] = path
+    return path
+
+
+def _csv_ingest_rows(spark, sf_dir):
+    """CSV landing folder -> typed raw rows, bound by header name (S1), with
+    the file name of each row (S2) dropped for the comparison."""
+    from airshed.sources.csv_ingest import read_raw_csv
+    return read_raw_csv(spark, os.path.join(landing_csv(spark, sf_dir), "*.csv")).drop("source_file")
+
+
 def _gold_daily(spark, sf_dir):
     return daily_gold(silver_table(spark, sf_dir))
 
@@ -220,6 +242,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "circuit_breaker": _runs(runmon.circuit_breaker),
     "failure_windows": _runs(runmon.failure_windows),
     # layers and data-quality operators
+    "csv_ingest_rows": _csv_ingest_rows,
     "gold_daily": _gold_daily,
     "clean_rows": _clean_rows,
     "reject_counts": _reject_counts,
