@@ -23,7 +23,9 @@ from airshed.operators.gold import daily_gold, sorted_gold
 from airshed.plans import (calendar_reports as cal, compliance, forecast, levels, locations,
                            quality, runs as runmon, stats, summary)
 from airshed.session import scratch_path
+from airshed.operators.partitioning import spread_small_layer
 from airshed.sources import adapter
+from airshed.sources.tables import read_table
 from airshed.sources.layers_io import refresh_table, write_layer
 
 
@@ -63,7 +65,9 @@ def layer_tables(spark: SparkSession, sf_dir: str) -> LayerTables:
     if t is None:
         root = scratch_path(spark, f"layers-{uuid.uuid4().hex[:12]}")
         t = LayerTables(*(os.path.join(root, n) for n in ("bronze", "silver", "gold")))
-        write_layer(raw(spark, sf_dir), t.bronze)
+        lineitem = read_table(spark, sf_dir, "lineitem")
+        write_layer(spread_small_layer(raw(spark, sf_dir), lineitem,
+                                       spark.sparkContext.defaultParallelism), t.bronze)
         write_layer(clean.to_silver(spark.read.parquet(t.bronze)), t.silver)
         write_layer(sorted_gold(daily_gold(spark.read.parquet(t.silver))), t.gold)
         _LAYERS[key] = t

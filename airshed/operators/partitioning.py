@@ -1,0 +1,28 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from airshed.operators.joins import is_small
+
+# Below this many rows a round-robin shuffle costs less than letting one task
+# write (and every later reader scan) a whole layer.
+SMALL_LAYER_ROWS = 5_000_000
+
+
+def spread_small_layer(df: DataFrame, source: DataFrame, parallelism: int,
+                       max_rows: int = SMALL_LAYER_ROWS) -> DataFrame:
+    """Spread rows over ``parallelism`` output files before writing a layer,
+    but only when ``source`` (the input that drives the row count) is small.
+
+    A Parquet row group is the unit of scan parallelism: a small input stored
+    as one row group is read by one task, and so is every layer written from
+    it. Small layers are therefore rebalanced once, so later stages read them
+    in parallel. Large inputs are never reshuffled: their scans are already
+    split per row group, and a shuffle of the full raw data would cost far
+    more than it saves. The size test is a bounded count (stops past the bound).
+    """
+    if parallelism > 1 and is_small(source, max_rows):
+        return df.repartition(parallelism)
+    return df
