@@ -30,14 +30,17 @@ from airshed.sources.layers_io import refresh_table, write_layer
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw measurement rows from the driver tables (lazy)."""
     return adapter.raw_measurements(spark, sf_dir)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as one lazy plan from the driver tables (nothing written)."""
     return clean.to_silver(raw(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold as one lazy plan from the driver tables (nothing written)."""
     return daily_gold(silver(spark, sf_dir))
 
 
@@ -198,11 +201,7 @@ def _silver_retention(spark, sf_dir):
 
 def _monthly_summary_table(spark, sf_dir):
     path = scratch_path(spark, f"monthly_summary_{abs(hash(sf_dir))}")
-    return refresh_table(spark, cal_monthly(gold_table(spark, sf_dir)), path)
-
-
-def cal_monthly(g: DataFrame) -> DataFrame:
-    return levels.monthly_levels(g)
+    return refresh_table(spark, levels.monthly_levels(gold_table(spark, sf_dir)), path)
 
 
 def _rolling_stats(spark, sf_dir):

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from airshed.layers import LayerPaths, run_layers

@@ -3,7 +3,6 @@ duplicate suppression - each checked against its batch twin."""
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import shutil
 
