@@ -34,6 +34,25 @@ def reconcile(raw: DataFrame, silver: DataFrame, quarantine: DataFrame,
     )
 
 
+def run_log_checks(log: DataFrame) -> DataFrame:
+    """Invariants between the row counts a layer run observed (its run log):
+    every stage succeeded, Silver <= Bronze, Silver + quarantine = Bronze, and
+    0 < Gold <= Silver. One row per check; no layer is scanned again."""
+    counts = log.groupBy().pivot("stage", ["bronze", "silver", "quarantine", "gold"]).agg(
+        F.first("rows"))
+    ok_all = log.agg(F.bool_and(F.col("status") == "success")).scalar()
+    b, s, q, g = (F.col(c) for c in ("bronze", "silver", "quarantine", "gold"))
+    checks = [
+        ("all_stages_succeeded", ok_all),
+        ("silver_within_bronze", s <= b),
+        ("split_complete", (s + q) == b),
+        ("gold_within_silver", (g > 0) & (g <= s)),
+    ]
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check"), F.coalesce(cond, F.lit(False)).alias("ok"))
+        for name, cond in checks])))
+
+
 def aggregate_violations(gold: DataFrame) -> DataFrame:
     """Gold rows breaking min <= avg <= max, count > 0, or holding a NULL."""
     ok = (F.col("min_value") <= F.col("avg_value")) & (F.col("avg_value") <= F.col("max_value")) \

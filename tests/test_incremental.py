@@ -122,3 +122,18 @@ def test_scale_conf():
     c = scale_conf(100 << 40, executor_cores=8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(1 << 20, executor_cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_run_log_checks(spark, tmp_path, bronze_with_invalid_data):
+    from airshed.operators.checks import run_log_checks
+    good = spark.createDataFrame(
+        [("bronze", "success", 6, "b", None), ("silver", "success", 3, "s", None),
+         ("quarantine", "success", 3, "q", None), ("gold", "success", 3, "g", None)],
+        "stage string, status string, rows bigint, output_path string, error string")
+    assert {r.check: r.ok for r in run_log_checks(good).collect()} == {
+        "all_stages_succeeded": True, "silver_within_bronze": True, "split_complete": True,
+        "gold_within_silver": True}
+    bad = spark.createDataFrame(
+        [("bronze", "success", 6, "b", None), ("silver", "error", None, None, "boom")],
+        "stage string, status string, rows bigint, output_path string, error string")
+    assert not any(r.ok for r in run_log_checks(bad).collect())
