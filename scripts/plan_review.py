@@ -24,6 +24,9 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     spark = build_session("local[8]", shuffle_partitions=8)
+    print("| query | exchanges | broadcast hash joins | sort-merge joins | nested-loop / cartesian | "
+          "window group limits | expand | pushed scan filters |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in E.queries().items():
         if names and name not in names:
             continue
@@ -38,8 +41,10 @@ def main():
             "wgl": p.count("WindowGroupLimit"),
             "expand": p.count("Expand "),
         }
-        pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", p)))
-        print(f"{name:28s} {feats} pushed={[x[:80] for x in pushed if x]}")
+        pushed = sorted(set(re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", p)))
+        pushed = [x for x in pushed if x and x not in ("IsNotNull(date)",)]
+        print("| " + " | ".join([name] + [str(feats[k]) for k in feats]
+                                + ["; ".join(x[:90] for x in pushed)]) + " |")
     spark.stop()
 
 
