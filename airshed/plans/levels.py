@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from airshed.functions import labels as L
 from airshed.functions.bands import DEFAULT_LIMITS, Limits, health_status, over_moderate, over_unhealthy
-from airshed.functions.calendar import as_of_col
+from airshed.functions.calendar import as_of_col, last_days
 from airshed.functions.numeric import r2, safe_div
 from airshed.plans.common import latest_date, window_days
 
@@ -27,24 +27,27 @@ def current_levels(gold: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFram
     )
 
 
-def daily_trend(gold: DataFrame, as_of=None, days: int = 7) -> DataFrame:
+def daily_trend(gold: DataFrame, as_of=None, days: int = 7, warmup_days: int = 0) -> DataFrame:
     """Last ``days`` days: level, previous day's level, % change and direction.
 
     The day window is applied first, so the first day of each series has no
-    previous value (STABLE). ``zone`` breaks ties when a location reports the
-    same date under two zones.
+    previous value (STABLE), as in the reference. ``warmup_days`` reads that
+    many extra days before the window so the first days get their real
+    previous value; only the window's rows are returned. ``zone`` breaks ties
+    when a location reports the same date under two zones.
     """
-    g = window_days(gold, as_of, days)
+    g = window_days(gold, as_of, days + warmup_days)
     w = Window.partitionBy(*SERIES).orderBy("date", "zone")
     prev = F.lag("avg_value").over(w)
     v = F.col("avg_value")
-    return g.select(
+    out = g.select(
         "location", "pollutant_type", "date",
         r2(v).alias("avg_level"),
         F.lag(r2(v)).over(w).alias("previous_day_avg"),
         r2(safe_div(v - prev, prev) * 100).alias("percent_change"),
         F.when(v > prev, L.WORSENING).when(v < prev, L.IMPROVING).otherwise(L.STABLE).alias("trend"),
     )
+    return out.filter(last_days("date", as_of, days)) if warmup_days else out
 
 
 def top_exceedances(gold: DataFrame, limits: Limits = DEFAULT_LIMITS, n: int = 20) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airshed.functions import labels as L
+from airshed.functions.calendar import last_days
 from airshed.functions.numeric import r2, r4, safe_div
 from airshed.plans.common import window_days
 
@@ -25,19 +26,23 @@ def rolling_frame(partition, rows: int = 30, range_days: bool = False):
 
 
 def anomalies(gold: DataFrame, as_of=None, days: int = 60, rows: int = 30,
-              range_days: bool = False) -> DataFrame:
+              range_days: bool = False, warmup_days: int = 0) -> DataFrame:
     """Days whose mean is more than 1.5 rolling standard deviations away from
     the rolling mean of the series; > 2.5 ANOMALY, > 2 UNUSUAL, else NORMAL.
 
     Windows partition by series, so a task holds one series' days (bounded by
-    the calendar, however many raw rows fed them).
+    the calendar, however many raw rows fed them). The frame starts cold at
+    the window start, as in the reference; ``warmup_days`` feeds that many
+    earlier days into the frames and returns only the window's rows.
     """
     w = rolling_frame(("location", "pollutant_type"), rows, range_days)
-    s = window_days(gold, as_of, days).select(
+    s = window_days(gold, as_of, days + warmup_days).select(
         "location", "pollutant_type", "date", "avg_value",
         F.avg("avg_value").over(w).alias("_mean"),
         F.stddev_samp("avg_value").over(w).alias("_sd"),
     )
+    if warmup_days:
+        s = s.filter(last_days("date", as_of, days))
     z = safe_div(F.abs(F.col("avg_value") - F.col("_mean")), F.col("_sd"))
     return s.filter(F.col("_sd").isNotNull() & (z > 1.5)).select(
         "date", "location", "pollutant_type",

@@ -275,3 +275,23 @@ def test_quality_summary_approx(gold):
     a = quality.quality_summary(gold, as_of=AS_OF).first()
     b = quality.quality_summary(gold, as_of=AS_OF, approx=True).first()
     assert (a.unique_days, a.unique_locations, a.pollutant_types) == (b.unique_days, b.unique_locations, b.pollutant_types)
+
+
+def test_daily_trend_warmup(gold):
+    # window 03-29..03-31; with a warm-up the first day sees its real previous day
+    cold = {(r.location, r.pollutant_type, r.date): r.previous_day_avg
+            for r in levels.daily_trend(gold, as_of=AS_OF, days=2).collect()}
+    warm = {(r.location, r.pollutant_type, r.date): r.previous_day_avg
+            for r in levels.daily_trend(gold, as_of=AS_OF, days=2, warmup_days=5).collect()}
+    assert set(cold) == set(warm)
+    assert cold[("London", "PM2.5", d(29))] is None and warm[("London", "PM2.5", d(29))] == 35.4
+    assert warm[("London", "NO2", d(29))] == 250.0
+
+
+def test_anomalies_warmup(spark):
+    r = [g(day, "A", "NO2", "z", 10 + (day % 2)) for day in range(1, 21)] + [g(21, "A", "NO2", "z", 100)]
+    gold = spark.createDataFrame(r, GOLD_SCHEMA)
+    cold = stats.anomalies(gold, as_of=d(21), days=1).collect()
+    warm = stats.anomalies(gold, as_of=d(21), days=1, warmup_days=30).collect()
+    assert cold == []  # two rows in the frame: no outlier by 1.5 sd
+    assert [x.date for x in warm] == [d(21)] and warm[0].anomaly_status == "ANOMALY"
