@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from airshed.functions.calendar import as_of_col
 from airshed.operators.gold import daily_gold
+from airshed.operators.joins import is_small
 from airshed.sources.layers_io import write_partitions
 
 MARK_SCHEMA = T.StructType([
@@ -58,15 +59,27 @@ def retention_split(df: DataFrame, days: int, as_of=None, date_col: str = "date"
     return df.filter(d >= cutoff), df.filter(d < cutoff)
 
 
+# Most dates one refresh names as literals (partition pruning at planning time).
+MAX_LITERAL_DATES = 10_000
+
+
 def refresh_gold_dates(spark: SparkSession, silver: DataFrame, touched: DataFrame,
-                       gold_path: str) -> None:
+                       gold_path: str, max_literal_dates: int = MAX_LITERAL_DATES) -> None:
     """Recompute Gold only for the dates in ``touched`` (a one-column ``date``
     DataFrame) and replace just those date partitions of the Gold table.
 
-    The semi-join keeps Silver rows of the touched dates (the small side is
-    measured by AQE before any broadcast); dynamic partition overwrite leaves
-    every other date untouched, so late rows for an old day are handled
-    without any streaming state.
+    A micro-batch touches few dates (bounded by the calendar). After a bounded
+    count confirms it, they are fetched and applied as a literal ``IN`` filter
+    on the partition column, so only those Silver folders are listed and read
+    (Spark's dynamic pruning does not fire for an unfiltered key list). More
+    dates than ``max_literal_dates`` keep the semi-join (a full Silver scan).
+    Dynamic partition overwrite leaves every other Gold date untouched, so late
+    rows for an old day are handled without any streaming state.
     """
-    part = daily_gold(silver.join(touched.select("date").distinct(), "date", "left_semi"))
-    write_partitions(part, gold_path, ["date"])
+    keys = touched.select("date").distinct()
+    if is_small(keys, max_literal_dates):
+        dates = [r.date for r in keys.collect()]
+        rows = silver.filter(F.col("date").isin(dates))
+    else:
+        rows = silver.join(keys, "date", "left_semi")
+    write_partitions(daily_gold(rows), gold_path, ["date"])

@@ -137,3 +137,14 @@ def test_run_log_checks(spark, tmp_path, bronze_with_invalid_data):
         [("bronze", "success", 6, "b", None), ("silver", "error", None, None, "boom")],
         "stage string, status string, rows bigint, output_path string, error string")
     assert not any(r.ok for r in run_log_checks(bad).collect())
+
+
+def test_refresh_gold_dates_semi_join_path_equal(spark, tmp_path):
+    s = silver_rows(spark, [(1, 10), (2, 20), (2, 40), (3, 30)])
+    touched = silver_rows(spark, [(2, 0), (3, 0)]).select("date")
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    inc.refresh_gold_dates(spark, s, touched, a)
+    inc.refresh_gold_dates(spark, s, touched, b, max_literal_dates=0)
+    ga = sorted((r.date, r.avg_value, r.record_count) for r in spark.read.parquet(a).collect())
+    gb = sorted((r.date, r.avg_value, r.record_count) for r in spark.read.parquet(b).collect())
+    assert ga == gb == [(dt.date(2024, 1, 2), 30.0, 2), (dt.date(2024, 1, 3), 30.0, 1)]
