@@ -171,3 +171,10 @@ def test_opt_in_dedupe(spark):
     df = bronze_df(spark, [RAW_ROWS[0], RAW_ROWS[0], RAW_ROWS[1]])
     assert clean.to_silver(df).count() == 3
     assert clean.to_silver(df, dedupe_keys=["date", "location", "pollutant_type", "zone", "value"]).count() == 2
+
+
+def test_rules_without_date_rule_keep_parse_semantics(spark):
+    rows = [("2024-01-05 10:00",) + RAW_ROWS[0][1:], RAW_ROWS[0]]
+    rules = [r for r in clean.default_rules() if r.name != clean.DATE_RULE]
+    out = sorted((r.date is None) for r in clean.to_silver(bronze_df(spark, rows), rules).collect())
+    assert out == [False, True]  # the time-stamped text is kept but does not parse
