@@ -148,3 +148,11 @@ def test_refresh_gold_dates_semi_join_path_equal(spark, tmp_path):
     ga = sorted((r.date, r.avg_value, r.record_count) for r in spark.read.parquet(a).collect())
     gb = sorted((r.date, r.avg_value, r.record_count) for r in spark.read.parquet(b).collect())
     assert ga == gb == [(dt.date(2024, 1, 2), 30.0, 2), (dt.date(2024, 1, 3), 30.0, 1)]
+
+
+def test_command_line(spark, tmp_path, sample_raw_csv):
+    from airshed.__main__ import main
+    src, _ = sample_raw_csv
+    assert main(["--input", str(src), "--root", str(tmp_path / "lake"), "--run-date", "2024-01-04"]) == 0
+    assert spark.read.parquet(str(tmp_path / "lake" / "gold")).count() == 6
+    assert main(["--input", str(tmp_path / "none.csv"), "--root", str(tmp_path / "lake2")]) == 1
