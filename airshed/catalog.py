@@ -103,9 +103,9 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_date(g: DataFrame):
-    """Latest Gold date as a literal (footer statistics: Parquet aggregate
-    pushdown answers max() without reading rows), so date filters are pushed
-    into the scan."""
+    """Latest Gold date as a literal, so the reports' date filters are pushed
+    into the Gold scan. One global aggregate reading only the date column
+    (partial max per task, one value to the driver)."""
     return g.agg(F.max("date")).first()[0]
 
 
