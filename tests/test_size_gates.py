@@ -1,0 +1,44 @@
+"""The size-gated plan choices: broadcast only a side measured small, spread
+only a layer whose input is measured small."""
+
+from __future__ import annotations
+
+from airshed.operators.joins import broadcast_if_small, is_small
+from airshed.operators.partitioning import spread_small_layer
+from airshed.sources import adapter
+from tests.conftest import SF_SMALL
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_is_small_bound(spark):
+    df = spark.range(100)
+    assert is_small(df, 100) and not is_small(df, 99)
+
+
+def test_broadcast_only_below_bound(spark):
+    big, small = spark.range(1000).toDF("k"), spark.range(10).toDF("k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no planner broadcast
+    try:
+        hinted = big.join(broadcast_if_small(small, 10), "k")
+        not_hinted = big.join(broadcast_if_small(small, 9), "k")
+        hinted.collect(), not_hinted.collect()
+        assert "BroadcastHashJoin" in _plan(hinted)
+        assert "BroadcastHashJoin" not in _plan(not_hinted)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_only_small_layers(spark):
+    df = spark.range(50).toDF("v")
+    assert spread_small_layer(df, df, 4, max_rows=50).rdd.getNumPartitions() == 4
+    assert spread_small_layer(df, df, 4, max_rows=49) is df
+
+
+def test_supplier_dimension_is_broadcast_not_lineitem(spark):
+    raw = adapter.raw_measurements(spark, SF_SMALL)
+    raw.write.format("noop").mode("overwrite").save()
+    p = _plan(raw)
+    assert "BroadcastHashJoin" in p and "BuildRight" in p  # the supplier side is built
