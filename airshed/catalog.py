@@ -195,7 +195,8 @@ def _dedupe(spark, sf_dir):
 def _silver_retention(spark, sf_dir):
     from airshed.sources.incremental import retention_split
     s = silver_table(spark, sf_dir)
-    keep, _ = retention_split(s, days=365, as_of=s.agg(F.max("date")).scalar())
+    # latest Silver date as a literal: the cutoff becomes a pushed scan filter
+    keep, _ = retention_split(s, days=365, as_of=s.agg(F.max("date")).first()[0])
     return keep
 
 
