@@ -8,15 +8,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job of the library relies on. AQE re-plans joins at run
-# time (broadcast only after a side has been measured below the threshold,
-# skew-join splitting for hot keys, partition coalescing); the time zone is
+# time (a side measured below the broadcast threshold, skew-join splitting
+# for hot keys, partition coalescing); the time zone is
 # pinned so DATE / TIMESTAMP arithmetic does not depend on the host.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -66,13 +65,16 @@ def build_session(master: str | None = None, app_name: str = "airshed",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a folder every executor can reach; it is used as is. Only
-    when the setting is absent (local runs, tests) a scratch folder is made
-    and registered, so that ``DataFrame.checkpoint()`` works.
+    A cluster names a folder every executor can reach; it is used as is, and
+    a missing setting raises. Only a local master (driver and executors are one
+    process) gets a scratch folder when the setting is absent.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(id(sc))
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set: a cluster has to name a folder that the driver "
+                             "and all executors share")
         path = tempfile.mkdtemp(prefix="airshed-ckpt-")
         _LOCAL_DIRS[id(sc)] = path
     if sc.getCheckpointDir() is None:
