@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from airshed.llm import packing, quality, sharding, tokens, warc
+from airshed.llm import decontamination, packing, quality, sharding, tokens, warc
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
     "op2_dictionary_warc": warc.op2_dictionary_warc,
     "op3_power_of_two": packing.op3_power_of_two,
+    "op4_fm_index": decontamination.op4_fm_index,
     "op7_digest_cache": tokens.op7_digest_cache,
     "op9_rule_ledger": quality.op9_rule_ledger,
 }
 
 ORACLES = {
     "op2_dictionary_warc": warc.ORACLE,
+    "op4_fm_index": decontamination.ORACLE,
     "op9_rule_ledger": quality.ORACLE,
 }
