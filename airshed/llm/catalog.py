@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from airshed.llm import decontamination, packing, quality, sharding, tokens, warc
+from airshed.llm import chat, decontamination, packing, quality, sharding, tokens, warc
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
     "op2_dictionary_warc": warc.op2_dictionary_warc,
     "op3_power_of_two": packing.op3_power_of_two,
     "op4_fm_index": decontamination.op4_fm_index,
+    "op6_snapshot_collapse": chat.op6_snapshot_collapse,
     "op7_digest_cache": tokens.op7_digest_cache,
     "op9_rule_ledger": quality.op9_rule_ledger,
 }
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLES = {
     "op2_dictionary_warc": warc.ORACLE,
     "op4_fm_index": decontamination.ORACLE,
+    "op6_snapshot_collapse": chat.ORACLE,
     "op9_rule_ledger": quality.ORACLE,
 }
