@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airshed.llm import chat, decontamination, packing, quality, sharding, tokens, warc
+from airshed.llm import chat, decontamination, packing, quality, secrets, sharding, tokens, warc
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_snapshot_collapse": chat.op6_snapshot_collapse,
     "op7_digest_cache": tokens.op7_digest_cache,
     "op9_rule_ledger": quality.op9_rule_ledger,
+    "op10_randomness_battery": secrets.op10_randomness_battery,
 }
 
 ORACLES = {
