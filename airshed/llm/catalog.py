@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airshed.llm import chat, decontamination, packing, quality, secrets, sharding, tokens, warc
+from airshed.llm import chat, decontamination, jaccard, packing, quality, secret_scan, sharding, tokens, warc
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
@@ -11,8 +11,9 @@ QUERIES = {
     "op4_fm_index": decontamination.op4_fm_index,
     "op6_snapshot_collapse": chat.op6_snapshot_collapse,
     "op7_digest_cache": tokens.op7_digest_cache,
+    "op8_parity_sketch": jaccard.op8_parity_sketch,
     "op9_rule_ledger": quality.op9_rule_ledger,
-    "op10_randomness_battery": secrets.op10_randomness_battery,
+    "op10_randomness_battery": secret_scan.op10_randomness_battery,
 }
 
 ORACLES = {
