@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from airshed.llm import chat, decontamination, jaccard, packing, quality, secret_scan, sharding, tokens, warc
+from airshed.llm import chat, decontamination, jaccard, packing, phrases, quality, secret_scan, sharding, tokens, warc
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
     "op2_dictionary_warc": warc.op2_dictionary_warc,
     "op3_power_of_two": packing.op3_power_of_two,
     "op4_fm_index": decontamination.op4_fm_index,
+    "op5_phrase_automata": phrases.op5_phrase_automata,
     "op6_snapshot_collapse": chat.op6_snapshot_collapse,
     "op7_digest_cache": tokens.op7_digest_cache,
     "op8_parity_sketch": jaccard.op8_parity_sketch,
