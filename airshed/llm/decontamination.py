@@ -140,6 +140,23 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit",
                      ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
 
+def _shards(ids: list, found_texts: Iterator) -> Iterator[tuple[list, list]]:
+    shard_ids, shard, size = [], [], 0
+    for doc_id, text in zip(ids, found_texts, strict=True):
+        shard_ids.append(doc_id)
+        shard.append(text.as_py() or "")
+        size += len(shard[-1])
+        if size >= SHARD_BYTES:
+            yield shard_ids, shard
+            shard_ids, shard, size = [], [], 0
+    if shard_ids:
+        yield shard_ids, shard
+
+
+def _contaminated(n_hit, n_words):
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, items, spans and contaminated of every row of ``docs``.
 
@@ -152,20 +169,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, shard, size = [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = text.as_py() or ""
-                ids.append(doc_id)
-                shard.append(text)
-                size += len(text)
-                if size >= SHARD_BYTES:
-                    yield _search(paths, ids, shard)
-                    ids, shard, size = [], [], 0
-            if ids:
+            for ids, shard in _shards(batch.column(0).to_pylist(), batch.column(1)):
                 yield _search(paths, ids, shard)
 
     schema = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>"
-    return texts(docs).mapInArrow(search, schema).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    return texts(docs).mapInArrow(search, schema).withColumn("contaminated", _contaminated(F.col("n_hit"), F.col("n_words")))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any further columns, kept as they are) that are not contaminated."""
+    paths, at = compile_benchmark(benchmark), docs.columns.index("text")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [not _contaminated(hit, n) for ids, shard in _shards(list(range(batch.num_rows)), batch.column(at))
+                    for found in [_search(paths, ids, shard)] for n, hit in zip(found["n_words"].to_pylist(), found["n_hit"].to_pylist(), strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(search, docs.schema)
 
 
 def op4_fm_index(spark, sf_dir: str) -> DataFrame:

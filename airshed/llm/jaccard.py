@@ -275,9 +275,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                       F.when(F.col("n") > 0, order == F.col("lead")).otherwise(F.lit(True)).alias("first"))
 
 
+def first_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """One row of ``docs`` (doc_id, text and any further columns, kept as they are) for each component.
+    Rows that share their doc_id and text are one document; documents without words all stay."""
+    first = near_duplicates(docs, rule).filter("first").select("doc_id", "text_digest").distinct()
+    d = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("id"),
+                    F.unhex(F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"), 256)).alias("digest"))
+    return (d.join(first, d["id"].eqNullSafe(first["doc_id"]) & (d["digest"] == first["text_digest"]), "left_semi")
+            .dropDuplicates(["id", "digest"]).select("row.*"))
+
+
 def _candidates(buckets: DataFrame, sets: DataFrame, member: DataFrame, verdicts: DataFrame, rule: Rule) -> DataFrame:
     """Unverified pairs of different components from the buckets that hold several (buckets of two are done)."""
-    spark = buckets.sparkSession
     rows = buckets.filter("size > 2").join(member, "c", "left").withColumn("component", F.coalesce("component", "c"))
     several = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
     rows = rows.join(several, "key", "left_semi").select("key", "c", "next", "component", "size")

@@ -26,7 +26,7 @@ MAX_LENGTH = 2048
 END_ID = 1
 
 PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
-                          ("doc_tokens", pa.int64()), ("task", pa.int32()), ("nth", pa.int64()), ("ids", pa.list_(pa.int64()))])
+                          ("doc_tokens", pa.int64()), ("task", pa.int32()), ("nth", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
 def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -61,7 +61,7 @@ def pack(docs: DataFrame, tokenizer: str = BYTE_BPE, longest: int = MAX_LENGTH,
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PIECE_SCHEMA.types, strict=True)],
                                                  schema=PIECE_SCHEMA)
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long, ids array<long>"
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, nth long, ids array<int>"
     pieces = written(texts(docs).mapInArrow(cut, schema), "pieces")
     # two sums over (task, length), a row for each task and bucket: those of shorter buckets, and of earlier tasks in the bucket
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))

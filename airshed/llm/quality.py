@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import table, texts, written
+from airshed.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -60,28 +60,32 @@ def _repeated(docs: DataFrame) -> DataFrame:
             .withColumn("n_repeat_words", F.coalesce(covered["n"], F.lit(0).cast("long"))).drop("twice"))
 
 
-def measure(docs: DataFrame) -> DataFrame:
+def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
     """doc_id and the measurements of every row of ``docs`` (doc_id, text), in one pass without a shuffle.
+    With ``carry``, the row itself too, as the struct ``row``, whatever its columns are called.
 
     A null text has no words; a null doc_id and repeated rows are measured like any other.
     Counts are in code points; a line counts if it holds a word, and is a duplicate if an equal line precedes it.
     """
-    d = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    row = [F.struct("*").alias("row")] if carry else []
+    d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), *row)
+    row = ["row"] if carry else []
     d = d.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     d = d.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     d = d.select(
-        "doc_id", "words", F.size("words").cast("long").alias("n_words"),
+        "doc_id", *row, "words", F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
-    return _repeated(d).select("doc_id", *MEASUREMENTS)
+    # a generator of one row: filters on the measurements stay above it and do not copy the lambdas into each other
+    return _repeated(d).select("doc_id", *row, F.inline(F.array(F.struct(*MEASUREMENTS))))
 
 
-def ledger(docs: DataFrame) -> DataFrame:
+def ledger(docs: DataFrame, carry: bool = False) -> DataFrame:
     """The measurements with ``fail_bits``, one bit for each failed rule."""
     bits = " | ".join(f"if({condition}, {1 << bit}L, 0L)" for bit, condition in RULES.values())
-    return measure(docs).withColumn("fail_bits", F.expr(bits))
+    return measure(docs, carry).withColumn("fail_bits", F.expr(bits))
 
 
 def apply_policy(entries: DataFrame, policy: str) -> DataFrame:
@@ -89,6 +93,11 @@ def apply_policy(entries: DataFrame, policy: str) -> DataFrame:
     return entries.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(policy_mask(policy)).cast("long")) == 0)
 
 
+def kept_documents(docs: DataFrame, policy: str) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any further columns) that the policy keeps, as they are."""
+    return apply_policy(ledger(docs, carry=True), policy).filter("kept").select("row.*")
+
+
 def ablation(entries: DataFrame, policy: str) -> DataFrame:
     """For each rule of the policy: documents that fail it, that fail it alone
     (and would be kept without it), and that the policy rejects. One aggregation
