@@ -1,0 +1,54 @@
+"""Small tables with every awkward case, and brute-force forms of the operators."""
+
+from __future__ import annotations
+
+import random
+import re
+import string
+
+from pyspark.sql import functions as F
+
+#: Names that operators use inside or return: extra columns with them must not matter.
+CLASHING = ("shard", "slot", "row", "uid", "key", "size", "digest", "n_words", "kept", "fail_bits", "component_id", "first", "n",
+            "c", "u", "v", "spans", "items", "words", "range", "sequence_id", "length", "bucket", "n_tokens", "text_digest", "k1", "id", "body")
+
+
+def documents(spark, rows):
+    """A documents table (doc_id, text) with extra columns of clashing names."""
+    df = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
+    return df.withColumns({name: F.lit(f"extra {name}") for name in CLASHING})
+
+
+def words(rng: random.Random, n: int, vocabulary: int = 3000) -> list[str]:
+    return [_word(rng.randrange(vocabulary)) for _ in range(n)]
+
+
+def _word(x: int) -> str:
+    return "".join(random.Random(x).choices(string.ascii_lowercase + "éß", k=3 + x % 6))
+
+
+def corpus(seed: int = 1) -> list[tuple[int | None, str | None]]:
+    """Plain, repeated, near-equal, empty, null, one-word, very long and odd texts."""
+    rng = random.Random(seed)
+    rows: list[tuple[int | None, str | None]] = [(i, " ".join(words(rng, rng.randrange(1, 400)))) for i in range(40)]
+    base = words(rng, 200)
+    passage = words(rng, 60)
+    for i in range(40, 60):  # near copies at all distances
+        copy = list(base)
+        for _ in range(rng.randrange(0, 25)):
+            copy[rng.randrange(len(copy))] = _word(rng.randrange(3000))
+        rows.append((i, " ".join(copy)))
+    for i in range(60, 70):  # a passage in other texts
+        a, b = words(rng, rng.randrange(0, 80)), words(rng, rng.randrange(0, 80))
+        rows.append((i, " ".join(a + passage[rng.randrange(0, 20):] + b)))
+    for i in range(70, 80):  # exact copies, some in capitals
+        rows.append((i, " ".join(base[:100]) if i % 2 else " ".join(base[:100]).upper()))
+    rows += [(80, ""), (81, None), (82, "   \n\t "), (83, "word"), (84, "Word"), (85, "two words"), (86, "two  words"), (None, "no id " * 30),
+             (None, None), (87, rows[0][1]), (0, rows[0][1]), (0, rows[0][1]), (88, " ".join(words(rng, 30_000))), (89, "x" * 200_000),
+             (90, "a b c d e " * 200), (91, "line one\nline one\n\nline one\nother"), (92, " nbsp em\x1cfs\x85nel 日本語 text \U0001F600"),
+             (93, "<|endoftext|> in the <|endoftext|>"), (94, "'s 't I'll   we've\n\n\n  tabs\t\t1234 ½²"), (95, " " * 5000 + "end")]
+    return rows
+
+
+def space_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
