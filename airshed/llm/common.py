@@ -26,11 +26,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     The written table cuts the lineage: a lost executor recomputes nothing
     above it, and what is numbered or sampled in it keeps its value however
-    often it is read.
+    often it is read. The shuffle files of the finished write are of no further use;
+    Spark removes them once the driver has collected its garbage, which is asked for here, so that
+    an operator of many steps holds the shuffle of one step at a time.
     """
-    path = scratch(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

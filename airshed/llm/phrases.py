@@ -20,18 +20,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import table, texts, written
+from airshed.llm.common import slices, table, texts, written
 from airshed.llm.hashing import WordHashes, grams, mixed
 
 WINDOW, ANCHOR = 35, 8
 #: Segments in a shard, and occurrences of one anchor beyond which its segments are dealt to several groups.
 SHARD_SEGMENTS, HOT_ANCHOR = 5000, 20_000
+#: Marks a number of windows (at most 28).
+TWICE = 32
 #: The base of a window's second hash.
 _SECOND = 0xD6E8FEB86659FD93
 
 
 def anchored(words: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first window and number of windows of each segment of a document (word hashes)."""
+    """Anchor hash, first window and number of windows of each segment of a document (word hashes).
+    ``TWICE`` is added to the number where the anchor stands at several places of the segment."""
     if len(words) < window:
         none = np.zeros(0, dtype=np.int64)
         return none, none, none
@@ -43,8 +46,14 @@ def anchored(words: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> t
         least, size = lower(least[:-size], least[size:]), size * 2
     if size < width:
         least = lower(least[:len(least) - (width - size)], least[width - size:])
-    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    return g[least[first]].view(np.int64), first, np.diff(np.append(first, len(least)))
+    chosen = g[least]
+    change = np.concatenate([[True], chosen[1:] != chosen[:-1]])
+    # a hash that repeats within a window's reach goes on for longer; pieces have at most ``width`` windows
+    start = np.flatnonzero(change)
+    since = np.arange(len(chosen)) - np.repeat(start, np.diff(np.append(start, len(chosen))))
+    first = np.flatnonzero(since % width == 0)
+    n = np.diff(np.append(first, len(chosen)))
+    return chosen[first].view(np.int64), first, n + TWICE * (least[first] != least[first + n - 1])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -82,39 +91,69 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield from _flushed(rows(), _DOCS, 500)
 
 
-_SEGMENTS = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("anchor", pa.int64()), ("occurs", pa.int64()), ("k1", pa.int64()),
-                       ("k2", pa.int64()), ("at", pa.int64()), ("windows", pa.int64()), ("segment", pa.string())])
+_PLACES = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("anchor", pa.int64()), ("occurs", pa.int64()), ("k1", pa.int64()),
+                     ("k2", pa.int64()), ("at", pa.int64()), ("windows", pa.int64()), ("times", pa.int64())])
 
 
-def _cut_segments(with_text: bool):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                for k1, k2, text, places in zip(*batch.columns, strict=True):
-                    words = text.as_py().encode().split()
-                    for p in places.as_py():
-                        segment = b" ".join(words[p["at"]:p["at"] + p["windows"] + WINDOW - 1])
-                        s = np.frombuffer(hashlib.blake2b(segment, digest_size=16).digest(), dtype=np.int64)
-                        yield (int(s[0]), int(s[1]), p["anchor"], p["occurs"], k1.as_py(), k2.as_py(), p["at"], p["windows"],
-                               segment.decode() if with_text else None)
-        yield from _flushed(rows(), _SEGMENTS, 5000)
-    return cut
+def _window_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return mixed(grams(words, WINDOW)), mixed(grams(words, WINDOW, _SECOND))
+
+
+def _name_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per segment of (k1, k2, text, rows, anchors, occurs, ats, windows). Its name is made of the hashes of its
+    first and last windows, which together hold all its words, and their distance."""
+    hashes = WordHashes()
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for a, b in slices(batch.num_rows, 200):
+                columns: list[list[np.ndarray]] = [[] for _ in _PLACES]
+                for k1, k2, text, rows, anchors, occurs, ats, windows in zip(*(c.slice(a, b - a) for c in batch.columns), strict=True):
+                    at, marked = (np.array(x.as_py(), dtype=np.int64) for x in (ats, windows))
+                    n = marked % TWICE
+                    names = [mixed(w[at] * np.uint64(0x9E3779B97F4A7C15) + mixed(w[at + n - 1] + n.astype(np.uint64))).view(np.int64)
+                             for w in _window_hashes(hashes.of(text.as_py().encode().split()))]
+                    fixed = [np.full(len(at), x.as_py(), dtype=np.int64) for x in (k1, k2, rows)]
+                    for column, values in zip(columns, (*names, np.array(anchors.as_py()), np.array(occurs.as_py()), fixed[0], fixed[1], at, marked, fixed[2]), strict=True):
+                        column.append(values)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], schema=_PLACES)
 
 
 _WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("offset", pa.int32()), ("times", pa.int64())])
 
 
 def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Both hashes of every window of the segments (s1, s2, segment, times)."""
+    """Both hashes of every window of the segments listed with each text."""
     hashes = WordHashes()
     with np.errstate(over="ignore"):
         for batch in batches:
-            for s1, s2, segment, times in zip(*batch.columns, strict=True):
-                words = hashes.of(segment.as_py().encode().split())
-                w1, w2 = (mixed(grams(words, WINDOW, *base)).view(np.int64) for base in ((), (_SECOND,)))
-                n = len(w1)
-                yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), pa.array([s1.as_py()] * n, pa.int64()), pa.array([s2.as_py()] * n, pa.int64()),
-                                                  pa.array(np.arange(n, dtype=np.int32)), pa.array([times.as_py()] * n, pa.int64())], schema=_WINDOWS)
+            for a, b in slices(batch.num_rows, 100):
+                columns: list[list[np.ndarray]] = [[] for _ in _WINDOWS]
+                for text, segments in zip(*(c.slice(a, b - a) for c in batch.columns), strict=True):
+                    w1, w2 = _window_hashes(hashes.of(text.as_py().encode().split()))
+                    s1, s2, at, n, times = (np.array(x, dtype=np.int64) for x in zip(
+                        *((s["s1"], s["s2"], s["at"], s["windows"] % TWICE, s["times"]) for s in segments.as_py()), strict=True))
+                    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    place = np.repeat(at, n) + offset
+                    for column, values in zip(columns, (w1[place].view(np.int64), w2[place].view(np.int64), np.repeat(s1, n), np.repeat(s2, n),
+                                                        offset.astype(np.int32), np.repeat(times, n)), strict=True):
+                        column.append(values)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], schema=_WINDOWS)
+
+
+_TEXTS = pa.schema([("shard", pa.int32()), ("salt", pa.int32()), ("salts", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()),
+                    ("segment", pa.string()), ("offsets", pa.list_(pa.int32())), ("whole", pa.bool_())])
+
+
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each segment listed with each text, with its phrases and its group."""
+    def rows():
+        for batch in batches:
+            for text, segments in zip(*batch.columns, strict=True):
+                words = text.as_py().encode().split()
+                for s in segments.as_py():
+                    yield (s["shard"], s["salt"], s["salts"], s["s1"], s["s2"], b" ".join(words[s["at"]:s["at"] + s["windows"] % TWICE + WINDOW - 1]).decode(),
+                           s["offsets"], s["whole"])
+    yield from _flushed(rows(), _TEXTS, 5000)
 
 
 class Automaton:
@@ -123,25 +162,31 @@ class Automaton:
     def __init__(self):
         self.letters, self.found, self.empty = {}, ahocorasick.Automaton(), True
 
-    def _letter(self, word: bytes) -> str:
-        n = len(self.letters) + 2
-        return self.letters.setdefault(word, chr(n if n < 0xD800 else n + 0x800))
-
-    def add(self, phrase: list[bytes]) -> None:
-        self.found.add_word("".join(map(self._letter, phrase)), len(phrase))
+    def spell(self, words: list[bytes]) -> str:
+        """Words as letters, with new letters for new words."""
+        letters = self.letters
+        for w in words:
+            if w not in letters:
+                n = len(letters) + 2
+                letters[w] = chr(n if n < 0xD800 else n + 0x800)
+        return "".join([letters[w] for w in words])
+
+    def add(self, phrase: str) -> None:
+        self.found.add_word(phrase, len(phrase))
         self.empty = False
 
-    def compile(self) -> Automaton:
+    def compile(self) -> None:
         self.found.make_automaton()
-        return self
 
-    def ranges(self, words: list[bytes]) -> list[tuple[int, int]]:
+    def read(self, words: list[bytes]) -> str:
+        return "".join([self.letters.get(w, "\x01") for w in words])
+
+    def ranges(self, spelled: str) -> list[tuple[int, int]]:
         """The merged stretches of words that occurrences of phrases cover."""
         out: list[tuple[int, int]] = []
         if self.empty:
             return out
-        letters = self.letters
-        for last, n in self.found.iter("".join([letters.get(w, "\x01") for w in words])):
+        for last, n in self.found.iter(spelled):
             start = last + 1 - n
             while out and out[-1][1] >= start:
                 start = min(start, out.pop()[0])
@@ -152,26 +197,35 @@ class Automaton:
 _RANGES = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("starts", _LONGS), ("ends", _LONGS)])
 
 
+def _search(group: list[dict]) -> Iterator[tuple]:
+    """One group: its phrases are compiled, then all its segments streamed through the automaton."""
+    automaton = Automaton()
+    for row in group:
+        row["words"] = row["segment"].encode().split()
+        if row["whole"] or row["offsets"]:
+            row["spelled"] = spelled = automaton.spell(row["words"])
+            if row["whole"]:
+                automaton.add(spelled)
+            for at in row["offsets"] or ():
+                automaton.add(spelled[at:at + WINDOW])
+    automaton.compile()
+    for row in group:
+        if not row["guest"] and (found := automaton.ranges(row.get("spelled") or automaton.read(row["words"]))):
+            yield row["s1"], row["s2"], [r[0] for r in found], [r[1] for r in found]
+
+
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, salt, role, s1, s2, segment, offsets, whole) sorted by shard, salt and role: the phrases of
-    a group first (role 0), then the segments to search (role 1), one at a time."""
+    """Rows (shard, salt, guest, s1, s2, segment, offsets, whole) sorted by shard and salt; a guest only brings its phrases."""
     def rows():
-        now, automaton, ready = None, None, False
+        now, group = None, []
         for batch in batches:
-            for shard, salt, role, s1, s2, segment, offsets, whole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (shard, salt) != now:
-                    now, automaton, ready = (shard, salt), Automaton(), False
-                words = segment.encode().split()
-                if role == 0:
-                    if whole:
-                        automaton.add(words)
-                    for at in offsets or ():
-                        automaton.add(words[at:at + WINDOW])
-                else:
-                    if not ready:
-                        ready = bool(automaton.compile())
-                    if found := automaton.ranges(words):
-                        yield s1, s2, [r[0] for r in found], [r[1] for r in found]
+            for a, b in slices(batch.num_rows, 2000):
+                for row in batch.slice(a, b - a).to_pylist():
+                    if (row["shard"], row["salt"]) != now:
+                        yield from _search(group)
+                        now, group = (row["shard"], row["salt"]), []
+                    group.append(row)
+        yield from _search(group)
     yield from _flushed(rows(), _RANGES, 5000)
 
 
@@ -214,46 +268,48 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     # segments whose anchor occurs again; counts are summed before they are shuffled
     places = base.select("uid", F.explode(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("firsts").alias("at"), F.col("counts").alias("windows"))).alias("p")).select(
         "uid", "p.anchor", (F.col("p.at") * 64 + F.col("p.windows")).alias("place"))
-    again = places.groupBy("anchor").agg(F.count("*").alias("occurs")).filter("occurs > 1")
-    chosen = places.join(again, "anchor").groupBy("uid").agg(F.collect_list(F.struct(
-        "anchor", "occurs", F.expr("place div 64").alias("at"), (F.col("place") % 64).alias("windows"))).alias("places"))
-    chosen = base.select("uid", "k1", "k2").join(chosen, "uid").groupBy("k1", "k2").agg(F.first("places").alias("places"), F.count("*").alias("rows"))
+    again = places.groupBy("anchor").agg(F.sum(F.when(F.col("place") % 64 > TWICE, 2).otherwise(1)).alias("occurs")).filter("occurs > 1")
+    chosen = places.join(again, "anchor").groupBy("uid").agg(F.collect_list(F.struct("anchor", "occurs", "place")).alias("p"))
+    chosen = base.select("uid", "k1", "k2").join(chosen, "uid").groupBy("k1", "k2").agg(F.first("p").alias("p"), F.count("*").alias("rows")).select(
+        "k1", "k2", "rows", "p.anchor", "p.occurs", F.expr("transform(p.place, x -> x div 64)").alias("ats"), F.expr("transform(p.place, x -> x % 64)").alias("windows"))
     # the texts that hold such segments
-    held = written(d.select("k1", "k2", "text").join(chosen, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", "text", "places", "rows"), "phrase-texts")
-
-    segment_schema = "s1 long, s2 long, anchor long, occurs long, k1 long, k2 long, at long, windows long, segment string"
-    cut = held.select("k1", "k2", "text", "places")
-    found_at = cut.mapInArrow(_cut_segments(False), segment_schema).select("s1", "s2", "k1", "k2", "at")
-    times = F.sum("rows").alias("times")
-    segments = written(cut.mapInArrow(_cut_segments(True), segment_schema).join(held.select("k1", "k2", F.col("rows")).filter("rows > 1"), ["k1", "k2"], "left")
-                       .withColumn("rows", F.coalesce("rows", F.lit(1).cast("long")))
-                       .groupBy("s1", "s2").agg(F.first("segment").alias("segment"), F.first("anchor").alias("anchor"), F.first("occurs").alias("occurs"), times),
-                       "phrase-segments")
-
-    # windows of different segments of one anchor; a window's first place stands for it
-    mixed_anchors = segments.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    several = segments.join(mixed_anchors, "anchor", "left_semi")
-    windows = several.select("s1", "s2", "segment", "times").mapInArrow(_cut_windows, "w1 long, w2 long, s1 long, s2 long, offset int, times long")
-    phrases = (windows.groupBy("w1", "w2").agg(F.sum("times").alias("times"), F.min(F.struct("s1", "s2", "offset")).alias("place")).filter("times > 1")
-               .groupBy("place.s1", "place.s2").agg(F.collect_list("place.offset").alias("offsets")))
-    marked = written(segments.join(mixed_anchors, "anchor", "left").join(phrases, ["s1", "s2"], "left")
-                     .withColumn("whole", F.col("kinds").isNull() & (F.col("times") > 1)).drop("kinds", "times"), "phrase-marked")
-
-    # automata: one for each shard of anchors; a hot anchor's segments are dealt to several groups, each with its phrases
-    n_shards = marked.count() // SHARD_SEGMENTS + 1
+    held = written(d.select("k1", "k2", "text").join(chosen, ["k1", "k2"]).dropDuplicates(["k1", "k2"]), "phrase-texts")
+    found_at = written(held.select("k1", "k2", "text", "rows", "anchor", "occurs", "ats", "windows").mapInArrow(
+        _name_segments, "s1 long, s2 long, anchor long, occurs long, k1 long, k2 long, at long, windows long, times long"), "phrase-places")
+    body = held.select("k1", "k2", "text")
+
+    # different segments, each with one of its places; where an anchor has several, or one that may repeat
+    # a window itself, windows are compared
+    segments = written(found_at.groupBy("s1", "s2").agg(F.min(F.struct("k1", "k2", "at")).alias("place"), F.first("windows").alias("windows"),
+                                                        F.first("anchor").alias("anchor"), F.first("occurs").alias("occurs"), F.sum("times").alias("times"))
+                       .select("s1", "s2", "place.*", "windows", "anchor", "occurs", "times"), "phrase-segments")
+    several = segments.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("windows").alias("most")).filter(f"kinds > 1 or most > {TWICE}").select("anchor")
+    listed = segments.join(several, "anchor", "left_semi").groupBy("k1", "k2").agg(F.collect_list(F.struct("s1", "s2", "at", "windows", "times")).alias("segments"))
+    windows = body.join(listed, ["k1", "k2"]).select("text", "segments").mapInArrow(_cut_windows, "w1 long, w2 long, s1 long, s2 long, offset int, times long")
+    # a recurring window is a phrase of the first segment that holds it
+    phrases = written(windows.groupBy("w1", "w2").agg(F.sum("times").alias("times"), F.min(F.struct("s1", "s2", "offset")).alias("place")).filter("times > 1")
+                      .groupBy("place.s1", "place.s2").agg(F.collect_list("place.offset").alias("offsets")), "phrase-phrases")
+
+    # automata: one for each shard of anchors; a hot anchor's segments are dealt to several groups, and its phrases to all of them
+    n_shards = segments.count() // SHARD_SEGMENTS + 1
     salts = (F.col("occurs") / HOT_ANCHOR).cast("int") + 1
-    sharded = marked.withColumn("shard", F.pmod("anchor", F.lit(n_shards)).cast("int"))
-    search = sharded.withColumn("salt", F.pmod(F.xxhash64("s1", "s2"), salts).cast("int")).withColumn("role", F.lit(1))
-    compiled = sharded.filter(F.col("whole") | F.col("offsets").isNotNull()).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumn("role", F.lit(0))
-    columns = ["shard", "salt", "role", "s1", "s2", "segment", "offsets", "whole"]
-    ranges = written(compiled.select(columns).unionByName(search.select(columns)).repartition("shard", "salt")
-                     .sortWithinPartitions("shard", "salt", "role").mapInArrow(_stream, f"s1 long, s2 long, starts {longs}, ends {longs}"), "phrase-ranges")
+    grouped = (segments.join(several.withColumn("mixed", F.lit(True)), "anchor", "left").join(phrases, ["s1", "s2"], "left").select(
+        "k1", "k2", F.struct(F.pmod("anchor", F.lit(n_shards)).cast("int").alias("shard"), F.pmod(F.xxhash64("s1", "s2"), salts).cast("int").alias("salt"),
+                             salts.alias("salts"), "s1", "s2", "at", "windows", "offsets", (F.col("mixed").isNull() & (F.col("times") > 1)).alias("whole")).alias("s"))
+        .groupBy("k1", "k2").agg(F.collect_list("s").alias("segments")))
+    search = body.join(grouped, ["k1", "k2"]).select("text", "segments").mapInArrow(
+        _cut_texts, "shard int, salt int, salts int, s1 long, s2 long, segment string, offsets array<int>, whole boolean")
+    # to its own group a segment goes whole; to its anchor's other groups it goes as a guest if it has phrases
+    to = F.when((F.col("salts") > 1) & (F.col("whole") | F.col("offsets").isNotNull()), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("salt"))
+    search = search.withColumn("to", F.explode(to)).select("shard", F.col("to").alias("salt"), (F.col("to") != F.col("salt")).alias("guest"),
+                                                           "s1", "s2", "segment", "offsets", "whole")
+    ranges = written(search.repartition("shard", "salt").sortWithinPartitions("shard", "salt")
+                     .mapInArrow(_stream, f"s1 long, s2 long, starts {longs}, ends {longs}"), "phrase-ranges")
 
     spans = (found_at.join(ranges, ["s1", "s2"])
              .select("k1", "k2", "at", F.explode(F.arrays_zip("starts", "ends")).alias("r"))
              .groupBy("k1", "k2").agg(F.collect_list(F.struct((F.col("at") + F.col("r.starts")).alias("start"), (F.col("at") + F.col("r.ends")).alias("end"))).alias("spans")))
-    kept = (held.select("k1", "k2", "text").join(spans, ["k1", "k2"]).select("k1", "k2", "text", "spans")
+    kept = (body.join(spans, ["k1", "k2"]).select("k1", "k2", "text", "spans")
             .mapInArrow(_remove(with_text), "k1 long, k2 long, n_removed long, kept string, kept_text string"))
     out = base.select("doc_id", "k1", "k2", "n_words", "whole").join(kept, ["k1", "k2"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept", "whole").alias("kept_sha256"), "kept_text")
