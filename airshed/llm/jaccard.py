@@ -47,13 +47,25 @@ class Rule:
 
 @lru_cache(maxsize=4)
 def _bands(rule: Rule) -> list[int]:
-    """First sizes of the bands: sizes that may link are in one band or in neighbouring ones."""
-    firsts = [1]
+    """First sizes of the bands: sizes that may link are in one band or in neighbouring ones.
+    A band spans the least power of 1 / similarity of at least 1.25: wider bands need more
+    blocks, narrower ones make more sets emit blocks for the next band too."""
+    firsts, power = [1], 1
+    while (rule.den / rule.num) ** power < 1.25:
+        power += 1
     while firsts[-1] < 1 << 40:
-        firsts.append(firsts[-1] * rule.den // rule.num + 1)
+        end = firsts[-1]
+        for _ in range(power):
+            end = end * rule.den // rule.num + 1
+        firsts.append(end)
     return firsts
 
 
+def _reaches_next(rule: Rule, n: int, band: int) -> bool:
+    """Whether a set of n shingles may link with one of the next band."""
+    return rule.den * n >= rule.num * _bands(rule)[band + 1]
+
+
 @lru_cache(maxsize=4096)
 def _blocks(rule: Rule, band: int) -> tuple[int, int, int]:
     """Number of blocks for pairs whose larger set is in ``band``, the size below which a
@@ -65,7 +77,7 @@ def _blocks(rule: Rule, band: int) -> tuple[int, int, int]:
     for light in (4, 3, 2, 1):
         x = 0
         for _ in range(8):
-            mean = firsts[max(band - 1, 0)] / (d + 1 + x)
+            mean = max(1, firsts[band] * rule.num / rule.den) / (d + 1 + x)
             part = math.exp(-mean) * sum(mean ** i / math.factorial(i) for i in range(light))
             x = math.ceil((d + 1 + x) * part + 2 * math.sqrt((d + 1 + x) * part))
         if x <= 0.1 * (d + 1) + 1 or light == 1:
@@ -133,7 +145,7 @@ def _sketches(rule: Rule):
                     s = _set(hashes, text.as_py(), rule.words)
                     band = _band(rule, len(s)) if len(s) else 0
                     rows.append((doc_id.as_py(), text_digest.as_py(), len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                                 _keys(s, rule, band) if len(s) else [], _keys(s, rule, band + 1) if len(s) else []))
+                                 _keys(s, rule, band) if len(s) else [], _keys(s, rule, band + 1) if len(s) and _reaches_next(rule, len(s), band) else []))
                     if len(rows) == 500:
                         yield _batch(rows, _SKETCH)
                         rows = []
@@ -162,7 +174,8 @@ def _sets(rule: Rule):
                     s = _set(hashes, text.as_py(), rule.words)
                     if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digest.as_py():
                         band = _band(rule, len(s))
-                        rows.append((c.as_py(), len(s), s.view(np.int64), _parity(s, rule, band), _parity(s, rule, band + 1)))
+                        rows.append((c.as_py(), len(s), s.view(np.int64), _parity(s, rule, band),
+                                     _parity(s, rule, band + 1) if _reaches_next(rule, len(s), band) else []))
                     if len(rows) == 200:
                         yield _batch(rows, _SETS)
                         rows = []
@@ -170,42 +183,55 @@ def _sets(rule: Rule):
     return sets
 
 
-_PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+_PAIRS = pa.schema([("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("more", pa.bool_())])
 
 
 def _closest(rule: Rule):
-    """Pairs of classes worth verifying in groups of rows (group, side, c, component, n, parity, no), sorted by
-    group. side: -1 compares all with all, 0 with 1 otherwise. For each class and each other component, the pair of
-    the least distance among those within the bound; ``no`` lists classes found not to link."""
-    def pairs(group: dict) -> Iterator[tuple[int, int]]:
+    """Pairs of classes worth verifying in groups of rows (group, key, side, c, component, n, parity, no), sorted by
+    group. side: -1 compares all with all, 0 with 1 otherwise. Of the pairs within the bound, nearest first, those that
+    join components not yet joined by a nearer one: fewer than the group has components. ``more`` tells
+    that others were left out; if a pair turns out not to link, the group is searched again. ``no`` lists classes
+    found not to link."""
+    def pairs(group: dict) -> Iterator[tuple[int, int, int, bool]]:
         c, comp, n, side = (np.array(group[x]) for x in ("c", "component", "n", "side"))
         if (comp == comp[0]).all():
             return
         bits = np.array([np.asarray(x, dtype=np.int64) for x in group["parity"]]).view(np.uint64)
         known = {(a, b) for a, no in zip(group["c"], group["no"], strict=True) for b in no or ()}
-        values, counts = np.unique(comp, return_counts=True)
-        largest = values[np.argmax(counts)]
-        for i in np.flatnonzero(comp != largest):  # each pair of components has a side that is not the largest
+        values, comp, counts = np.unique(comp, return_inverse=True, return_counts=True)
+        found: list[tuple[np.ndarray, ...]] = []
+        for i in np.flatnonzero(comp != np.argmax(counts)):  # each pair of components has a side that is not the largest
             other = comp != comp[i]
             if side[i] >= 0:
                 other &= side != side[i]
             j = np.flatnonzero(other)
-            if not len(j):
-                continue
             far = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
             slack = rule.difference(n[j] + n[i]) - far
             # sizes too far apart cannot link either
             near = (slack >= 0) & (rule.den * np.minimum(n[j], n[i]) >= rule.num * np.maximum(n[j], n[i]))
-            j, slack = j[near], slack[near]
-            done = set()
-            for x in j[np.argsort(-slack, kind="stable")]:
-                a, b = int(c[i]), int(c[x])
-                if comp[x] not in done and (a, b) not in known and (b, a) not in known:
-                    done.add(comp[x])
-                    yield min(a, b), max(a, b)
+            found.append((np.full(near.sum(), i), j[near], slack[near]))
+        first, second, slack = (np.concatenate(x) for x in zip(*found, strict=True))
+        if known:
+            fresh = np.array([(c[a], c[b]) not in known and (c[b], c[a]) not in known for a, b in zip(first, second, strict=True)], dtype=bool)
+            first, second, slack = first[fresh], second[fresh], slack[fresh]
+        near = np.argsort(-slack, kind="stable")
+        of = np.sort(np.stack([comp[first[near]], comp[second[near]]]), axis=0)
+        best = np.sort(np.unique(of[0] * len(values) + of[1], return_index=True)[1])  # the nearest pair of each two components
+        joined, pairs_ = list(range(len(values))), []
+        def root(x: int) -> int:
+            while joined[x] != x:
+                joined[x] = x = joined[joined[x]]
+            return x
+        for at in best:
+            a, b = root(of[0, at]), root(of[1, at])
+            if a != b:
+                joined[a] = b
+                pairs_.append(sorted((int(c[first[near[at]]]), int(c[second[near[at]]]))))
+        for u, v in pairs_:
+            yield group["key"][0], u, v, len(first) > len(pairs_)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held, now = ("side", "c", "component", "n", "parity", "no"), None, None
+        names, held, now = ("key", "side", "c", "component", "n", "parity", "no"), None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["group"] != now:
@@ -244,10 +270,12 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("home").alias("home"), F.first("next").alias("next"))
         .withColumn("c", F.monotonically_increasing_id()), "jaccard-classes")
 
-    rows = classes.select("c", F.explode("home").alias("key"), F.lit(False).alias("next")).unionByName(
-        classes.select("c", F.explode("next").alias("key"), F.lit(True).alias("next")))
-    shared = rows.groupBy("key").agg(F.min("c").alias("u"), F.count("*").alias("size")).filter("size > 1")
-    buckets = written(rows.join(shared, "key"), "jaccard-buckets")
+    # c and whether the block is for the next band, in one number
+    rows = classes.select((F.col("c") * 2).alias("entry"), F.explode("home").alias("key")).unionByName(
+        classes.select((F.col("c") * 2 + 1).alias("entry"), F.explode("next").alias("key")))
+    shared = rows.groupBy("key").agg(F.min("entry").alias("least"), F.count("*").alias("size")).filter("size > 1")
+    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"),
+                                                      F.expr("least div 2").alias("u"), "size"), "jaccard-buckets")
     checked = written(buckets.filter("c <> u").select("u", F.col("c").alias("v")).distinct(), "jaccard-pairs")
     wanted = buckets.select("c").distinct().join(classes.select("c", "doc_id", "digest"), "c")
     body = d.select(F.col("doc_id").alias("id"), "text")
@@ -256,14 +284,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                    .dropDuplicates(["c"]), "jaccard-sets")
 
     verdicts = written(_verify(checked, sets, rule), "jaccard-verdicts")
-    links = verdicts.filter("linked").select("u", "v")
+    open_ = buckets.filter("size > 2")  # buckets of two are done
     while True:
-        member = components(links).withColumnRenamed("node", "c")
-        fresh = written(_candidates(buckets, sets, member, verdicts, rule), "jaccard-pairs")
+        member = components(verdicts.filter("linked").select("u", "v")).withColumnRenamed("node", "c")
+        found = written(_candidates(open_, sets, member, verdicts, rule), "jaccard-candidates")
+        fresh = found.select("u", "v").distinct()
         if fresh.isEmpty():
             break
-        verdicts = written(verdicts.unionByName(_verify(fresh, sets, rule)), "jaccard-verdicts")
-        links = verdicts.filter("linked").select("u", "v")
+        new = written(_verify(fresh, sets, rule), "jaccard-verdicts")
+        verdicts = verdicts.unionByName(new)
+        # a bucket stays open while a pair that did not link leaves others behind it
+        left = found.filter("more").join(new.filter("not linked"), ["u", "v"]).select("key").distinct()
+        open_ = open_.join(left, "key", "left_semi")
 
     labelled = classes.select("c", "digest").join(member, "c", "left").select("digest", F.coalesce("component", "c").alias("component"))
     out = sketched.select("doc_id", "text_digest", "n", "digest").join(labelled, "digest", "left")
@@ -286,8 +318,8 @@ def first_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def _candidates(buckets: DataFrame, sets: DataFrame, member: DataFrame, verdicts: DataFrame, rule: Rule) -> DataFrame:
-    """Unverified pairs of different components from the buckets that hold several (buckets of two are done)."""
-    rows = buckets.filter("size > 2").join(member, "c", "left").withColumn("component", F.coalesce("component", "c"))
+    """Unverified pairs of different components from the buckets that hold several."""
+    rows = buckets.join(member, "c", "left").withColumn("component", F.coalesce("component", "c"))
     several = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
     rows = rows.join(several, "key", "left_semi").select("key", "c", "next", "component", "size")
     # a bucket beyond the chunk size is dealt to one group for each pair of chunks
@@ -299,8 +331,8 @@ def _candidates(buckets: DataFrame, sets: DataFrame, member: DataFrame, verdicts
     no = verdicts.filter("not linked").groupBy("v").agg(F.collect_list("u").alias("no")).withColumnRenamed("v", "c")
     parity = sets.select("c", "n", "home", F.col("next").alias("next_bits"))
     rows = rows.join(parity, "c").join(no, "c", "left").select(
-        "group", "side", "c", "component", "n", F.when(F.col("next"), F.col("next_bits")).otherwise(F.col("home")).alias("parity"), "no")
-    return (rows.repartition("group").sortWithinPartitions("group").mapInArrow(_closest(rule), "u long, v long").distinct())
+        "group", "key", "side", "c", "component", "n", F.when(F.col("next"), F.col("next_bits")).otherwise(F.col("home")).alias("parity"), "no")
+    return (rows.repartition("group").sortWithinPartitions("group").mapInArrow(_closest(rule), "key long, u long, v long, more boolean").distinct())
 
 
 def op8_parity_sketch(spark, sf_dir: str) -> DataFrame:
