@@ -88,57 +88,65 @@ def _rows(found: DataFrame) -> DataFrame:
     return rows
 
 
+#: Columns of a candidate token.
+TOKEN = ("uid", "rank", "start", "end", "value")
+
+
 def battery(tokens: DataFrame) -> DataFrame:
     """Add the encoding, length class, the three chances under randomness and ``p``, the
-    combined chance under natural text, to rows with a ``value``; other rows of the battery's columns are null.
-    Tokens without a letter or without a digit are left out."""
+    combined chance under natural text, to rows of ``TOKEN``. Tokens without a letter or without a digit are left out."""
     core = F.regexp_replace("value", "[+/=_-]", "")
-    t = tokens.withColumn("core", core).withColumn("n", F.char_length("core")).filter(
+    t = tokens.withColumn("core", core).withColumn("n", F.char_length("core").cast("double")).filter(
         (F.col("n") >= 16) & F.col("core").rlike("[0-9]") & F.col("core").rlike("[A-Za-z]"))
     encoding, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, pattern, letters in reversed(ENCODINGS):
         encoding = F.when(F.col("core").rlike(pattern), name).otherwise(encoding)
         alphabet = F.when(F.col("core").rlike(pattern), letters).otherwise(alphabet)
-    one_case = F.col("encoding").isin("hex", "base36")
-    t = t.withColumn("encoding", encoding).withColumn("alphabet", alphabet)
-    t = t.withColumn("core", F.when(one_case, F.lower("core")).otherwise(F.col("core")))
-    t = t.withColumn("chars", F.split("core", "(?!^)"))
-    t = t.withColumn("codes", F.expr("transform(chars, c -> cast(position(c, alphabet) as double))"))
-    t = t.withColumn("k", F.length("alphabet").cast("double"))
-    t = t.withColumn("squares", F.expr("aggregate(array_distinct(chars), 0D, (a, c) -> a + power(n - length(replace(core, c, '')), 2))"))
+    t = _settled(t, n="n", core="core", encoding=encoding, alphabet=alphabet)
+    one_case = F.when(F.col("encoding").isin("hex", "base36"), F.lower("core")).otherwise(F.col("core"))
+    t = _settled(t, n="n", encoding="encoding", alphabet="alphabet", k=F.length("alphabet").cast("double"), core=one_case, chars=F.split(one_case, "(?!^)"))
+    classes = F.translate("core", DIGITS + LOWER + UPPER, "0" * 10 + "a" * 26 + "A" * 26)
+    t = _settled(
+        t, n="n", k="k", encoding="encoding",
+        codes=F.expr("transform(chars, c -> cast(position(c, alphabet) as double))"),
+        squares=F.expr("aggregate(array_distinct(chars), 0D, (a, c) -> a + power(n - length(replace(core, c, '')), 2))"),
+        changes=(F.size(F.regexp_extract_all(classes, F.lit(r"(.)\1*"), F.lit(0))) - 1).cast("double"))
+    t = _settled(t, n="n", k="k", encoding="encoding", codes="codes", squares="squares", changes="changes",
+                 mean=F.expr("aggregate(codes, 0D, (a, x) -> a + x) / n"))
+    t = _settled(
+        t, n="n", k="k", encoding="encoding", squares="squares", changes="changes",
+        var=F.expr("aggregate(codes, 0D, (a, x) -> a + (x - mean) * (x - mean))"),
+        cov=F.expr("aggregate(zip_with(codes, slice(codes, 2, int(n) - 1), (x, y) -> (x - mean) * (coalesce(y, mean) - mean)), 0D, (a, x) -> a + x)"))
     # chi-squared against the uniform alphabet, made normal by its cube root
     df = F.col("k") - 1
     chi = F.col("k") / F.col("n") * F.col("squares") - F.col("n")
     cube = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    t = t.withColumn("p_uniform", 1 - _normal(cube))
     # runs of classes: upper, lower, digit; their expected changes under the uniform alphabet
-    classes = F.translate("core", DIGITS + LOWER + UPPER, "0" * 10 + "a" * 26 + "A" * 26)
-    changes = F.size(F.regexp_extract_all(classes, F.lit(r"(.)\1*"), F.lit(0))) - 1
-    t = t.withColumn("changes", changes.cast("double"))
     rate = F.when(F.col("encoding") == "hex", 2 * 10 * 6 / 256).when(F.col("encoding") == "base32", 2 * 26 * 6 / 1024).when(
         F.col("encoding") == "base36", 2 * 10 * 26 / 1296).otherwise(1 - (2 * 26 ** 2 + 10 ** 2) / 62 ** 2)
     def z_changes(r: Column) -> Column:
         return (F.col("changes") - (F.col("n") - 1) * r) / F.sqrt((F.col("n") - 1) * r * (1 - r))
-    t = t.withColumn("p_runs", 2 * _normal(-F.abs(z_changes(rate))))
     # serial correlation of neighbouring codes
-    t = t.withColumn("mean", F.expr("aggregate(codes, 0D, (a, x) -> a + x) / n"))
-    t = t.withColumn("var", F.expr("aggregate(codes, 0D, (a, x) -> a + (x - mean) * (x - mean))"))
-    t = t.withColumn("cov", F.expr("aggregate(zip_with(codes, slice(codes, 2, n - 1), (x, y) -> (x - mean) * (coalesce(y, mean) - mean)), 0D, (a, x) -> a + x)"))
     serial = F.when(F.col("var") > 0, F.col("cov") / F.col("var")).otherwise(1.0) * F.sqrt("n")
-    t = t.withColumn("p_serial", 2 * _normal(-F.abs(serial)))
     # natural text: equal pairs (fewer in a random token) and class changes (more), by Fisher's rule
     pairs, equal = F.col("n") * (F.col("n") - 1) / 2, (F.col("squares") - F.col("n")) / 2
     spread = F.sqrt(pairs * NATURAL_EQUAL * (1 - NATURAL_EQUAL) + F.col("n") * (F.col("n") - 1) * (F.col("n") - 2) * NATURAL_THIRD)
-    p_equal = _normal((equal + 0.5 - pairs * NATURAL_EQUAL) / spread)
-    p_changes = _normal(-z_changes(F.lit(NATURAL_CHANGES)))
-    x = -F.log(p_equal) - F.log(p_changes)
+    x = -F.log(_normal((equal + 0.5 - pairs * NATURAL_EQUAL) / spread)) - F.log(_normal(-z_changes(F.lit(NATURAL_CHANGES))))
     length = F.lit(0)
     for i, end in enumerate(LENGTHS):
         length = F.when(F.col("n") > end, i + 1).otherwise(length)
-    return t.withColumn("p", F.exp(-x) * (1 + x)).withColumn("length_class", length).select(
+    return _settled(t, encoding="encoding", length_class=length, p_uniform=1 - _normal(cube), p_runs=2 * _normal(-F.abs(z_changes(rate))),
+                    p_serial=2 * _normal(-F.abs(serial)), p=F.exp(-x) * (1 + x)).select(
         *tokens.columns, "encoding", "length_class", "p_uniform", "p_runs", "p_serial", "p")
 
 
+def _settled(t: DataFrame, **columns: Column | str) -> DataFrame:
+    """The token's own columns (uid to value) and the given ones, computed once: they come out of a one-row generator, so
+    that later lambdas and filters refer to values and not to copies of the expressions."""
+    made = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
+    return t.select(*TOKEN, F.inline(F.array(made)))
+
+
 def discoveries(tested: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
     """The rows of ``battery`` that are secrets. Benjamini-Hochberg per encoding and
     length class: chances are counted in steps of a tenth of their logarithm, a bounded table; the
