@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.operators import checks, clean
-from airshed.operators.gold import daily_gold, sorted_gold
+from airshed.operators.gold import daily_gold
 from airshed.plans import (calendar_reports as cal, compliance, forecast, levels, locations,
                            quality, runs as runmon, stats, summary)
 from airshed.session import scratch_path
-from airshed.operators.partitioning import spread_small_layer
 from airshed.sources import adapter
 from airshed.sources.tables import read_table
-from airshed.sources.layers_io import refresh_table, write_layer
+from airshed.schema import GOLD_KEYS
+from airshed.sources.layers_io import (BATCH_LOAD, LOAD, MONTH, read_by_month, refresh_table, write_by_month,
+                                       write_layer)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,20 +60,17 @@ def layer_tables(spark: SparkSession, sf_dir: str) -> LayerTables:
 
     Each layer is written from the one below, read back (the written table
     is the lineage cut: a lost executor recomputes nothing upstream of it).
-    Gold is sorted by date, location, pollutant and zone, which gives each
-    row group tight date statistics: a report's last-N-days filter skips
-    the older row groups.
+    Silver and Gold lie in month folders and are sorted by date inside: a
+    report's last-N-days filter skips the older files by their date statistics.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     t = _LAYERS.get(key)
     if t is None:
         root = scratch_path(spark, f"layers-{uuid.uuid4().hex[:12]}")
         t = LayerTables(*(os.path.join(root, n) for n in ("bronze", "silver", "gold")))
-        lineitem = read_table(spark, sf_dir, "lineitem")
-        write_layer(spread_small_layer(raw(spark, sf_dir), lineitem,
-                                       spark.sparkContext.defaultParallelism), t.bronze)
-        write_layer(clean.to_silver(spark.read.parquet(t.bronze)), t.silver)
-        write_layer(sorted_gold(daily_gold(spark.read.parquet(t.silver))), t.gold)
+        write_layer(raw(spark, sf_dir), t.bronze)
+        write_by_month(clean.to_silver(spark.read.parquet(t.bronze)), t.silver, ["date"], BATCH_LOAD)
+        write_by_month(daily_gold(read_by_month(spark, t.silver)), t.gold, list(GOLD_KEYS))
         _LAYERS[key] = t
     return t
 
@@ -86,7 +84,7 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
     scan (file listing, footer schema) is resolved once and reused."""
     df = _SCANS.get(path)
     if df is None:
-        df = _SCANS[path] = spark.read.parquet(path)
+        df = _SCANS[path] = spark.read.parquet(path).drop(MONTH, LOAD)
     return df
 
 
@@ -195,16 +193,132 @@ def _dedupe(spark, sf_dir):
 def _silver_retention(spark, sf_dir):
     from airshed.sources.incremental import retention_split
     s = silver_table(spark, sf_dir)
-    # latest Silver date as a literal: the cutoff becomes a pushed scan filter
-    keep, _ = retention_split(s, days=365, as_of=s.agg(F.max("date")).first()[0])
+    # the latest Silver date is a scalar subquery: no job runs while the plan is built
+    keep, _ = retention_split(s, days=365, as_of=s.agg(F.max("date")).scalar())
     return keep
 
 
+def _silver_expired(spark, sf_dir):
+    from airshed.sources.incremental import retention_split
+    s = silver_table(spark, sf_dir)
+    return retention_split(s, days=365, as_of=s.agg(F.max("date")).scalar())[1]
+
+
 def _monthly_summary_table(spark, sf_dir):
-    path = scratch_path(spark, f"monthly_summary_{abs(hash(sf_dir))}")
+    path = scratch_path(spark, "monthly_summary")
     return refresh_table(spark, levels.monthly_levels(gold_table(spark, sf_dir)), path)
 
 
+def _gold_refreshed(spark, sf_dir):
+    """Gold written whole, then three of its months refreshed in place."""
+    from airshed.sources.incremental import refresh_gold, touched_months
+    silver_path = layer_tables(spark, sf_dir).silver
+    path = scratch_path(spark, f"gold-refreshed-{uuid.uuid4().hex[:12]}")
+    s = read_by_month(spark, silver_path)
+    write_by_month(daily_gold(s), path, list(GOLD_KEYS))
+    refresh_gold(spark, silver_path, touched_months(s)[1::30], path)
+    return read_by_month(spark, path)
+
+
+def _incremental_load(spark, sf_dir):
+    """Two loads by mark, up to the middle of 1998 and then the rest; Gold as after one full load."""
+    from airshed.layers import LayerPaths, run_incremental
+    root = scratch_path(spark, f"incremental-{uuid.uuid4().hex[:12]}")
+    paths, marks, rows = LayerPaths(root), os.path.join(root, "marks"), bronze_table(spark, sf_dir)
+    run_incremental(spark, paths, rows, marks, as_of="1998-06-17", load_id="first")
+    run_incremental(spark, paths, rows, marks, as_of="2099-12-31", load_id="second")
+    return read_by_month(spark, paths.gold)
+
+
+def _csv_mixed_headers(spark, sf_dir):
+    """The raw rows as CSV files of two header orders in one landing folder, read in one call."""
+    from airshed.sources.csv_ingest import read_raw_csv
+    path = scratch_path(spark, f"mixed-headers-{uuid.uuid4().hex[:12]}")
+    b = bronze_table(spark, sf_dir)
+    south = F.coalesce(F.col("latitude") < 0, F.lit(False))
+    b.filter(south).write.option("header", True).csv(path)
+    b.filter(~south).select(*reversed(b.columns)).write.mode("append").option("header", True).csv(path)
+    return read_raw_csv(spark, os.path.join(path, "*.csv")).drop("source_file").select(*b.columns)
+
+
+def _extra_rule_counts(spark, sf_dir):
+    """Reject counts with a rule on a column that Bronze does not declare (text, as an undeclared CSV column)."""
+    b = bronze_table(spark, sf_dir).withColumn("humidity", (F.col("value") + 20).cast("string"))
+    return clean.reject_counts(b, clean.default_rules() + [clean.range_rule("humidity", 0, 100)])
+
+
+def _violations_found(spark, sf_dir):
+    """Gold with a fault in the first day of each month: min above max."""
+    g = gold_table(spark, sf_dir)
+    bad = F.when(F.dayofmonth("date") == 1, F.col("max_value") + 1).otherwise(F.col("min_value"))
+    return checks.aggregate_violations(g.withColumn("min_value", bad))
+
+
+def _schema_problems(spark, sf_dir):
+    """Bronze without a declared column, with one as text and one too many, against its schema."""
+    from airshed.schema import RAW_SCHEMA
+    b = bronze_table(spark, sf_dir)
+    changed = b.drop("zone").withColumn("value", F.col("value").cast("string")).withColumn("humidity", F.lit(1))
+    return checks.schema_diff(spark, changed.schema, RAW_SCHEMA).crossJoin(
+        changed.agg(F.count("*").alias("rows")))
+
+
+def _finished(query):
+    query.awaitTermination()
+    return query
+
+
+def _stream_paths(spark, name):
+    root = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    return [os.path.join(root, x) for x in ("in", "out", "state", "gold")]
+
+
+def _stream_bronze_rows(spark, sf_dir):
+    """The landing folder streamed into Bronze (T1), with the metadata columns (S2) checked per row."""
+    from airshed.streaming.landing import start_landing_to_bronze
+    _, out, state, _ = _stream_paths(spark, "stream-bronze")
+    _finished(start_landing_to_bronze(spark, landing_csv(spark, sf_dir), out, state))
+    b = spark.read.parquet(out)
+    known = F.col("source_file").endswith(".csv") & F.col("ingestion_timestamp").isNotNull()
+    return b.withColumn("has_metadata", known).drop("ingestion_timestamp", "source_file")
+
+
+def _stream_gold(spark, sf_dir):
+    """Bronze streamed into Silver and Gold (T2), in two runs of the stream."""
+    from airshed.sources.csv_ingest import to_bronze
+    from airshed.streaming.gold_refresh import start_bronze_to_gold
+    landed, out, state, gold_path = _stream_paths(spark, "stream-gold")
+    b = to_bronze(bronze_table(spark, sf_dir))
+    late = F.coalesce(F.col("latitude") < 0, F.lit(False))
+    for part in (b.filter(~late), b.filter(late)):
+        part.write.mode("append").parquet(landed)
+        _finished(start_bronze_to_gold(spark, landed, out, gold_path, state))
+    return read_by_month(spark, gold_path)
+
+
+def _stream_dedupe(spark, sf_dir):
+    """Events delivered twice, streamed through the duplicate suppression (T4)."""
+    from airshed.streaming import alerts
+    landed, out, state, _ = _stream_paths(spark, "stream-dedupe")
+    ev = read_table(spark, sf_dir, "events")
+    ev.unionByName(ev).write.parquet(landed)
+    runs = alerts.drop_duplicate_runs(alerts.runs_stream(spark, landed))
+    _finished(runs.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out))
+    return spark.read.parquet(out).select("pipeline_name", "status", "event_id")
+
+
+def _stream_failure_windows(spark, sf_dir):
+    """Sliding failure windows (T3) of the event stream, whole counts after each micro-batch."""
+    from airshed.streaming import alerts
+    landed, out, state, _ = _stream_paths(spark, "stream-windows")
+    read_table(spark, sf_dir, "events").write.parquet(landed)
+    windows = alerts.failure_alerts(alerts.runs_stream(spark, landed))
+    _finished(windows.writeStream.outputMode("complete").option("checkpointLocation", state).trigger(availableNow=True)
+              .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start())
+    ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return spark.read.parquet(out).select(*ntz, "failed_runs")
+
+
 def _rolling_stats(spark, sf_dir):
     return stats.rolling_stats(gold_table(spark, sf_dir))
 
@@ -214,6 +328,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_summary": _report(quality.quality_summary),
     "location_coverage": _plain(quality.location_coverage),
     "missing_series_days": _report(quality.missing_series_days),
+    "missing_series_runs": _plain(quality.missing_series_runs),
     "current_levels": _plain(levels.current_levels),
     "daily_trend": _report(levels.daily_trend),
     "top_exceedances": _plain(levels.top_exceedances),
@@ -243,6 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_summary_table": _monthly_summary_table,
     # run-history monitoring
     "run_failure_rate": _runs(runmon.run_failure_rate),
+    "run_failure_rate_any": _runs(runmon.run_failure_rate, alert_percent=0.0),
     "circuit_breaker": _runs(runmon.circuit_breaker),
     "failure_windows": _runs(runmon.failure_windows),
     # layers and data-quality operators
@@ -253,6 +369,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_rows": _quarantine_rows,
     "layer_reconciliation": _layer_reconciliation,
     "aggregate_violations": _aggregate_violations,
+    "aggregate_violations_found": _violations_found,
+    "extra_rule_counts": _extra_rule_counts,
+    "schema_problems": _schema_problems,
+    "gold_refreshed": _gold_refreshed,
+    "incremental_load": _incremental_load,
+    "csv_mixed_headers": _csv_mixed_headers,
+    "silver_expired": _silver_expired,
+    # streams, run to the end of their input and read back
+    "stream_bronze_rows": _stream_bronze_rows,
+    "stream_gold": _stream_gold,
+    "stream_dedupe": _stream_dedupe,
+    "stream_failure_windows": _stream_failure_windows,
     "dedupe_rows": _dedupe,
     "silver_retention": _silver_retention,
     "rolling_stats": _rolling_stats,

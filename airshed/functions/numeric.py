@@ -12,8 +12,11 @@ _ROUND_DECIMAL = "decimal(38,8)"
 
 
 def round_half_up(col: Column | str, scale: int = 2) -> Column:
+    """Half-up on the decimal value; infinite and other doubles beyond the
+    decimal's range have no digits to round and stay as they are."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c.cast(_ROUND_DECIMAL), scale).cast("double")
+    d = c.cast("double")
+    return F.when(F.abs(d) >= F.lit(1e29), d).otherwise(F.round(c.try_cast(_ROUND_DECIMAL), scale).cast("double"))
 
 
 def r2(col: Column | str) -> Column:

@@ -16,11 +16,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from airshed.functions import labels as L
 from airshed.operators import clean
-from airshed.operators.gold import daily_gold, sorted_gold
-from airshed.schema import BRONZE_SCHEMA, SILVER_SCHEMA
+from airshed.operators.checks import schema_diff
+from airshed.operators.gold import daily_gold
+from airshed.schema import BRONZE_SCHEMA, GOLD_KEYS
 from airshed.sources.csv_ingest import read_raw_csv, to_bronze
-from airshed.sources.layers_io import read_layer, write_layer, write_partitions
+from airshed.sources.incremental import read_mark, refresh_gold, since_mark, touched_months, write_mark
+from airshed.sources.layers_io import (BATCH_LOAD, LOAD, drop_partition, read_layer, write_by_month, write_layer,
+                                       write_partitions)
 
 
 @dataclass(frozen=True)
@@ -50,29 +54,68 @@ RUN_LOG_SCHEMA = "stage string, status string, rows bigint, output_path string,
 def write_bronze(spark: SparkSession, raw: DataFrame, path: str,
                  run_ts: _dt.datetime | None = None) -> int:
     obs = Observation("bronze")
-    write_layer(to_bronze(raw, run_ts).observe(obs, F.count(F.lit(1)).alias("rows")), path)
+    rows = to_bronze(raw, run_ts).observe(obs, F.count(F.lit(1)).alias("rows"))
+    write_layer(rows.withColumn(LOAD, F.lit(BATCH_LOAD)), path, [LOAD])
     return obs.get["rows"]
 
 
+def _bronze(spark: SparkSession, path: str) -> DataFrame:
+    """Bronze with all its columns. Declared columns have to be there with their
+    types (``schema_diff``); undeclared ones go through to Silver."""
+    bronze = read_layer(spark, path).drop(LOAD)
+    wrong = [r for r in schema_diff(spark, bronze.schema, BRONZE_SCHEMA).collect() if r["problem"] != "unexpected"]
+    if wrong:
+        raise ValueError(f"{path} differs from the declared schema: {[(r['column'], r['problem']) for r in wrong]}")
+    return bronze
+
+
 def write_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str,
-                 run_date: _dt.date | None = None, rules=None) -> tuple[int, int]:
-    bronze = read_layer(spark, bronze_path, BRONZE_SCHEMA)
+                 run_date: _dt.date | None = None, rules=None, load_id: str = BATCH_LOAD,
+                 bronze: DataFrame | None = None, replace_load: bool = False) -> tuple[int, int]:
+    bronze = _bronze(spark, bronze_path) if bronze is None else bronze
+    run_date = run_date or _dt.date.today()
     s_obs, q_obs = Observation("silver"), Observation("quarantine")
-    write_layer(clean.to_silver(bronze, rules).observe(s_obs, F.count(F.lit(1)).alias("rows")),
-                silver_path)
-    q = clean.to_quarantine(bronze, rules, run_date=run_date or _dt.date.today())
+    write_by_month(clean.to_silver(bronze, rules).observe(s_obs, F.count(F.lit(1)).alias("rows")),
+                   silver_path, ["date"], load_id, replace_months=replace_load)
+    q = clean.to_quarantine(bronze, rules, run_date=run_date)
     # one dated folder per run; a rerun of the same day replaces its own folder only
     write_partitions(q.observe(q_obs, F.count(F.lit(1)).alias("rows")), quarantine_path, ["run_date"])
+    if not q_obs.get["rows"]:  # nothing was written, so nothing was replaced either
+        drop_partition(spark, quarantine_path, "run_date", run_date.isoformat())
     return s_obs.get["rows"], q_obs.get["rows"]
 
 
 def write_gold(spark: SparkSession, silver_path: str, gold_path: str) -> int:
-    silver = read_layer(spark, silver_path, SILVER_SCHEMA)
+    silver = read_layer(spark, silver_path)
     obs = Observation("gold")
-    write_layer(sorted_gold(daily_gold(silver)).observe(obs, F.count(F.lit(1)).alias("rows")), gold_path)
+    write_by_month(daily_gold(silver).observe(obs, F.count(F.lit(1)).alias("rows")), gold_path, list(GOLD_KEYS))
     return obs.get["rows"]
 
 
+def run_incremental(spark: SparkSession, paths: LayerPaths, raw: DataFrame, mark_path: str, pipeline: str = "main",
+                    as_of=None, load_id: str | None = None, run_date: _dt.date | None = None, rules=None) -> list[int]:
+    """Load the rows after the pipeline's mark, up to ``as_of``, and refresh Gold for
+    the months they touch; returns these months.
+
+    Bronze keeps each load in a folder of its own. The mark is recorded last: a run
+    that failed is repeated under the same ``load_id`` and replaces what it had written. Rows whose
+    date does not parse or is up to the mark are not part of an incremental load (see ``since_mark``).
+    """
+    load_id = load_id or f"load-{(run_date or _dt.date.today()).isoformat()}"
+    dated = raw.withColumn("_date", clean.parse_date("date"))
+    rows = since_mark(dated, read_mark(spark, mark_path, pipeline), as_of, "_date").drop("_date")
+    write_partitions(to_bronze(rows).withColumn(LOAD, F.lit(load_id)), paths.bronze, [LOAD])
+    bronze = spark.read.parquet(paths.bronze).filter(F.col(LOAD) == load_id).drop(LOAD)
+    if bronze.isEmpty():  # nothing after the mark
+        return []
+    write_silver(spark, paths.bronze, paths.silver, paths.quarantine, run_date, rules, load_id, bronze, replace_load=True)
+    loaded = spark.read.parquet(paths.silver).filter(F.col(LOAD) == load_id)
+    months = touched_months(loaded)
+    refresh_gold(spark, paths.silver, months, paths.gold)
+    write_mark(spark, bronze.select(clean.parse_date("date").alias("date")), mark_path, pipeline)
+    return months
+
+
 def run_layers(spark: SparkSession, paths: LayerPaths, raw: DataFrame | None = None,
                csv_input=None, run_date: _dt.date | None = None) -> DataFrame:
     """Run all stages; returns the run log. Stops at the first failing stage,
@@ -83,7 +126,7 @@ def run_layers(spark: SparkSession, paths: LayerPaths, raw: DataFrame | None = N
         if raw is None:
             raw = read_raw_csv(spark, csv_input)
             if raw.isEmpty():
-                raise ValueError(f"Input CSV is empty: {csv_input}")
+                raise ValueError(f"no rows in {csv_input}")
         log.append((stage, "success", write_bronze(spark, raw, paths.bronze), paths.bronze, None))
         stage = "silver"
         s_rows, q_rows = write_silver(spark, paths.bronze, paths.silver, paths.quarantine, run_date)
@@ -94,3 +137,12 @@ def run_layers(spark: SparkSession, paths: LayerPaths, raw: DataFrame | None = N
     except Exception as e:  # the run log records the failure, then it is re-raised by the caller's choice
         log.append((stage, "error", None, None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(log, RUN_LOG_SCHEMA)
+
+
+def as_run_history(log: DataFrame, pipeline: str = "main", finished: _dt.datetime | None = None) -> DataFrame:
+    """A run log as one row of run history, as ``plans.runs`` reads it: Failed if
+    any stage failed. Append it to the run table after each run."""
+    failed = F.bool_or(F.col("status") != "success")
+    return log.agg(F.when(failed, L.RUN_FAILED).otherwise(L.RUN_SUCCEEDED).alias("status")).select(
+        F.lit(pipeline).alias("pipeline_name"), "status",
+        F.lit(finished or _dt.datetime.now()).cast("timestamp").alias("time_generated"))

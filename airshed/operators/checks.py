@@ -14,7 +14,7 @@ def reconcile(raw: DataFrame, silver: DataFrame, quarantine: DataFrame,
     """One row of layer counts and the invariants between them.
 
     Silver + quarantine must equal the input, Silver can only shrink, and Gold
-    must have exactly one row per key. Each count is one distributed aggregate
+    must have exactly one row for each non-null key of Silver. Each count is one distributed aggregate
     (scalar subquery); nothing but the counts reaches the driver.
     """
     keys = list(GOLD_KEYS)
@@ -22,6 +22,7 @@ def reconcile(raw: DataFrame, silver: DataFrame, quarantine: DataFrame,
     quarantined_rows = quarantine.agg(F.count(F.lit(1))).scalar()
     gold_rows = gold.agg(F.count(F.lit(1))).scalar()
     gold_keys = gold.select(*keys).distinct().agg(F.count(F.lit(1))).scalar()
+    silver_keys = silver.select(*keys).dropna().distinct().agg(F.count(F.lit(1))).scalar()
     base = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
     return base.select(
         "raw_rows",
@@ -31,6 +32,7 @@ def reconcile(raw: DataFrame, silver: DataFrame, quarantine: DataFrame,
         (silver_rows <= F.col("raw_rows")).alias("silver_within_raw"),
         ((silver_rows + quarantined_rows) == F.col("raw_rows")).alias("split_complete"),
         (gold_keys == gold_rows).alias("gold_keys_unique"),
+        (gold_keys == silver_keys).alias("gold_complete"),
     )
 
 
@@ -79,8 +81,3 @@ def schema_diff(spark: SparkSession, actual: T.StructType, expected: T.StructTyp
     schema = "column string, expected_type string, actual_type string, problem string"
     return spark.createDataFrame(rows, schema)
 
-
-def require_columns(df: DataFrame, required) -> None:
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing required columns: {missing}")

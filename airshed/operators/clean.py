@@ -24,8 +24,13 @@ DATE_RULE = "date_unparseable"
 
 @dataclass(frozen=True)
 class Rule:
+    """``passes``, where given, is the rule's positive form: true exactly where
+    ``fails`` is false (it may be NULL where ``fails`` is true). Silver filters on the
+    conjunction of these, which the scan can push down."""
+
     name: str
     fails: Column
+    passes: Column | None = None
 
 
 def parse_date(col: str = "date", fmt: str = DATE_FORMAT) -> Column:
@@ -44,17 +49,18 @@ def parse_date(col: str = "date", fmt: str = DATE_FORMAT) -> Column:
 
 def range_rule(column: str, lo: float, hi: float, name: str | None = None) -> Rule:
     """Fails when the column is NULL, NaN or outside [lo, hi] (a NaN compares false)."""
-    c = F.col(column)
-    return Rule(name or f"{column}_out_of_range", ~F.coalesce(c.between(lo, hi), F.lit(False)))
+    c = F.col(column).try_cast("double")  # a declared number as it is; text of an undeclared column as a number
+    inside = c.between(lo, hi)
+    return Rule(name or f"{column}_out_of_range", ~F.coalesce(inside, F.lit(False)), inside)
 
 
 def default_rules() -> list[Rule]:
     """The three validity rules of the reference pipeline, plus the date rule."""
     v = F.col("value")
     return [
-        Rule(DATE_RULE, F.col(PARSED_DATE).isNull()),
-        Rule("value_missing", v.isNull() | F.isnan(v)),
-        Rule("value_negative", F.coalesce(v < 0, F.lit(False))),
+        Rule(DATE_RULE, F.col(PARSED_DATE).isNull(), F.col(PARSED_DATE).isNotNull()),
+        Rule("value_missing", v.isNull() | F.isnan(v), v.isNotNull() & ~F.isnan(v)),
+        Rule("value_negative", F.coalesce(v < 0, F.lit(False)), F.coalesce(v >= 0, F.lit(True))),
         range_rule("latitude", -90.0, 90.0),
         range_rule("longitude", -180.0, 180.0),
     ]
@@ -71,6 +77,13 @@ def _any_fails(rules: list[Rule]) -> Column:
     return cond
 
 
+def _all_pass(rules: list[Rule]) -> Column:
+    cond = F.lit(True)
+    for r in rules:
+        cond = cond & (~r.fails if r.passes is None else r.passes)
+    return cond
+
+
 def _to_silver_columns(df: DataFrame, date_checked: bool = False) -> DataFrame:
     cols = [c for c in df.columns if c not in ("date", PARSED_DATE)]
     # Once the filter has kept only rows whose text passed the full date rule,
@@ -84,15 +97,20 @@ def to_silver(bronze: DataFrame, rules: list[Rule] | None = None,
               fmt: str = DATE_FORMAT, dedupe_keys: list[str] | None = None) -> DataFrame:
     """Valid rows with the parsed DATE moved to the last column.
 
-    The filter is one conjunction, evaluated in generated code. ``dedupe_keys``
-    (off by default, as in the reference code) drops duplicate rows on the keys.
+    The filter is a conjunction of positive predicates, of which those on plain
+    columns reach the scan. ``dedupe_keys`` (off by default) keeps one row for each key: the
+    first by ingestion time and source file where these columns exist, then by all other columns.
     """
     df = with_parsed_date(bronze, fmt)
     rules = default_rules() if rules is None else rules
     date_checked = fmt == DATE_FORMAT and any(r.name == DATE_RULE for r in rules)
-    silver = _to_silver_columns(df.filter(~_any_fails(rules)), date_checked)
+    silver = _to_silver_columns(df.filter(_all_pass(rules)), date_checked)
     if dedupe_keys:
-        silver = silver.dropDuplicates(dedupe_keys)
+        rest = [c for c in silver.columns if c not in dedupe_keys]
+        order = [c for c in ("ingestion_timestamp", "source_file") if c in rest]
+        first = F.min(F.struct(*order, *[c for c in rest if c not in order])) if rest else None
+        silver = (silver.groupBy(*dedupe_keys).agg(first.alias("_first")).select(*dedupe_keys, "_first.*")
+                  .select(*silver.columns)) if rest else silver.distinct()
     return silver
 
 

@@ -37,27 +37,15 @@ def location_ranking(gold: DataFrame, as_of=None, k: int = 5, days: int = 30) ->
     return ranked(L.CLEANEST, F.asc("_mean")).unionByName(ranked(L.DIRTIEST, F.desc("_mean")))
 
 
-# Largest group (rows) for which one task may merge the exact value -> count map.
-MERGED_PERCENTILE_MAX_ROWS = 1_000_000
-
-
-def zone_comparison(gold: DataFrame, as_of=None, days: int = 90,
-                    method: str = "auto") -> DataFrame:
+def zone_comparison(gold: DataFrame, as_of=None, days: int = 90, approx: bool = False) -> DataFrame:
     """Per zone and pollutant: locations, days, mean, min, max, stdev, median.
 
-    The median is exact in both main forms. ``method="merged"`` is the single
-    exact aggregate (one value -> count map per group, merged in one task);
-    ``method="distributed"`` never gathers a group in one task
-    (``operators.quantiles.exact_percentiles``), for zones holding a large share
-    of all rows. ``"auto"`` (default) measures the largest group with one
-    aggregate and takes the merged form only below
-    ``MERGED_PERCENTILE_MAX_ROWS``. ``method="approx"`` is a bounded sketch.
+    The median is exact and never gathers a zone in one task, however large its
+    share of all rows (``operators.quantiles.exact_percentiles``);
+    ``approx=True`` takes a bounded sketch instead.
     """
     keys = ["zone", "pollutant_type"]
     g = window_days(gold, as_of, days)
-    if method == "auto":
-        largest = g.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        method = "merged" if largest <= MERGED_PERCENTILE_MAX_ROWS else "distributed"
     aggs = [
         F.count_distinct("location").alias("locations_in_zone"),
         F.count_distinct("date").alias("days_of_data"),
@@ -66,9 +54,7 @@ def zone_comparison(gold: DataFrame, as_of=None, days: int = 90,
         r2(F.max("max_value")).alias("max_level"),
         r2(F.stddev_samp("avg_value")).alias("volatility"),
     ]
-    if method == "merged":
-        return g.groupBy(*keys).agg(*aggs, r2(F.percentile("avg_value", 0.5)).alias("median"))
-    if method == "approx":
+    if approx:
         return g.groupBy(*keys).agg(
             *aggs, r2(F.percentile_approx("avg_value", 0.5, 10000)).alias("median"))
     med = exact_percentiles(g, keys, "avg_value", [0.5], out="_p")

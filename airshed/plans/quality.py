@@ -54,49 +54,39 @@ def location_coverage(gold: DataFrame) -> DataFrame:
     )
 
 
+def _gaps(gold: DataFrame, bounds: tuple | None) -> DataFrame:
+    """location, pollutant_type, gap_start, gap_end: the holes of each series between
+    its observed dates and up to the first and last date of all Gold."""
+    lo, hi = (F.lit(b).cast("date") for b in bounds) if bounds else (gold.agg(f("date")).scalar() for f in (F.min, F.max))
+    # one shuffle by series serves both the distinct and the window
+    days = (gold.select("date", "location", "pollutant_type")
+            .repartition("location", "pollutant_type").distinct())
+    w = Window.partitionBy("location", "pollutant_type").orderBy("date")
+    before = F.struct(lo.alias("gap_start"), F.date_sub("date", 1).alias("gap_end"))
+    after = F.struct(F.date_add("date", 1).alias("gap_start"), F.coalesce(F.date_sub(F.lead("date").over(w), 1), hi).alias("gap_end"))
+    first = F.lag("date").over(w).isNull()
+    around = days.select("location", "pollutant_type", F.when(first, F.array(before, after)).otherwise(F.array(after)).alias("gaps"))
+    return around.select("location", "pollutant_type", F.inline("gaps")).filter("gap_start <= gap_end")
+
+
+def missing_series_runs(gold: DataFrame, bounds: tuple | None = None) -> DataFrame:
+    """Runs of days without data per (location, pollutant): one row per hole,
+    however long it is, so the answer grows with the holes and not with their days."""
+    return _gaps(gold, bounds).withColumn("days", (F.datediff("gap_end", "gap_start") + 1).cast("bigint"))
+
+
 def missing_series_days(gold: DataFrame, as_of=None, bounds: tuple | None = None) -> DataFrame:
     """(date, location, pollutant) combinations absent from Gold, where the
     dates are those observed anywhere and the series those observed anywhere.
 
-    No date x series product is built. Each series' observed dates are sorted
-    (window per series, bounded by its number of days); every hole between two
-    consecutive dates - and before the first / after the last, up to the global
-    first / last date - is expanded into its calendar days, and an equi-join
-    with the distinct observed dates keeps the days that count. Work is
-    proportional to the holes, i.e. to the answer, not to dates x series.
-
-    ``bounds`` = (first, last) observed date; when absent it is computed with
-    one global min/max aggregate (two values reach the driver) and used as
-    literals.
+    No date x series product is built: the holes of each series (a window per
+    series, bounded by its number of days) are expanded into calendar days, and an
+    equi-join with the distinct observed dates keeps the days that count. Work is
+    proportional to the answer. ``bounds`` = (first, last) observed date, else a scalar subquery.
     """
-    # one shuffle by series serves both the distinct and the window
-    series_days = (gold.select("date", "location", "pollutant_type")
-                   .repartition("location", "pollutant_type").distinct())
     dates = gold.select("date").distinct()
-    if bounds is None:
-        bounds = tuple(gold.agg(F.min("date"), F.max("date")).first())
-    lo, hi = F.lit(bounds[0]).cast("date"), F.lit(bounds[1]).cast("date")
-
-    w = Window.partitionBy("location", "pollutant_type").orderBy("date")
-    prev = F.lag("date").over(w)
-    nxt = F.lead("date").over(w)
-    d = F.col("date")
-
-    def days_between(start, end):
-        return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))
-
-    holes = series_days.select(
-        "location", "pollutant_type",
-        F.concat(
-            # before the first observed date of the series
-            F.when(prev.isNull(), days_between(lo, F.date_sub(d, 1)))
-             .otherwise(F.array().cast("array<date>")),
-            # after this date, up to the next observed one (or the global last)
-            days_between(F.date_add(d, 1), F.coalesce(F.date_sub(nxt, 1), hi)),
-        ).alias("days"),
-    )
-    candidates = holes.select("location", "pollutant_type", F.explode("days").alias("date"))
-    missing = candidates.join(dates, "date")
+    missing = _gaps(gold, bounds).select(
+        "location", "pollutant_type", F.explode(F.sequence("gap_start", "gap_end")).alias("date")).join(dates, "date")
     return missing.select(
         "date", "location", "pollutant_type",
         F.lit(L.MISSING).alias("data_status"),

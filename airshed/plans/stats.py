@@ -86,10 +86,14 @@ def sensor_failure_candidates(gold: DataFrame, pollutant: str = "PM2.5", n: int
     """The ``n`` highest daily means of one pollutant with their rolling mean per
     location (30 rows); above 3x the rolling mean is a likely equipment failure,
     above 2x worth investigating. The rolling mean is rounded to 4 places."""
+    one = gold.filter(F.col("pollutant_type") == pollutant).select("location", "date", "zone", "avg_value")
+    # the n rows are chosen by their own value: n rows per task are merged, and only
+    # the history of their locations enters the window
+    order = (F.desc("avg_value"), F.desc("date"), F.asc("location"), F.asc("zone"))
+    chosen = one.orderBy(*order).limit(n).select(F.col("location").alias("_location")).distinct()
     w = Window.partitionBy("location").orderBy("date", "zone").rowsBetween(-(rows - 1), 0)
-    s = gold.filter(F.col("pollutant_type") == pollutant).select(
-        "location", "date", "zone", "avg_value", F.avg("avg_value").over(w).alias("_roll"))
-    top = s.orderBy(F.desc("avg_value"), F.desc("date"), "location", "zone").limit(n)
+    top = (one.join(chosen, F.col("location").eqNullSafe(F.col("_location")), "left_semi")
+           .withColumn("_roll", F.avg("avg_value").over(w)).orderBy(*order).limit(n))
     v, m = F.col("avg_value"), F.col("_roll")
     return top.select(
         "location", "date", "avg_value",

@@ -12,31 +12,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.functions import labels as L
-from airshed.operators.joins import is_small
 from airshed.sources.tables import read_table
 
 
 def supplier_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """supplier -> (s_suppkey, n_nationkey, n_name, r_name).
 
-    nation (25 rows) and region (5 rows) are fixed-size dimensions; their scans
-    report a few KB to the planner, which broadcasts them on its own size check.
-    supplier grows with the data (10k rows per TPC-H scale unit): the result
-    (at most one row per supplier) is marked for broadcast only after a
-    bounded row count of supplier says it is small; otherwise the planner
-    shuffles both sides of the lineitem join on the key (sort-merge join, AQE
-    splitting skewed keys). Without this explicit choice the static estimate
-    of the pruned lineitem scan can fall under the broadcast threshold, and
-    the big side would be broadcast.
+    Plain equi-joins without hints: nation and region are fixed-size dimensions
+    that the planner broadcasts on its own byte estimate; supplier grows with the
+    data, so the join with lineitem is chosen by the planner's statistics and
+    re-planned by adaptive execution from the measured sizes (a skewed supplier is split).
     """
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
-    out = supplier.join(geo, supplier.s_nationkey == geo.n_nationkey).select(
+    return supplier.join(geo, supplier.s_nationkey == geo.n_nationkey).select(
         "s_suppkey", "n_nationkey", "n_name", "r_name")
-    return F.broadcast(out) if is_small(supplier) else out
 
 
 def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:

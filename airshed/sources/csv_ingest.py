@@ -24,7 +24,8 @@ def _to_double(name: str) -> Column:
     """Text -> DOUBLE; a token that is neither NA nor a number fails the job
     (raise_error inside the projection: checked row by row in the same pass)."""
     tok = _na_to_null(F.col(name))
-    num = tok.try_cast("double")
+    # a trailing d or f is a literal's suffix to Spark's parser, not part of a number
+    num = F.when(~tok.rlike(r"[0-9.][dDfF]$"), tok.try_cast("double"))
     return F.when(tok.isNotNull() & num.isNull(),
                   F.raise_error(F.concat(F.lit(f"could not convert to float in column {name}: "), tok))
                   ).otherwise(num)
@@ -50,26 +51,47 @@ def typed_raw(text: DataFrame, strict: bool = True) -> DataFrame:
     return text.select(*cols)
 
 
-def read_raw_csv(spark: SparkSession, paths, strict: bool = True) -> DataFrame:
+def _files_by_header(spark: SparkSession, paths) -> list[list[str]]:
+    """The input files, grouped by their header line. Headers are read as a
+    distributed text scan (the first line of each file's first block); file names
+    reach the driver, which lists them for the scan anyway."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("line"))
+    headers = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in headers.collect():
+        groups.setdefault(r["header"].lstrip("\ufeff").rstrip("\r"), []).append(r["file"])
+    return [sorted(files) for _, files in sorted(groups.items())]
+
+
+def read_raw_csv(spark: SparkSession, paths, strict: bool = True, multi_line: bool = False) -> DataFrame:
     """Read one or many CSV files (a path, a glob or a list) with a header.
 
-    No schema is given, so every column is text and is bound by its header
-    name (a schema would bind by position and silently swap columns of a file
-    with another header order). Files with different header orders must be
-    read one call each and combined with ``unionByName``. ``source_file`` is
-    the base name of the file each row came from.
+    Every column is text and bound by the header name of its own file: files are read in groups
+    of equal headers and combined by name, so files may order their columns differently; a column that a file lacks is NULL in its rows
+    (a declared one raises with ``strict``). ``source_file`` is the base name of
+    the file each row came from. ``multi_line`` accepts line breaks inside quotes, at
+    the price of one task for each file.
     """
     try:
-        text = (spark.read.option("header", True).option("mode", "FAILFAST")
-                .option("encoding", "UTF-8").csv(paths))
+        groups = _files_by_header(spark, paths)
     except AnalysisException as e:
         if _is_missing_path(e):
-            raise FileNotFoundError(f"Input CSV not found: {paths}") from e
+            raise FileNotFoundError(f"no CSV file at {paths}") from e
         raise
-    if not text.columns:
-        raise ValueError(f"Input CSV is empty: {paths}")
-    df = typed_raw(text, strict)
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    frames = []
+    for files in groups:
+        text = (spark.read.option("header", True).option("mode", "FAILFAST").option("multiLine", multi_line)
+                .option("encoding", "UTF-8").csv(files))
+        if text.columns:
+            frames.append(typed_raw(text, strict).withColumn("source_file", F.col("_metadata.file_name")))
+    if not frames:
+        raise ValueError(f"no rows and no header in {paths}")
+    df = frames[0]
+    for other in frames[1:]:
+        df = df.unionByName(other, allowMissingColumns=True)
+    return df.select(*[c for c in df.columns if c != "source_file"], "source_file")
 
 
 def to_bronze(raw: DataFrame, run_ts: _dt.datetime | None = None) -> DataFrame:
@@ -88,6 +110,6 @@ def ingest_csv(spark: SparkSession, input_path, output_path: str, strict: bool =
     Bronze DataFrame read back from what was written."""
     raw = read_raw_csv(spark, input_path, strict)
     if raw.isEmpty():
-        raise ValueError(f"Input CSV is empty: {input_path}")
+        raise ValueError(f"no rows in {input_path}")
     write_layer(to_bronze(raw), output_path)
     return spark.read.parquet(output_path)

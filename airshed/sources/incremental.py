@@ -1,55 +1,55 @@
-"""Incremental loads, retention, and partition-wise Gold refresh."""
+"""Incremental loads, retention, and month-wise Gold refresh."""
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.functions.calendar import as_of_col
 from airshed.operators.gold import daily_gold
-from airshed.operators.joins import is_small
-from airshed.sources.layers_io import write_partitions
+from airshed.schema import GOLD_KEYS
+from airshed.sources.layers_io import (MONTH, drop_partition, month_of, path_exists, read_by_month,
+                                       write_by_month)
 
 MARK_SCHEMA = T.StructType([
     T.StructField("pipeline_name", T.StringType(), False),
     T.StructField("last_date", T.DateType(), True),
+    T.StructField("recorded_at", T.TimestampType(), True),
 ])
 
 
 def since_mark(df: DataFrame, mark, as_of=None, date_col: str = "date") -> DataFrame:
     """Rows after the last processed date and up to the report date:
-    ``mark < date <= as_of``. A NULL mark (first run) takes everything up to as_of."""
+    ``mark < date <= as_of``. A NULL mark (first run) takes everything up to as_of.
+    Rows that arrive late, with a date up to the mark, are not taken; a refresh of their
+    month (``refresh_gold``) or the stream (``streaming.gold_refresh``) takes them in."""
     d = F.col(date_col)
     m = as_of_col(mark) if mark is not None else F.lit(None).cast("date")
     return df.filter((m.isNull() | (d > m)) & (d <= as_of_col(as_of)))
 
 
 def read_mark(spark: SparkSession, path: str, pipeline: str = "main"):
-    """The high-water mark of one pipeline as a scalar-subquery Column (NULL if none)."""
-    try:
-        marks = spark.read.schema(MARK_SCHEMA).parquet(path)
-    except Exception:  # no mark table yet: first run
+    """The high-water mark of one pipeline, the last recorded, as a scalar-subquery
+    Column (NULL if none). Only a missing mark table means a first run; any other error is raised."""
+    if not path_exists(spark, path):
         return F.lit(None).cast("date")
-    return marks.filter(F.col("pipeline_name") == pipeline).agg(F.max("last_date")).scalar()
+    marks = spark.read.schema(MARK_SCHEMA).parquet(path)
+    return marks.filter(F.col("pipeline_name") == pipeline).agg(F.max_by("last_date", "recorded_at")).scalar()
 
 
 def write_mark(spark: SparkSession, loaded: DataFrame, path: str, pipeline: str = "main",
                date_col: str = "date") -> None:
     """Record ``max(date)`` of what was just loaded as the pipeline's mark.
 
-    The mark table has one row per pipeline; it is rewritten whole. Reading
-    and overwriting the same path is avoided by checkpointing the new state.
+    The mark table only grows, by one row for each load; nothing of it is ever
+    rewritten, so a failed write loses no mark of this or another pipeline. A load without rows records nothing.
     """
-    new = loaded.agg(F.max(date_col).alias("last_date")).select(
-        F.lit(pipeline).alias("pipeline_name"), "last_date")
-    try:
-        old = spark.read.schema(MARK_SCHEMA).parquet(path).filter(F.col("pipeline_name") != pipeline)
-        state = old.unionByName(new)
-    except Exception:
-        state = new
-    state = state.checkpoint(eager=True)
-    state.write.mode("overwrite").parquet(path)
+    new = loaded.agg(F.max(date_col).alias("last_date")).filter("last_date IS NOT NULL").select(
+        F.lit(pipeline).alias("pipeline_name"), "last_date", F.lit(_dt.datetime.now()).cast("timestamp").alias("recorded_at"))
+    new.coalesce(1).write.mode("append").parquet(path)
 
 
 def retention_split(df: DataFrame, days: int, as_of=None, date_col: str = "date"):
@@ -59,27 +59,35 @@ def retention_split(df: DataFrame, days: int, as_of=None, date_col: str = "date"
     return df.filter(d >= cutoff), df.filter(d < cutoff)
 
 
-# Most dates one refresh names as literals (partition pruning at planning time).
-MAX_LITERAL_DATES = 10_000
+def expire_months(spark: SparkSession, path: str, days: int, as_of: _dt.date) -> list[int]:
+    """Remove the month folders of a layer that lie wholly before the last
+    ``days`` days; returns them. Rows of the month the cutoff falls into stay."""
+    cutoff = as_of - _dt.timedelta(days=days)
+    first = cutoff.year * 100 + cutoff.month
+    old = [r[0] for r in spark.read.parquet(path).filter(F.col(MONTH) < first).select(MONTH).distinct().collect()]
+    for month in old:
+        drop_partition(spark, path, MONTH, month)
+    return sorted(old)
+
+
+def touched_months(rows: DataFrame) -> list[int]:
+    """The months of a frame's dates: twelve values a year, whatever its rows."""
+    return sorted(r[0] for r in rows.select(month_of("date").alias(MONTH)).distinct().collect() if r[0] is not None)
 
 
-def refresh_gold_dates(spark: SparkSession, silver: DataFrame, touched: DataFrame,
-                       gold_path: str, max_literal_dates: int = MAX_LITERAL_DATES) -> None:
-    """Recompute Gold only for the dates in ``touched`` (a one-column ``date``
-    DataFrame) and replace just those date partitions of the Gold table.
+def refresh_gold(spark: SparkSession, silver_path: str, months: list[int], gold_path: str) -> None:
+    """Recompute Gold for the given months from all Silver rows of those months
+    and replace just these month folders.
 
-    A micro-batch touches few dates (bounded by the calendar). After a bounded
-    count confirms it, they are fetched and applied as a literal ``IN`` filter
-    on the partition column, so only those Silver folders are listed and read
-    (Spark's dynamic pruning does not fire for an unfiltered key list). More
-    dates than ``max_literal_dates`` keep the semi-join (a full Silver scan).
-    Dynamic partition overwrite leaves every other Gold date untouched, so late
-    rows for an old day are handled without any streaming state.
+    The months are a literal filter on the folder column, so only those folders of
+    Silver are read. A month that has no Silver rows any more loses its Gold folder. Late rows for
+    an old day need no streaming state: their month is computed again.
     """
-    keys = touched.select("date").distinct()
-    if is_small(keys, max_literal_dates):
-        dates = [r.date for r in keys.collect()]
-        rows = silver.filter(F.col("date").isin(dates))
-    else:
-        rows = silver.join(keys, "date", "left_semi")
-    write_partitions(daily_gold(rows), gold_path, ["date"])
+    if not months:
+        return
+    silver = read_by_month(spark, silver_path, months)
+    kept = touched_months(silver.dropna(subset=list(GOLD_KEYS)))
+    if kept:
+        write_by_month(daily_gold(silver), gold_path, list(GOLD_KEYS), replace_months=True)
+    for month in set(months) - set(kept):
+        drop_partition(spark, gold_path, MONTH, month)

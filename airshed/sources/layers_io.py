@@ -1,11 +1,25 @@
-"""Layer sinks and scans: Parquet (Snappy, overwrite), guards, views."""
+"""Layer sinks and scans: Parquet (Snappy), guards, the month layout, tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Silver and Gold, however they are written (batch run, refresh, stream), lie in
+# one folder per calendar month; Silver has a folder per load below it.
+MONTH = "month"
+LOAD = "load_id"
+BATCH_LOAD = "batch"
+
+
+def month_of(date: Column | str) -> Column:
+    """The month folder of a date: year * 100 + month."""
+    return F.year(date) * 100 + F.month(date)
+
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan of a layer; a missing path raises FileNotFoundError and a
@@ -45,34 +59,89 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition
-    overwrite): idempotent reruns of one day or one micro-batch."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_layer(df, path, partition_by=partition_by)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite, an
+    option of this write alone): idempotent reruns of one day or one micro-batch."""
+    (df.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
-def register_view(df: DataFrame, name: str = "gold_weather") -> DataFrame:
-    """Expose a layer to SQL under the name the reports' SQL text uses."""
-    df.createOrReplaceTempView(name)
-    return df
+def write_by_month(df: DataFrame, path: str, order: list[str], load_id: str | None = None,
+                   replace_months: bool = False) -> None:
+    """Write a layer with a ``date`` column into month folders.
+
+    Rows are rebalanced by month first, so a month goes to one file or, when it
+    is large, to as many as adaptive execution splits it into; files are sorted
+    by ``order``, which gives tight date statistics. The whole layer is replaced, or
+    with ``replace_months`` only the folders that ``df`` has rows for. A target that
+    holds files of another layout is refused: a reader would miss one of the two.
+    """
+    parts = [MONTH] + ([LOAD] if load_id is not None else [])
+    d = df.drop(MONTH, LOAD).withColumn(MONTH, month_of("date"))
+    if load_id is not None:
+        d = d.withColumn(LOAD, F.lit(load_id))
+    d = d.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *order)
+    if replace_months:
+        _refuse_other_layout(df.sparkSession, path)
+        write_partitions(d, path, parts)
+    else:
+        write_layer(d, path, parts)
+
+
+def read_by_month(spark: SparkSession, path: str, months: list[int] | None = None) -> DataFrame:
+    """A layer written by ``write_by_month`` without its folder columns; with
+    ``months``, only those folders are read."""
+    df = spark.read.parquet(path)
+    if months is not None:
+        df = df.filter(F.col(MONTH).isin(months))
+    return df.drop(MONTH, LOAD)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def drop_partition(spark: SparkSession, path: str, name: str, value) -> None:
+    """Remove one partition folder of a layer, where it exists."""
+    p, fs = _path(spark, f"{path}/{name}={value}")
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def _refuse_other_layout(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    if fs.exists(p):
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if not name.startswith(("_", ".", f"{MONTH}=")):
+                raise ValueError(f"{path} is not laid out in {MONTH} folders (it holds {name})")
 
 
 def external_table(spark: SparkSession, path: str, name: str = "gold_weather") -> DataFrame:
     """Catalog table over an existing Parquet folder (no copy): the
-    ``CREATE EXTERNAL TABLE ... LOCATION`` of a warehouse, in Spark SQL."""
+    ``CREATE EXTERNAL TABLE ... LOCATION`` of a warehouse, in Spark SQL. An external
+    table of that name is replaced; a managed one, whose files a replacement would delete, is refused."""
     if not all(part.isidentifier() for part in name.split(".")):
         raise ValueError(f"not a table name: {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} exists and is not an external table")
+        spark.sql(f"DROP TABLE {name}")
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{quoted}'")
+    if "month" in spark.table(name).columns:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
 
 
 def refresh_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Full refresh of a derived table (a materialized summary): write, read back."""
-    write_layer(df, path)
-    return spark.read.parquet(path)
+    """Full refresh of a derived table (a materialized summary). Each refresh is
+    a folder of its own below ``path``, so a frame of an earlier one stays readable."""
+    version = f"{path}/version-{uuid.uuid4().hex}"
+    write_layer(df, version)
+    return spark.read.parquet(version)

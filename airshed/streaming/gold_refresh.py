@@ -1,23 +1,22 @@
 """T2: keep Silver and Gold current as Bronze grows, late rows included.
 
 Cleaning is stateless and runs in the stream. Each micro-batch then (1) writes
-its Silver rows into ``date=/batch_id=`` partitions with dynamic overwrite, so
-a replayed batch replaces exactly what it wrote before (idempotent), and (2)
-recomputes Gold for the dates the batch touched from all Silver rows of those
-dates, replacing only those Gold partitions. No streaming state is kept, so a
-row arriving weeks late simply refreshes its day.
+its Silver rows into month folders under a load of its own, so a replayed batch
+replaces exactly what it wrote before (idempotent), and (2) recomputes Gold for
+the months the batch touched from all Silver rows of those months, replacing only
+those Gold folders. The layout is that of the batch run, which a stream may continue.
+No streaming state is kept, so a row arriving weeks late simply refreshes its month.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airshed.operators.clean import to_silver
 from airshed.schema import BRONZE_SCHEMA
-from airshed.sources.incremental import refresh_gold_dates
-from airshed.sources.layers_io import write_partitions
+from airshed.sources.incremental import refresh_gold, touched_months
+from airshed.sources.layers_io import write_by_month
 
 
 def process_batch(batch: DataFrame, batch_id: int, silver_dir: str, gold_dir: str) -> None:
@@ -26,9 +25,8 @@ def process_batch(batch: DataFrame, batch_id: int, silver_dir: str, gold_dir: st
     try:
         if batch.isEmpty():
             return
-        write_partitions(batch.withColumn("batch_id", F.lit(batch_id)), silver_dir, ["date", "batch_id"])
-        silver_all = spark.read.parquet(silver_dir).drop("batch_id")
-        refresh_gold_dates(spark, silver_all, batch.select("date"), gold_dir)
+        write_by_month(batch, silver_dir, ["date"], load_id=f"stream-{batch_id}", replace_months=True)
+        refresh_gold(spark, silver_dir, touched_months(batch), gold_dir)
     finally:
         batch.unpersist()
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.layers import write_silver
+from airshed.sources.layers_io import read_by_month
 from airshed.operators import clean
 from airshed.sources.layers_io import read_layer
 from tests.conftest import RAW_ROWS, bronze_df
@@ -18,7 +19,7 @@ def _silver(spark, bronze_path, tmp_data_dir):
     out = str(tmp_data_dir["silver"] / "out.parquet")
     q = str(tmp_data_dir["root"] / "quarantine")
     write_silver(spark, bronze_path, out, q, run_date=dt.date(2024, 1, 4))
-    return spark.read.parquet(out), out, q
+    return read_by_month(spark, out), out, q
 
 
 def test_bronze_to_silver_happy_path(spark, sample_bronze_parquet, tmp_data_dir):

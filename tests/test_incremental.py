@@ -4,15 +4,18 @@ checks and the layer run log."""
 from __future__ import annotations
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from airshed.layers import LayerPaths, run_layers
+from airshed.layers import LayerPaths, run_layers, write_gold, write_silver
 from airshed.operators.checks import schema_diff
 from airshed.operators.gold import daily_gold
 from airshed.schema import GOLD_SCHEMA, SILVER_SCHEMA
 from airshed.sources import incremental as inc
-from tests.conftest import RAW_ROWS, RUN_TS
+from airshed.sources.layers_io import read_by_month, write_by_month
+from tests.conftest import HEADER, RAW_ROWS, RUN_TS
 
 
 def silver_rows(spark, days):
@@ -31,14 +34,24 @@ def test_since_mark_window(spark):
 
 def test_marks_round_trip(spark, tmp_path):
     path = str(tmp_path / "marks")
-    assert spark.range(1).select(inc.read_mark(spark, path).alias("m")).first().m is None
+    mark = lambda name: spark.range(1).select(inc.read_mark(spark, path, name).alias("m")).first().m
+    assert mark("main") is None
     inc.write_mark(spark, silver_rows(spark, [(5, 1), (9, 1)]), path, "main")
     inc.write_mark(spark, silver_rows(spark, [(2, 1)]), path, "other")
     inc.write_mark(spark, silver_rows(spark, [(12, 1)]), path, "main")
-    marks = {r.pipeline_name: r.last_date for r in spark.read.parquet(path).collect()}
-    assert marks == {"main": dt.date(2024, 1, 12), "other": dt.date(2024, 1, 2)}
-    m = spark.range(1).select(inc.read_mark(spark, path, "main").alias("m")).first().m
-    assert m == dt.date(2024, 1, 12)
+    inc.write_mark(spark, silver_rows(spark, []), path, "main")  # nothing loaded: the mark stays
+    assert mark("main") == dt.date(2024, 1, 12) and mark("other") == dt.date(2024, 1, 2) and mark("none") is None
+
+
+def test_an_unreadable_mark_is_an_error_and_loses_nothing(spark, tmp_path):
+    path = tmp_path / "marks"
+    inc.write_mark(spark, silver_rows(spark, [(5, 1)]), str(path), "main")
+    (path / "part-broken.parquet").write_bytes(b"not a parquet file")
+    with pytest.raises(Exception):
+        spark.range(1).select(inc.read_mark(spark, str(path), "main").alias("m")).collect()
+    inc.write_mark(spark, silver_rows(spark, [(9, 1)]), str(path), "other")  # appends, rewrites nothing
+    (path / "part-broken.parquet").unlink()
+    assert spark.range(1).select(inc.read_mark(spark, str(path), "main").alias("m")).first().m == dt.date(2024, 1, 5)
 
 
 def test_retention_split(spark):
@@ -48,15 +61,52 @@ def test_retention_split(spark):
     assert keep.count() + expire.count() == 10
 
 
-def test_refresh_gold_dates_only_touches_those_dates(spark, tmp_path):
-    gold = str(tmp_path / "gold")
-    s1 = silver_rows(spark, [(1, 10), (2, 20), (3, 30)])
-    inc.refresh_gold_dates(spark, s1, s1.select("date"), gold)
-    late = silver_rows(spark, [(2, 40)])
-    allsilver = s1.unionByName(late)
-    inc.refresh_gold_dates(spark, allsilver, late.select("date"), gold)
-    got = {r.date.day: (r.avg_value, r.record_count) for r in spark.read.parquet(gold).collect()}
-    assert got == {1: (10.0, 1), 2: (30.0, 2), 3: (30.0, 1)}
+def _month_rows(spark, days):
+    rows = [("L", 1.0, 1.0, "urban", "z", "NO2", float(v), "u", "valid", RUN_TS, "f", dt.date(2024, m, d)) for m, d, v in days]
+    return spark.createDataFrame(rows, SILVER_SCHEMA)
+
+
+def _gold_values(spark, path):
+    return {(r.date.month, r.date.day): (r.avg_value, r.record_count) for r in read_by_month(spark, path).collect()}
+
+
+def test_refresh_after_a_batch_build_touches_only_its_months(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    s1 = _month_rows(spark, [(1, 1, 10), (1, 2, 20), (2, 3, 30), (3, 4, 40)])
+    write_by_month(s1, silver, ["date"], "batch")
+    write_gold(spark, silver, gold)
+    before = {f: os.path.getmtime(os.path.join(gold, f)) for f in os.listdir(gold) if f in ("month=202401", "month=202403")}
+    late = _month_rows(spark, [(2, 3, 50), (2, 9, 7)])
+    write_by_month(late, silver, ["date"], "late", replace_months=True)
+    inc.refresh_gold(spark, silver, inc.touched_months(late), gold)
+    assert _gold_values(spark, gold) == {(1, 1): (10.0, 1), (1, 2): (20.0, 1), (2, 3): (40.0, 2), (2, 9): (7.0, 1), (3, 4): (40.0, 1)}
+    assert before == {f: os.path.getmtime(os.path.join(gold, f)) for f in before}
+    assert len([f for f in os.listdir(os.path.join(gold, "month=202402")) if f.endswith(".parquet")]) == 1
+
+
+def test_a_month_that_loses_its_rows_loses_its_gold(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    write_by_month(_month_rows(spark, [(1, 1, 10), (2, 3, 30)]), silver, ["date"], "batch")
+    write_gold(spark, silver, gold)
+    write_by_month(_month_rows(spark, [(1, 1, 10)]), silver, ["date"], "batch")
+    inc.refresh_gold(spark, silver, [202402], gold)
+    assert _gold_values(spark, gold) == {(1, 1): (10.0, 1)}
+
+
+def test_a_gold_folder_of_another_layout_is_refused(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    s = _month_rows(spark, [(1, 1, 10)])
+    write_by_month(s, silver, ["date"], "batch")
+    daily_gold(s).write.parquet(gold)
+    with pytest.raises(ValueError, match="not laid out"):
+        inc.refresh_gold(spark, silver, [202401], gold)
+
+
+def test_expire_months(spark, tmp_path):
+    silver = str(tmp_path / "silver")
+    write_by_month(_month_rows(spark, [(1, 1, 1), (2, 28, 2), (3, 4, 3)]), silver, ["date"], "batch")
+    assert inc.expire_months(spark, silver, 10, dt.date(2024, 3, 5)) == [202401]
+    assert read_by_month(spark, silver).count() == 2
 
 
 def test_schema_diff(spark):
@@ -74,7 +124,7 @@ def test_run_layers_log_and_reconciliation(spark, tmp_path, sample_raw_csv):
            run_layers(spark, paths, csv_input=str(src), run_date=dt.date(2024, 1, 4)).collect()}
     assert log == {"bronze": ("success", 6), "silver": ("success", 6), "quarantine": ("success", 0),
                    "gold": ("success", 6)}
-    gold = spark.read.parquet(paths.gold)
+    gold = read_by_month(spark, paths.gold)
     assert gold.schema == GOLD_SCHEMA
     assert gold.count() == daily_gold(spark.read.parquet(paths.silver)).count()
 
@@ -139,15 +189,75 @@ def test_run_log_checks(spark, tmp_path, bronze_with_invalid_data):
     assert not any(r.ok for r in run_log_checks(bad).collect())
 
 
-def test_refresh_gold_dates_semi_join_path_equal(spark, tmp_path):
-    s = silver_rows(spark, [(1, 10), (2, 20), (2, 40), (3, 30)])
-    touched = silver_rows(spark, [(2, 0), (3, 0)]).select("date")
-    a, b = str(tmp_path / "a"), str(tmp_path / "b")
-    inc.refresh_gold_dates(spark, s, touched, a)
-    inc.refresh_gold_dates(spark, s, touched, b, max_literal_dates=0)
-    ga = sorted((r.date, r.avg_value, r.record_count) for r in spark.read.parquet(a).collect())
-    gb = sorted((r.date, r.avg_value, r.record_count) for r in spark.read.parquet(b).collect())
-    assert ga == gb == [(dt.date(2024, 1, 2), 30.0, 2), (dt.date(2024, 1, 3), 30.0, 1)]
+def test_quarantine_rerun_with_clean_input_leaves_nothing(spark, tmp_path, bronze_with_invalid_data):
+    p, _ = bronze_with_invalid_data
+    q, day = str(tmp_path / "q"), dt.date(2024, 1, 4)
+    assert write_silver(spark, p, str(tmp_path / "s"), q, run_date=day)[1] == 3
+    assert write_silver(spark, p, str(tmp_path / "s"), q, run_date=dt.date(2024, 1, 5))[1] == 3
+    clean_bronze = spark.read.parquet(p).filter("value >= 0 and latitude < 90 and date <> 'invalid-date' and longitude < 180")
+    assert write_silver(spark, p, str(tmp_path / "s"), q, run_date=day, bronze=clean_bronze)[1] == 0
+    assert {r.run_date for r in spark.read.parquet(q).collect()} == {dt.date(2024, 1, 5)}
+
+
+def test_external_table_refuses_a_managed_one(spark, tmp_path):
+    from airshed.sources.layers_io import external_table
+    path = str(tmp_path / "o'clock gold")
+    spark.range(3).write.parquet(path)
+    spark.sql("DROP TABLE IF EXISTS managed_gold")
+    spark.range(7).write.saveAsTable("managed_gold")
+    with pytest.raises(ValueError, match="not an external"):
+        external_table(spark, path, "managed_gold")
+    assert spark.table("managed_gold").count() == 7
+    spark.sql("DROP TABLE managed_gold")
+    for _ in range(2):  # an external one is replaced
+        assert external_table(spark, path, "outer_gold").count() == 3
+    spark.sql("DROP TABLE outer_gold")
+
+
+def test_refreshed_table_keeps_earlier_frames_readable(spark, tmp_path):
+    from airshed.sources.layers_io import refresh_table
+    first = refresh_table(spark, spark.range(3), str(tmp_path / "t"))
+    second = refresh_table(spark, spark.range(5), str(tmp_path / "t"))
+    assert (first.count(), second.count()) == (3, 5)
+
+
+def test_extra_columns_and_rules_go_through_the_layers(spark, tmp_path, sample_raw_csv):
+    from airshed.operators import clean
+    _, rows = sample_raw_csv
+    src = tmp_path / "extra.csv"
+    src.write_text(HEADER + ",temperature\n" + "".join(",".join(map(str, r)) + f",{t}\n" for r, t in zip(rows, [5, 99, "x", "", 7, 8])), encoding="utf-8")
+    paths = LayerPaths(str(tmp_path / "lake"))
+    from airshed.layers import write_bronze
+    from airshed.sources.csv_ingest import read_raw_csv
+    write_bronze(spark, read_raw_csv(spark, str(src)), paths.bronze)
+    kept, rejected = write_silver(spark, paths.bronze, paths.silver, paths.quarantine,
+                                  rules=clean.default_rules() + [clean.range_rule("temperature", -50, 60)])
+    assert (kept, rejected) == (3, 3)
+    assert sorted(r.temperature for r in read_by_month(spark, paths.silver).collect()) == ["5", "7", "8"]
+
+
+def test_incremental_loads_equal_one_full_load(spark, tmp_path, sample_raw_csv):
+    from airshed.layers import run_incremental
+    from airshed.sources.csv_ingest import read_raw_csv
+    src, _ = sample_raw_csv
+    raw, marks = read_raw_csv(spark, str(src)), str(tmp_path / "marks")
+    full, parts = LayerPaths(str(tmp_path / "full")), LayerPaths(str(tmp_path / "parts"))
+    run_layers(spark, full, raw=raw)
+    assert run_incremental(spark, parts, raw, marks, as_of="2024-01-02", load_id="a") == [202401]
+    assert run_incremental(spark, parts, raw, marks, as_of="2024-01-09", load_id="b") == [202401]
+    assert run_incremental(spark, parts, raw, marks, as_of="2024-01-09", load_id="c") == []  # nothing new
+    assert _gold_values(spark, parts.gold) == _gold_values(spark, full.gold)
+    assert spark.read.parquet(parts.bronze).count() == 6
+
+
+def test_run_log_feeds_the_monitoring(spark, tmp_path):
+    from airshed.layers import as_run_history
+    from airshed.plans.runs import circuit_breaker
+    log = run_layers(spark, LayerPaths(str(tmp_path / "lake")), csv_input=str(tmp_path / "none.csv"))
+    history = as_run_history(log)
+    for _ in range(4):
+        history = history.unionByName(as_run_history(log))
+    assert circuit_breaker(history).first().should_proceed is False
 
 
 def test_command_line(spark, tmp_path, sample_raw_csv):

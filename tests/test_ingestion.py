@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from airshed.sources.csv_ingest import ingest_csv, read_raw_csv
+from tests.conftest import HEADER, RAW_ROWS
 
 RAW_NAMES = ["date", "location", "latitude", "longitude", "site_type", "zone",
              "pollutant_type", "value", "unit", "status"]
@@ -138,3 +139,24 @@ def test_many_files_one_read(spark, sample_raw_csv, tmp_data_dir):
     df = read_raw_csv(spark, str(tmp_data_dir["landing"] / "*.csv"))
     counts = {r.source_file: r["count"] for r in df.groupBy("source_file").count().collect()}
     assert counts == {"weather_raw.csv": len(rows), "weather_raw_2.csv": len(rows)}
+
+
+def test_files_of_unlike_headers_are_bound_by_name(spark, tmp_path):
+    names = HEADER.split(",")
+    order = list(reversed(range(len(names))))
+    (tmp_path / "a.csv").write_text(HEADER + "\n" + ",".join(map(str, RAW_ROWS[0])) + "\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text(",".join(names[i] for i in order) + "\n" + ",".join(str(RAW_ROWS[1][i]) for i in order) + "\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text(HEADER + ",station\n" + ",".join(map(str, RAW_ROWS[2])) + ",S1\n", encoding="utf-8")
+    got = {r.source_file: r for r in read_raw_csv(spark, str(tmp_path / "*.csv")).collect()}
+    for name, row in zip(("a.csv", "b.csv", "c.csv"), RAW_ROWS, strict=False):
+        assert tuple(got[name][n] for n in names) == row
+    assert got["c.csv"].station == "S1" and got["a.csv"].station is None
+
+
+@pytest.mark.parametrize("token", ["5d", "5f", "5.D", "x"])
+def test_suffixed_numbers_are_not_numbers(spark, tmp_path, token):
+    bad = list(RAW_ROWS[0])
+    bad[7] = token
+    (tmp_path / "a.csv").write_text(HEADER + "\n" + ",".join(map(str, bad)) + "\n", encoding="utf-8")
+    with pytest.raises(Exception, match="could not convert"):
+        read_raw_csv(spark, str(tmp_path / "a.csv")).collect()

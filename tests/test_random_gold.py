@@ -26,7 +26,7 @@ REPORTS = {
     "top_exceedances": lambda g, d: levels.top_exceedances(g),
     "monthly_levels": lambda g, d: levels.monthly_levels(g),
     "location_ranking": lambda g, d: locations.location_ranking(g, as_of=d),
-    "zone_comparison": lambda g, d: locations.zone_comparison(g, as_of=d, method="distributed"),
+    "zone_comparison": lambda g, d: locations.zone_comparison(g, as_of=d),
     "location_scorecard": lambda g, d: locations.location_scorecard(g, as_of=d),
     "anomalies": lambda g, d: stats.anomalies(g, as_of=d),
     "percentile_profile": lambda g, d: stats.percentile_profile(g, as_of=d),

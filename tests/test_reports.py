@@ -256,19 +256,43 @@ def test_rounding_is_half_up_on_decimal(spark):
     assert out == [("NO2", 1.01), ("PM2.5", 2.68)]
 
 
-def test_zone_comparison_methods_agree(gold):
-    cols = ["zone", "pollutant_type", "median", "volatility", "locations_in_zone"]
-    a = rows(locations.zone_comparison(gold, as_of=AS_OF, method="distributed"), *cols)
-    b = rows(locations.zone_comparison(gold, as_of=AS_OF, method="merged"), *cols)
-    c = rows(locations.zone_comparison(gold, as_of=AS_OF), *cols)
-    assert a == b == c
-
-
-def test_zone_comparison_auto_switches_to_distributed(gold, monkeypatch):
-    cols = ["zone", "pollutant_type", "median"]
-    small = rows(locations.zone_comparison(gold, as_of=AS_OF), *cols)
-    monkeypatch.setattr(locations, "MERGED_PERCENTILE_MAX_ROWS", 1)
-    assert rows(locations.zone_comparison(gold, as_of=AS_OF), *cols) == small
+def test_zone_comparison_median_is_the_exact_percentile(gold):
+    from pyspark.sql import functions as F
+    from airshed.functions.numeric import r2
+    from airshed.plans.common import window_days
+    got = rows(locations.zone_comparison(gold, as_of=AS_OF), "zone", "pollutant_type", "median")
+    merged = window_days(gold, AS_OF, 90).groupBy("zone", "pollutant_type").agg(r2(F.percentile("avg_value", 0.5)).alias("median"))
+    assert got == rows(merged, "zone", "pollutant_type", "median")
+
+
+def test_infinite_values_are_not_rounded_away(spark):
+    r = [g(1, "A", "NO2", "z", float("inf")), g(1, "B", "NO2", "z", 1e300)]
+    out = rows(levels.current_levels(spark.createDataFrame(r, GOLD_SCHEMA)), "location", "avg_level")
+    assert out == [("A", float("inf")), ("B", 1e300)]
+
+
+def test_gaps_as_runs_hold_the_days(gold):
+    from pyspark.sql import functions as F
+    runs = quality.missing_series_runs(gold)
+    days = runs.select("location", "pollutant_type", F.explode(F.sequence("gap_start", "gap_end")).alias("date"))
+    observed = gold.select("date").distinct()
+    assert rows(days.join(observed, "date"), "location", "pollutant_type", "date") == rows(
+        quality.missing_series_days(gold, as_of=AS_OF), "location", "pollutant_type", "date")
+    assert all(r.days == (r.gap_end - r.gap_start).days + 1 for r in runs.collect())
+
+
+def test_reports_in_their_order(gold):
+    from airshed.plans.order import REPORT_ORDER, in_report_order
+    from airshed.plans.sql_reports import REPORT_SQL, run_report_sql
+    slopes = [abs(r.trend_slope) for r in in_report_order(forecast.trend_slope(gold, as_of=AS_OF), "trend_slope").collect() if r.trend_slope is not None]
+    assert len(slopes) > 1 and slopes == sorted(slopes, reverse=True)
+    trend = [(r.location, r.pollutant_type, -r.date.toordinal()) for r in in_report_order(levels.daily_trend(gold, as_of=AS_OF), "daily_trend").collect()]
+    assert trend == sorted(trend)
+    assert set(REPORT_ORDER) <= set(REPORT_SQL)
+    for name in REPORT_ORDER:
+        text = run_report_sql(gold.sparkSession, gold, name, as_of=AS_OF, ordered=True)
+        frame = in_report_order(run_report_sql(gold.sparkSession, gold, name, as_of=AS_OF), name)
+        assert [tuple(r) for r in text.collect()] == [tuple(r) for r in frame.collect()], name
 
 
 def test_quality_summary_approx(gold):

@@ -12,7 +12,7 @@ from airshed.layers import write_gold
 from airshed.operators.checks import aggregate_violations
 from airshed.operators.gold import daily_gold
 from airshed.schema import GOLD_SCHEMA, SILVER_SCHEMA
-from airshed.sources.layers_io import read_layer
+from airshed.sources.layers_io import read_by_month, read_layer
 
 GOLD_COLS = [f.name for f in GOLD_SCHEMA.fields]
 
@@ -20,7 +20,7 @@ GOLD_COLS = [f.name for f in GOLD_SCHEMA.fields]
 def _gold(spark, silver_path, tmp_data_dir):
     out = str(tmp_data_dir["gold"] / "gold.parquet")
     n = write_gold(spark, silver_path, out)
-    return spark.read.parquet(out), n
+    return read_by_month(spark, out), n
 
 
 def test_silver_to_gold_happy_path(spark, sample_silver_parquet, tmp_data_dir):

@@ -13,6 +13,7 @@ from airshed.operators.clean import to_silver
 from airshed.operators.gold import daily_gold
 from airshed.plans import runs as runmon
 from airshed.sources import adapter
+from airshed.sources.layers_io import read_by_month
 from airshed.streaming import alerts, gold_refresh, landing
 from tests.conftest import HEADER, RAW_ROWS, SF_SMALL
 
@@ -74,7 +75,7 @@ def test_gold_stream_equals_batch_and_absorbs_late_rows(spark, tmp_path):
     gold_refresh.start_bronze_to_gold(spark, bdir, sdir, gdir, ckpt).awaitTermination()
     cols = ["date", "location", "pollutant_type", "zone", "avg_value", "max_value", "min_value", "record_count"]
     batch = daily_gold(to_silver(bronze.unionByName(old_day)))
-    streamed = spark.read.parquet(gdir)
+    streamed = read_by_month(spark, gdir)
     assert _sorted(streamed, cols) == _sorted(batch, cols)
 
 
