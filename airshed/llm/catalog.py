@@ -20,6 +20,8 @@ QUERIES = {
 ORACLES = {
     "op2_dictionary_warc": warc.ORACLE,
     "op4_fm_index": decontamination.ORACLE,
+    "op5_phrase_automata": phrases.ORACLE,
     "op6_snapshot_collapse": chat.ORACLE,
+    "op8_parity_sketch": jaccard.ORACLE,
     "op9_rule_ledger": quality.ORACLE,
 }

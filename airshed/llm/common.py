@@ -32,7 +32,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
@@ -47,10 +47,6 @@ def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-def sha256_words(words: list[bytes], hasher) -> str:
-    return hasher(b" ".join(words)).hexdigest()
-
-
 def slices(n: int, step: int) -> Iterator[tuple[int, int]]:
     for at in range(0, n, step):
         yield at, min(n, at + step)

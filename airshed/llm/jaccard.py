@@ -338,3 +338,17 @@ def _candidates(buckets: DataFrame, sets: DataFrame, member: DataFrame, verdicts
 def op8_parity_sketch(spark, sf_dir: str) -> DataFrame:
     """Components of all documents that share nine tenths of their three-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=3, num=90, den=100)).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words) - 2, 1) + 1), lambda i: md5(array_to_string(words[i:i + 2], ' ')))) AS s
+  FROM d WHERE len(words) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes a ON x = a.doc_id JOIN sizes b ON y = b.doc_id WHERE 100 * n_both >= 90 * (a.n + b.n - n_both)),
+reached AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) LEFT JOIN sizes USING (doc_id)
+"""

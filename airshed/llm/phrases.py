@@ -319,3 +319,16 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
 def op5_phrase_automata(spark, sf_dir: str) -> DataFrame:
     """All documents without the windows of 35 words that occur more than once."""
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT r, unnest(list_transform(range(1, len(words) - 33), lambda i: {'i': i, 'w': md5(array_to_string(words[i:i + 34], ' '))})) AS x
+  FROM d WHERE len(words) >= 35),
+repeated AS (SELECT r, x.i AS i FROM windows QUALIFY count(*) OVER (PARTITION BY x.w) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM repeated),
+words AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS s FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
