@@ -1,4 +1,4 @@
-"""Print plan features of every registered query: shuffles, join strategies,
+"""Print plan features of every registered measurement query: shuffles, join strategies,
 window group limits, and the filters pushed into each Parquet scan.
 
 Usage: python scripts/plan_review.py [sf_dir] [name ...]
@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from airshed.catalog import QUERIES  # noqa: E402
 from airshed.session import build_session  # noqa: E402
 
 
@@ -27,7 +27,7 @@ def main():
     print("| query | exchanges | broadcast hash joins | sort-merge joins | nested-loop / cartesian | "
           "window group limits | expand | pushed scan filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if names and name not in names:
             continue
         df = fn(spark, sf_dir)
