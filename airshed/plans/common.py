@@ -20,3 +20,9 @@ def window_days(gold: DataFrame, as_of, days: int) -> DataFrame:
 
 def count_rows() -> Column:
     return F.count(F.lit(1))
+
+
+def count_few(col: str) -> Column:
+    """``COUNT(DISTINCT col)`` for a column of few values (pollutants, the days of a
+    bounded window): the set itself is the partial result, so no row is expanded."""
+    return F.size(F.collect_set(col)).cast("bigint")

@@ -10,7 +10,7 @@ from airshed.functions import labels as L
 from airshed.functions.bands import DEFAULT_LIMITS, Limits, in_moderate_band, over_unhealthy
 from airshed.functions.calendar import as_of_col
 from airshed.functions.numeric import percent, r2
-from airshed.plans.common import count_rows, window_days
+from airshed.plans.common import count_few, count_rows, window_days
 
 
 def days_over_limit(gold: DataFrame, as_of=None, limits: Limits = DEFAULT_LIMITS,
@@ -34,7 +34,7 @@ def compliance_status(gold: DataFrame, as_of=None, limits: Limits = DEFAULT_LIMI
     flat limit, unhealthy rows, and COMPLIANT / MOSTLY COMPLIANT / NON-COMPLIANT."""
     s = window_days(gold, as_of, days).agg(
         F.count_distinct("location").alias("locations_monitored"),
-        F.count_distinct("date").alias("data_days"),
+        count_few("date").alias("data_days"),
         F.count_if(F.col("avg_value") <= limits.flat).alias("_ok"),
         count_rows().alias("_n"),
         F.count_if(over_unhealthy(limits)).alias("violation_days"),
@@ -53,12 +53,12 @@ def compliance_status(gold: DataFrame, as_of=None, limits: Limits = DEFAULT_LIMI
 def _month_stats(gold: DataFrame, limits: Limits) -> DataFrame:
     return gold.groupBy(F.trunc("date", "month").alias("month_start")).agg(
         F.count_distinct("location").alias("locations"),
-        F.count_distinct("date").alias("data_days"),
+        count_few("date").alias("data_days"),
         r2(F.avg("avg_value")).alias("avg_level"),
         F.max("max_value").alias("peak_level"),
         F.count_if(F.col("avg_value") > limits.flat).alias("exceedance_days"),
         count_rows().alias("_n"),
-        F.count_distinct("pollutant_type").alias("pollutants"),
+        count_few("pollutant_type").alias("pollutants"),
     )
 
 
