@@ -34,7 +34,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the files of a table that ``written`` made, once everything that reads it has been written too."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

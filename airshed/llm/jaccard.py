@@ -25,12 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import table, texts, written
+from airshed.llm.common import forget, table, texts, written
 from airshed.llm.components import components
 from airshed.llm.hashing import WordHashes, grams, mixed
 
 #: A bucket with more classes is compared in pairs of chunks of about this size, each pair in a group of its own.
 CHUNK = 2000
+#: Bits of a bucket's key; unequal blocks that share a key are compared in vain, and nothing else.
+KEY_BITS = 48
+#: Parity bits of a block.
+PARITY_BITS = 16
 
 
 @dataclass(frozen=True)
@@ -115,16 +119,16 @@ def _keys(s: np.ndarray, rule: Rule, band: int) -> np.ndarray:
         j = np.arange(n_blocks)
     with np.errstate(over="ignore"):
         place = (np.uint64(band) << np.uint64(48)) + (j.astype(np.uint64) << np.uint64(24)) + size[j].astype(np.uint64)
-        return mixed(sketch[j] + mixed(place)).view(np.int64)
+        return (mixed(sketch[j] + mixed(place)) >> np.uint64(64 - KEY_BITS)).view(np.int64)
 
 
-def _parity(s: np.ndarray, rule: Rule, band: int) -> np.ndarray:
-    """The set's parity bits, 64 for each block: shingles flip one bit each."""
-    n_blocks = _blocks(rule, band)[0]
+def _parity(s: np.ndarray, rule: Rule, band: int) -> bytes:
+    """The set's parity bits: each shingle flips one bit of its block. Filled up to whole words of 64 bits."""
+    n_blocks = -(-_blocks(rule, band)[0] * PARITY_BITS // 64) * 64 // PARITY_BITS
     if not n_blocks:
-        return np.zeros(0, dtype=np.int64)
-    bit = _places(s, n_blocks) * 64 + (s & np.uint64(63)).astype(np.int64)
-    return np.packbits((np.bincount(bit, minlength=64 * n_blocks) & 1).astype(np.uint8)).view(np.int64)
+        return b""
+    bit = _places(s, _blocks(rule, band)[0]) * PARITY_BITS + (s % np.uint64(PARITY_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=PARITY_BITS * n_blocks) & 1).astype(np.uint8)).tobytes()
 
 
 def _band(rule: Rule, n: int) -> int:
@@ -159,23 +163,21 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-_SETS = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())),
-                   ("home", pa.list_(pa.int64())), ("next", pa.list_(pa.int64()))])
+_SETS = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("home", pa.binary()), ("next", pa.binary())])
 
 
 def _sets(rule: Rule):
-    """Whole sets and parity bits of the classes in (c, digest, text); a text of another set is passed over."""
+    """Whole sets and parity bits of the classes in (c, text)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
                 rows = []
-                for c, digest, text in zip(*batch.columns, strict=True):
+                for c, text in zip(*batch.columns, strict=True):
                     s = _set(hashes, text.as_py(), rule.words)
-                    if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digest.as_py():
-                        band = _band(rule, len(s))
-                        rows.append((c.as_py(), len(s), s.view(np.int64), _parity(s, rule, band),
-                                     _parity(s, rule, band + 1) if _reaches_next(rule, len(s), band) else []))
+                    band = _band(rule, len(s))
+                    rows.append((c.as_py(), len(s), s.view(np.int64), _parity(s, rule, band),
+                                 _parity(s, rule, band + 1) if _reaches_next(rule, len(s), band) else b""))
                     if len(rows) == 200:
                         yield _batch(rows, _SETS)
                         rows = []
@@ -196,7 +198,7 @@ def _closest(rule: Rule):
         c, comp, n, side = (np.array(group[x]) for x in ("c", "component", "n", "side"))
         if (comp == comp[0]).all():
             return
-        bits = np.array([np.asarray(x, dtype=np.int64) for x in group["parity"]]).view(np.uint64)
+        bits = np.frombuffer(b"".join(group["parity"]), dtype=np.uint64).reshape(len(c), -1)
         known = {(a, b) for a, no in zip(group["c"], group["no"], strict=True) for b in no or ()}
         values, comp, counts = np.unique(comp, return_inverse=True, return_counts=True)
         found: list[tuple[np.ndarray, ...]] = []
@@ -266,22 +268,27 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     d = texts(docs).select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("text_digest"), "text")
     schema = "doc_id long, text_digest binary, n long, digest binary, home array<long>, next array<long>"
     sketched = written(d.mapInArrow(_sketches(rule), schema), "jaccard-sketches")
-    classes = written(sketched.filter("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("home").alias("home"), F.first("next").alias("next"))
-        .withColumn("c", F.monotonically_increasing_id()), "jaccard-classes")
+    documents = written(sketched.select("doc_id", "text_digest", "n", "digest"), "jaccard-documents")
+    keyed = written(sketched.filter("n > 0").groupBy("digest").agg(
+        F.min("text_digest").alias("text_digest"), F.first("home").alias("home"), F.first("next").alias("next"))
+        .withColumn("c", F.monotonically_increasing_id()), "jaccard-keyed")
+    classes = written(keyed.select("c", "digest", "text_digest"), "jaccard-classes")
+    forget(sketched)
 
     # c and whether the block is for the next band, in one number
-    rows = classes.select((F.col("c") * 2).alias("entry"), F.explode("home").alias("key")).unionByName(
-        classes.select((F.col("c") * 2 + 1).alias("entry"), F.explode("next").alias("key")))
-    shared = rows.groupBy("key").agg(F.min("entry").alias("least"), F.count("*").alias("size")).filter("size > 1")
-    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"),
-                                                      F.expr("least div 2").alias("u"), "size"), "jaccard-buckets")
-    checked = written(buckets.filter("c <> u").select("u", F.col("c").alias("v")).distinct(), "jaccard-pairs")
-    wanted = buckets.select("c").distinct().join(classes.select("c", "doc_id", "digest"), "c")
-    body = d.select(F.col("doc_id").alias("id"), "text")
-    sets = written(body.join(wanted, body["id"].eqNullSafe(wanted["doc_id"])).select("c", "digest", "text")
-                   .mapInArrow(_sets(rule), "c long, n long, shingles array<long>, home array<long>, next array<long>")
-                   .dropDuplicates(["c"]), "jaccard-sets")
+    rows = keyed.select((F.col("c") * 2).alias("entry"), F.explode("home").alias("key")).unionByName(
+        keyed.select((F.col("c") * 2 + 1).alias("entry"), F.explode("next").alias("key")))
+    shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "jaccard-keys")
+    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"), "size"),
+                      "jaccard-buckets")
+    forget(keyed)
+    centres = buckets.groupBy("key").agg(F.min("c").alias("u"))
+    checked = written(buckets.join(centres, "key").filter("c <> u").select("u", F.col("c").alias("v")).distinct(), "jaccard-pairs")
+    # one text of each class that shares a bucket; copies of a text are one before the shuffle
+    wanted = buckets.select("c").distinct().join(classes.select("c", "text_digest"), "c")
+    body = d.groupBy("text_digest").agg(F.first("text").alias("text"))
+    sets = written(body.join(wanted, "text_digest").select("c", "text")
+                   .mapInArrow(_sets(rule), "c long, n long, shingles array<long>, home binary, next binary"), "jaccard-sets")
 
     verdicts = written(_verify(checked, sets, rule), "jaccard-verdicts")
     open_ = buckets.filter("size > 2")  # buckets of two are done
@@ -298,7 +305,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         open_ = open_.join(left, "key", "left_semi")
 
     labelled = classes.select("c", "digest").join(member, "c", "left").select("digest", F.coalesce("component", "c").alias("component"))
-    out = sketched.select("doc_id", "text_digest", "n", "digest").join(labelled, "digest", "left")
+    out = documents.join(labelled, "digest", "left")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_digest")
     leads = out.filter("n > 0").groupBy("component").agg(F.min(order).alias("lead"))
     out = out.join(leads, "component", "left")
