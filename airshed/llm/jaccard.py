@@ -247,6 +247,26 @@ def _closest(rule: Rule):
     return search
 
 
+def _within(rule: Rule):
+    """The pairs (u, v, n_u, n_v, bits_u, bits_v) whose sizes and parity bits allow a link."""
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, n_u, n_v = (batch.column(i).to_numpy() for i in range(4))
+            far = np.array([np.bitwise_count(np.frombuffer(a.as_py(), np.uint8) ^ np.frombuffer(b.as_py(), np.uint8)).sum(dtype=np.int64)
+                            for a, b in zip(batch.column(4), batch.column(5), strict=True)], dtype=np.int64)
+            near = (far <= rule.difference(n_u + n_v)) & (rule.den * np.minimum(n_u, n_v) >= rule.num * np.maximum(n_u, n_v))
+            yield pa.RecordBatch.from_arrays([pa.array(u[near]), pa.array(v[near])], names=["u", "v"])
+    return within
+
+
+def _near_pairs(starred: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    parity = sets.select("c", "n", "home", "next")
+    for side in ("v", "u"):
+        own = parity.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), "home", "next")
+        starred = starred.join(own, side).withColumn(f"bits_{side}", F.when(F.col(f"next_{side}"), F.col("next")).otherwise(F.col("home"))).drop("home", "next")
+    return starred.select("u", "v", "n_u", "n_v", "bits_u", "bits_v").mapInArrow(_within(rule), "u long, v long").distinct()
+
+
 def _verify(edges: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """u, v and ``linked`` of each pair, from the whole sets. Only v's set is shuffled to u; a
     class with many partners is a skewed key of an equi-join, not a copied set for each."""
@@ -282,15 +302,18 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"), "size"),
                       "jaccard-buckets")
     forget(keyed)
-    centres = buckets.groupBy("key").agg(F.min("c").alias("u"))
-    checked = written(buckets.join(centres, "key").filter("c <> u").select("u", F.col("c").alias("v")).distinct(), "jaccard-pairs")
+    centres = buckets.groupBy("key").agg(F.min(F.struct("c", "next")).alias("u"))
+    starred = written(buckets.join(centres, "key").filter("c <> u.c").select(
+        F.col("u.c").alias("u"), F.col("u.next").alias("next_u"), F.col("c").alias("v"), F.col("next").alias("next_v")).distinct(), "jaccard-pairs")
     # one text of each class that shares a bucket; copies of a text are one before the shuffle
     wanted = buckets.select("c").distinct().join(classes.select("c", "text_digest"), "c")
     body = d.groupBy("text_digest").agg(F.first("text").alias("text"))
     sets = written(body.join(wanted, "text_digest").select("c", "text")
                    .mapInArrow(_sets(rule), "c long, n long, shingles array<long>, home binary, next binary"), "jaccard-sets")
 
-    verdicts = written(_verify(checked, sets, rule), "jaccard-verdicts")
+    # pairs whose parity bits are too far apart are no links; only for the others are whole sets sent
+    near = written(_near_pairs(starred, sets, rule), "jaccard-near")
+    verdicts = written(_verify(near, sets, rule), "jaccard-verdicts")
     open_ = buckets.filter("size > 2")  # buckets of two are done
     while True:
         member = components(verdicts.filter("linked").select("u", "v")).withColumnRenamed("node", "c")
