@@ -232,28 +232,42 @@ def _closest(rule: Rule):
         for u, v in pairs_:
             yield group["key"][0], u, v, len(first) > len(pairs_)
 
+    def by_length(group: dict) -> list[tuple[int, int, int, bool]]:
+        """Sketches of unlike lengths are of different bands, whose keys collided, and not compared."""
+        lengths, out = np.array([len(x) for x in group["parity"]]), []
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            out += pairs({x: [values[i] for i in at] for x, values in group.items()})
+        return sorted(set(out))
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held, now = ("key", "side", "c", "component", "n", "parity", "no"), None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["group"] != now:
                     if held:
-                        yield _batch(sorted(set(pairs(held))), _PAIRS)
+                        yield _batch(by_length(held), _PAIRS)
                     held, now = {x: [] for x in names}, row["group"]
                 for x in names:
                     held[x].append(row[x])
         if held:
-            yield _batch(sorted(set(pairs(held))), _PAIRS)
+            yield _batch(by_length(held), _PAIRS)
     return search
 
 
+def _distance(a: bytes, b: bytes) -> int:
+    """Hamming distance; sketches of unlike lengths belong to different bands and met by a chance collision of keys."""
+    if len(a) != len(b):
+        return 1 << 60
+    return int(np.bitwise_count(np.frombuffer(a, np.uint8) ^ np.frombuffer(b, np.uint8)).sum(dtype=np.int64))
+
+
 def _within(rule: Rule):
     """The pairs (u, v, n_u, n_v, bits_u, bits_v) whose sizes and parity bits allow a link."""
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v, n_u, n_v = (batch.column(i).to_numpy() for i in range(4))
-            far = np.array([np.bitwise_count(np.frombuffer(a.as_py(), np.uint8) ^ np.frombuffer(b.as_py(), np.uint8)).sum(dtype=np.int64)
-                            for a, b in zip(batch.column(4), batch.column(5), strict=True)], dtype=np.int64)
+            far = np.array([_distance(a.as_py(), b.as_py()) for a, b in zip(batch.column(4), batch.column(5), strict=True)], dtype=np.int64)
             near = (far <= rule.difference(n_u + n_v)) & (rule.den * np.minimum(n_u, n_v) >= rule.num * np.maximum(n_u, n_v))
             yield pa.RecordBatch.from_arrays([pa.array(u[near]), pa.array(v[near])], names=["u", "v"])
     return within

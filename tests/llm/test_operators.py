@@ -399,3 +399,10 @@ def test_battery_finds_random_tokens_and_leaves_natural_ones(spark):
     found = {r["doc_id"] for r in secret_scan.scan(documents(spark, rows)).collect() if r["spans"]}
     assert len(found & set(range(40))) >= 36  # the battery itself rejects a few of a thousand random ones
     assert len(found - set(range(40))) <= 2
+
+
+def test_colliding_bucket_keys_lose_and_add_nothing(docs, monkeypatch):
+    rule = jaccard.Rule(3, 90, 100)
+    monkeypatch.setattr(jaccard, "KEY_BITS", 6)  # every bucket holds blocks of many bands
+    out = jaccard.near_duplicates(docs, rule).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == _components(ROWS, rule)
