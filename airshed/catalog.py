@@ -10,6 +10,7 @@ reads Silver, the reports read Gold. The report date is the latest Gold date.
 
 from __future__ import annotations
 
+import datetime
 import os
 import uuid
 from collections.abc import Callable
@@ -221,12 +222,13 @@ def _gold_refreshed(spark, sf_dir):
 
 
 def _incremental_load(spark, sf_dir):
-    """Two loads by mark, up to the middle of 1998 and then the rest; Gold as after one full load."""
+    """Two loads of one run date by mark, up to the middle of 1998 and then the rest; Gold as after one full load."""
     from airshed.layers import LayerPaths, run_incremental
     root = scratch_path(spark, f"incremental-{uuid.uuid4().hex[:12]}")
     paths, marks, rows = LayerPaths(root), os.path.join(root, "marks"), bronze_table(spark, sf_dir)
-    run_incremental(spark, paths, rows, marks, as_of="1998-06-17", load_id="first")
-    run_incremental(spark, paths, rows, marks, as_of="2099-12-31", load_id="second")
+    run_date = datetime.date(1998, 12, 31)
+    run_incremental(spark, paths, rows, marks, as_of="1998-06-17", run_date=run_date)
+    run_incremental(spark, paths, rows, marks, as_of="2099-12-31", run_date=run_date)
     return read_by_month(spark, paths.gold)
 
 

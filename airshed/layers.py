@@ -22,9 +22,10 @@ from airshed.operators.checks import schema_diff
 from airshed.operators.gold import daily_gold
 from airshed.schema import BRONZE_SCHEMA, GOLD_KEYS
 from airshed.sources.csv_ingest import read_raw_csv, to_bronze
-from airshed.sources.incremental import read_mark, refresh_gold, since_mark, touched_months, write_mark
-from airshed.sources.layers_io import (BATCH_LOAD, LOAD, drop_partition, read_layer, write_by_month, write_layer,
-                                       write_partitions)
+from airshed.sources.incremental import (default_load_id, read_mark, refresh_gold, since_mark, touched_months,
+                                         write_mark)
+from airshed.sources.layers_io import (BATCH_LOAD, LOAD, MONTH, drop_partition, partitions_with_load, read_layer,
+                                       write_by_month, write_layer, write_partitions)
 
 
 @dataclass(frozen=True)
@@ -97,20 +98,25 @@ def run_incremental(spark: SparkSession, paths: LayerPaths, raw: DataFrame, mark
     """Load the rows after the pipeline's mark, up to ``as_of``, and refresh Gold for
     the months they touch; returns these months.
 
-    Bronze keeps each load in a folder of its own. The mark is recorded last: a run
+    Bronze keeps each load in a folder of its own, named after the mark that the load starts at
+    (``default_load_id``) or by a ``load_id`` that no recorded load has had. The mark is recorded last: a run
     that failed is repeated under the same ``load_id`` and replaces what it had written. Rows whose
     date does not parse or is up to the mark are not part of an incremental load (see ``since_mark``).
     """
-    load_id = load_id or f"load-{(run_date or _dt.date.today()).isoformat()}"
+    load_id = load_id or default_load_id(spark, mark_path, pipeline)
     dated = raw.withColumn("_date", clean.parse_date("date"))
     rows = since_mark(dated, read_mark(spark, mark_path, pipeline), as_of, "_date").drop("_date")
-    write_partitions(to_bronze(rows).withColumn(LOAD, F.lit(load_id)), paths.bronze, [LOAD])
-    bronze = spark.read.parquet(paths.bronze).filter(F.col(LOAD) == load_id).drop(LOAD)
-    if bronze.isEmpty():  # nothing after the mark
+    obs = Observation("load")
+    write_partitions(to_bronze(rows).observe(obs, F.count(F.lit(1)).alias("rows")).withColumn(LOAD, F.lit(load_id)),
+                     paths.bronze, [LOAD])
+    if not obs.get["rows"]:  # nothing after the mark
         return []
+    bronze = spark.read.parquet(paths.bronze).filter(F.col(LOAD) == load_id).drop(LOAD)
     write_silver(spark, paths.bronze, paths.silver, paths.quarantine, run_date, rules, load_id, bronze, replace_load=True)
-    loaded = spark.read.parquet(paths.silver).filter(F.col(LOAD) == load_id)
-    months = touched_months(loaded)
+    months = [int(m) for m in partitions_with_load(spark, paths.silver, MONTH, load_id)]
+    kept = touched_months(clean.to_silver(bronze, rules))
+    for month in set(months) - set(kept):  # written by a failed run of this load whose rows reached further
+        drop_partition(spark, paths.silver, MONTH, month, LOAD, load_id)
     refresh_gold(spark, paths.silver, months, paths.gold)
     write_mark(spark, bronze.select(clean.parse_date("date").alias("date")), mark_path, pipeline)
     return months

@@ -40,6 +40,17 @@ def read_mark(spark: SparkSession, path: str, pipeline: str = "main"):
     return marks.filter(F.col("pipeline_name") == pipeline).agg(F.max_by("last_date", "recorded_at")).scalar()
 
 
+def default_load_id(spark: SparkSession, path: str, pipeline: str = "main") -> str:
+    """The name of the load that starts at the pipeline's last recorded mark: a failed run is repeated
+    under the same name, and a run after the next recorded mark has another, however soon it follows."""
+    if path_exists(spark, path):
+        marks = spark.read.schema(MARK_SCHEMA).parquet(path).filter(F.col("pipeline_name") == pipeline)
+        last = marks.agg(F.max_by(F.struct("last_date", F.unix_micros("recorded_at").alias("at")), "recorded_at").alias("m")).first()["m"]
+        if last is not None:
+            return f"load-{pipeline}-after-{last['last_date']}-{last['at']}"
+    return f"load-{pipeline}-first"
+
+
 def write_mark(spark: SparkSession, loaded: DataFrame, path: str, pipeline: str = "main",
                date_col: str = "date") -> None:
     """Record ``max(date)`` of what was just loaded as the pipeline's mark.

@@ -250,6 +250,26 @@ def test_incremental_loads_equal_one_full_load(spark, tmp_path, sample_raw_csv):
     assert spark.read.parquet(parts.bronze).count() == 6
 
 
+def test_default_loads_of_one_day_keep_each_other(spark, tmp_path, sample_raw_csv, monkeypatch):
+    from airshed import layers
+    from airshed.sources.csv_ingest import read_raw_csv
+    src, _ = sample_raw_csv
+    raw, marks, day = read_raw_csv(spark, str(src)), str(tmp_path / "marks"), dt.date(2024, 1, 9)
+    full, parts = LayerPaths(str(tmp_path / "full")), LayerPaths(str(tmp_path / "parts"))
+    run_layers(spark, full, raw=raw)
+    later = raw.unionByName(raw.filter("date = '2024-01-03'").withColumn("date", F.lit("2024-02-03")))
+    layers.run_incremental(spark, parts, raw, marks, as_of="2024-01-01", run_date=day)
+    with monkeypatch.context() as m:  # a run that fails before its mark, reaching further than its repetition
+        m.setattr(layers, "write_mark", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            layers.run_incremental(spark, parts, later, marks, as_of="2024-02-09", run_date=day)
+    assert layers.run_incremental(spark, parts, raw, marks, as_of="2024-01-02", run_date=day) == [202401, 202402]
+    assert layers.run_incremental(spark, parts, raw, marks, as_of="2024-01-09", run_date=day) == [202401]
+    assert layers.run_incremental(spark, parts, raw, marks, as_of="2024-01-09", run_date=day) == []
+    assert spark.read.parquet(parts.bronze).count() == spark.read.parquet(parts.silver).count() == 6
+    assert _gold_values(spark, parts.gold) == _gold_values(spark, full.gold)
+
+
 def test_run_log_feeds_the_monitoring(spark, tmp_path):
     from airshed.layers import as_run_history
     from airshed.plans.runs import circuit_breaker
