@@ -135,7 +135,7 @@ def to_quarantine(bronze: DataFrame, rules: list[Rule] | None = None,
 
 def replay(quarantine: DataFrame) -> DataFrame:
     """Quarantined rows back in Bronze shape, to be cleaned again after a fix."""
-    return quarantine.drop(REJECT_REASONS, "run_date")
+    return quarantine.drop(REJECT_REASONS, "run_date", "load_id")
 
 
 def reject_counts(bronze: DataFrame, rules: list[Rule] | None = None,

@@ -23,7 +23,7 @@ MARK_SCHEMA = T.StructType([
 
 def since_mark(df: DataFrame, mark, as_of=None, date_col: str = "date") -> DataFrame:
     """Rows after the last processed date and up to the report date:
-    ``mark < date <= as_of``. A NULL mark (first run) takes everything up to as_of.
+    ``mark < date <= as_of``. A NULL mark (first run) takes everything up to as_of; a NULL date is never taken.
     Rows that arrive late, with a date up to the mark, are not taken; a refresh of their
     month (``refresh_gold``) or the stream (``streaming.gold_refresh``) takes them in."""
     d = F.col(date_col)
@@ -52,13 +52,15 @@ def default_load_id(spark: SparkSession, path: str, pipeline: str = "main") -> s
 
 
 def write_mark(spark: SparkSession, loaded: DataFrame, path: str, pipeline: str = "main",
-               date_col: str = "date") -> None:
+               date_col: str = "date", undated: bool = False) -> None:
     """Record ``max(date)`` of what was just loaded as the pipeline's mark.
 
     The mark table only grows, by one row for each load; nothing of it is ever
-    rewritten, so a failed write loses no mark of this or another pipeline. A load without rows records nothing.
+    rewritten, so a failed write loses no mark of this or another pipeline. A load without rows records nothing, and
+    one of rows without a date only with ``undated`` (a NULL mark: everything is still to be loaded).
     """
-    new = loaded.agg(F.max(date_col).alias("last_date")).filter("last_date IS NOT NULL").select(
+    some = F.count(F.lit(1)) if undated else F.count(date_col)
+    new = loaded.agg(F.max(date_col).alias("last_date"), some.alias("n")).filter("n > 0").select(
         F.lit(pipeline).alias("pipeline_name"), "last_date", F.lit(_dt.datetime.now()).cast("timestamp").alias("recorded_at"))
     new.coalesce(1).write.mode("append").parquet(path)
 

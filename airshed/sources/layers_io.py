@@ -109,12 +109,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def drop_partition(spark: SparkSession, path: str, name: str, value, *below) -> None:
     """Remove one partition folder of a layer, where it exists; ``below`` goes on with the
     name and value of a folder inside it."""
-    p, fs = _path(spark, "/".join([path, _folder(spark, name, value), *(_folder(spark, *x) for x in zip(below[::2], below[1::2], strict=True))]))
+    p, fs = _path(spark, "/".join([path, partition_folder(spark, name, value), *(partition_folder(spark, *x) for x in zip(below[::2], below[1::2], strict=True))]))
     if fs.exists(p):
         fs.delete(p, True)
 
 
-def _folder(spark: SparkSession, name: str, value) -> str:
+def partition_folder(spark: SparkSession, name: str, value) -> str:
     """The folder name that Spark's writer gives a partition."""
     return f"{name}={spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))}"
 
@@ -124,7 +124,7 @@ def partitions_with_load(spark: SparkSession, path: str, name: str, load_id: str
     p, fs = _path(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
     return sorted(n.partition("=")[2] for n in names if n.startswith(f"{name}=")
-                  and fs.exists(_path(spark, f"{path}/{n}/{_folder(spark, LOAD, load_id)}")[0]))
+                  and fs.exists(_path(spark, f"{path}/{n}/{partition_folder(spark, LOAD, load_id)}")[0]))
 
 
 def _refuse_other_layout(spark: SparkSession, path: str) -> None:

@@ -270,6 +270,30 @@ def test_default_loads_of_one_day_keep_each_other(spark, tmp_path, sample_raw_cs
     assert _gold_values(spark, parts.gold) == _gold_values(spark, full.gold)
 
 
+def test_quarantine_of_the_loads_is_that_of_one_full_load(spark, tmp_path, monkeypatch):
+    from airshed import layers
+    from airshed.catalog import QUERIES, bronze_table
+    from airshed.operators import clean
+    from tests.conftest import SF_SMALL
+    paths, marks, days = LayerPaths(str(tmp_path / "lake")), str(tmp_path / "marks"), [dt.date(1999, 1, d) for d in (1, 2)]
+    rows = bronze_table(spark, SF_SMALL)
+    dated, undated = (rows.filter(f"date {c} 'invalid-date'") for c in ("<>", "="))
+    assert layers.run_incremental(spark, paths, undated.limit(3), marks, as_of="1992-06-17", run_date=days[0]) == []  # nothing dated
+    layers.run_incremental(spark, paths, dated, marks, as_of="1995-06-17", run_date=days[0])
+    with monkeypatch.context() as m:  # fails before midnight, repeated the next day
+        m.setattr(layers, "write_mark", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            layers.run_incremental(spark, paths, rows, marks, as_of="1998-06-17", run_date=days[0])
+    for as_of in ("1998-06-17", "2099-12-31"):
+        layers.run_incremental(spark, paths, rows, marks, as_of=as_of, run_date=days[1])
+    assert layers.run_incremental(spark, paths, rows, marks, as_of="2099-12-31", run_date=days[1]) == []
+    text = lambda q: q.select(*rows.columns, F.array_join(clean.REJECT_REASONS, ",").alias(clean.REJECT_REASONS))
+    got, want = text(spark.read.parquet(paths.quarantine)), QUERIES["quarantine_rows"](spark, SF_SMALL).select(*rows.columns, clean.REJECT_REASONS)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+    assert spark.read.parquet(paths.quarantine).select("load_id").distinct().count() == 4
+    assert spark.read.parquet(paths.bronze).count() == rows.count()
+
+
 def test_run_log_feeds_the_monitoring(spark, tmp_path):
     from airshed.layers import as_run_history
     from airshed.plans.runs import circuit_breaker
