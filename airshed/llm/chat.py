@@ -1,59 +1,111 @@
 """Chat formatting with cumulative-snapshot collapse.
 
-Logs hold snapshots of growing conversations. A rolling hash over its turns
-gives each conversation one digest for every prefix; a conversation whose
-whole digest is a proper prefix of another's is dropped by an anti-join, of
-equal ones the smallest id stays, and the rest are rendered.
+Logs hold snapshots of growing conversations. Turns are sorted over all tasks by conversation and
+turn, so a conversation of any length is spread over as many tasks as its turns fill. A rolling hash gives
+one digest for every prefix; the hash composes, so each task hashes its own rows and what precedes
+them in the tasks before is put in front afterwards. A conversation whose whole digest is a proper prefix
+of another's is dropped, of equal ones the smallest id stays, and only the turns of the rest meet in one row, rendered.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed.llm.common import table, written
 
-_PREFIX_SCHEMA = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("whole", pa.binary()), ("prefixes", pa.list_(pa.binary()))])
+# the hash of turns t1..tn is the sum of digest(ti) * BASE^(n-i), modulo a prime of 127 bits
+PRIME, BASE = 2**127 - 1, 0x5DEECE66D1B54A32D192ED03A1F3C6A7
+#: Characters of the text by which turns of one conversation, number and role are dealt out.
+DEALT_CHARS = 64
 
+_HASHED = pa.schema([("conv_id", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("part", pa.int32()), ("n", pa.int64()), ("hash", pa.binary())])
+_PREFIX = pa.schema([("conv_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
 
-def gather(turns: DataFrame) -> DataFrame:
-    """One row per conversation with its turns in order. A conversation is one
-    output record, so its turns meet in one row; a turn logged more than once counts once."""
-    t = turns.select(turns["conv_id"].cast("long").alias("conv_id"), turns["turn"].cast("long").alias("turn"),
-                     F.coalesce(turns["role"].cast("string"), F.lit("")).alias("role"),
-                     F.coalesce(turns["text"].cast("string"), F.lit("")).alias("text"))
-    return t.groupBy("conv_id").agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
+
+def _turn_hash(role: str, text: str) -> int:
+    state = hashlib.blake2b(digest_size=16)
+    for part in (role.encode(), text.encode()):
+        state.update(len(part).to_bytes(8, "little") + part)
+    return int.from_bytes(state.digest(), "little")
 
 
 def _rolling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest of each prefix, from one running hash for each conversation."""
+    """Each turn with its task, its place among the task's turns of the conversation, and their hash up to it."""
+    part, at, n, h = TaskContext.get().partitionId(), (), 0, 0
     for batch in batches:
-        rows = []
-        for conv_id, turns in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            state, digests = hashlib.blake2b(digest_size=16), []
-            for t in turns.as_py():
-                for part in (t["role"].encode(), t["text"].encode()):
-                    state.update(len(part).to_bytes(8, "little") + part)
-                digests.append(state.digest())
-            rows.append((conv_id, len(digests), digests[-1], digests[:-1]))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PREFIX_SCHEMA.types, strict=True)],
-                                         schema=_PREFIX_SCHEMA) if rows else pa.RecordBatch.from_pylist([], schema=_PREFIX_SCHEMA)
-
-
-def maximal(conversations: DataFrame) -> DataFrame:
+        ids, roles, texts = (batch.column(batch.schema.get_field_index(c)) for c in ("conv_id", "role", "text"))
+        ns, hashes = [], []
+        for conv_id, role, text in zip(ids.to_pylist(), roles.to_pylist(), texts.to_pylist(), strict=True):
+            if conv_id != at:
+                at, n, h = conv_id, 0, 0
+            n, h = n + 1, (h * BASE + _turn_hash(role, text)) % PRIME
+            ns.append(n)
+            hashes.append(h.to_bytes(16, "little"))
+        columns = [ids, roles, texts, [part] * len(ns), ns, hashes]
+        yield pa.RecordBatch.from_arrays([x.cast(t) if isinstance(x, pa.Array) else pa.array(x, t)
+                                          for x, t in zip(columns, _HASHED.types, strict=True)], schema=_HASHED)
+
+
+def hashed_turns(turns: DataFrame) -> DataFrame:
+    """The different turns, sorted by conversation and turn over all tasks, hashed within each
+    task; a turn logged more than once counts once."""
+    t = turns.select(turns["conv_id"].cast("long").alias("conv_id"), turns["turn"].cast("long").alias("turn"),
+                     F.coalesce(turns["role"].cast("string"), F.lit("")).alias("role"),
+                     F.coalesce(turns["text"].cast("string"), F.lit("")).alias("text")).distinct()
+    dealt = t.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, DEALT_CHARS))
+    return written(dealt.sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(
+        _rolling, "conv_id long, role string, text string, part int, n long, hash binary"), "chat-turns")
+
+
+def _before(t: DataFrame) -> dict[int, tuple[int | None, int, int]]:
+    """For each task that goes on with a conversation: its id, and the number and hash of its turns
+    in the tasks before. From one row for each task, with its first and last conversation."""
+    first, last = F.struct("conv_id"), F.struct("conv_id", "n", "hash")
+    # conversations are sorted inside a task, NULL first
+    order = F.struct(F.col("conv_id").isNotNull(), F.col("conv_id"), F.col("n"))
+    ends = t.groupBy("part").agg(F.min_by(first, order).alias("first"), F.max_by(last, order).alias("last")).orderBy("part").collect()
+    before, at = {}, None
+    for r in ends:
+        conv_id, n, h = r["last"]["conv_id"], r["last"]["n"], int.from_bytes(r["last"]["hash"], "little")
+        if at is not None and at[0] == r["first"]["conv_id"]:
+            before[r["part"]] = at
+            if conv_id == at[0]:  # the whole task is of that conversation
+                n, h = at[1] + n, (at[2] * pow(BASE, n, PRIME) + h) % PRIME
+        at = (conv_id, n, h)
+    return before
+
+
+def _joined(before: dict[int, tuple[int | None, int, int]]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for conv_id, part, n, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                start = before.get(part)
+                if start is not None and start[0] == conv_id:
+                    h = ((start[2] * pow(BASE, n, PRIME) + int.from_bytes(h, "little")) % PRIME).to_bytes(16, "little")
+                    n += start[1]
+                rows.append((conv_id, n, h))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_PREFIX.types)], schema=_PREFIX)
+    return run
+
+
+def maximal(t: DataFrame) -> DataFrame:
     """conv_id, n_turns and n_equal of the conversations that prefix no longer one.
 
-    Equal conversations are one group before the anti-join, and prefixes are distinct,
-    so a prompt or a conversation that a third of the log repeats is one row on either side.
+    A digest that more conversations have as a prefix (itself included) than as a whole prefixes a
+    longer one. Both counts are partial aggregates, so a prompt or a conversation that a third of the log repeats is a row a task.
     """
-    p = written(conversations.mapInArrow(_rolling, "conv_id long, n_turns long, whole binary, prefixes array<binary>"), "chat-prefixes")
-    whole = p.groupBy("whole").agg(F.min("conv_id").alias("conv_id"), F.first("n_turns").alias("n_turns"), F.count("*").alias("n_equal"))
-    longer = p.select(F.explode("prefixes").alias("whole")).distinct()
-    return whole.join(longer, "whole", "left_anti").drop("whole")
+    p = written(t.select("conv_id", "part", "n", "hash").mapInArrow(_joined(_before(t)), "conv_id long, n long, digest binary"), "chat-prefixes")
+    whole = p.groupBy("conv_id").agg(F.max_by("digest", "n").alias("digest"), F.max("n").alias("n_turns")).groupBy("digest").agg(
+        F.min("conv_id").alias("conv_id"), F.first("n_turns").alias("n_turns"), F.count("*").alias("n_equal"))
+    reached = p.groupBy("digest").agg(F.count("*").alias("n_reached"))
+    return whole.join(reached, "digest").filter("n_reached = n_equal").drop("digest", "n_reached")
 
 
 def render(turns) -> Column:
@@ -68,11 +120,14 @@ def format_chats(turns: DataFrame) -> DataFrame:
     ``turns``: conv_id, turn, role, text. Turns are ordered by turn (null first), then role and text; a null
     role or text is empty, and equal to an empty one; rows without a conv_id form one conversation,
     which of its equals is the last to be chosen. Turn numbers only order: equal turns under other numbers are equal.
+    A maximal conversation is one output value: it must fit into the memory of a task and into 2 GB.
     """
-    conversations = written(gather(turns), "chat-conversations")
-    kept = maximal(conversations).withColumnRenamed("conv_id", "kept_id")
-    return conversations.join(kept, conversations["conv_id"].eqNullSafe(kept["kept_id"])).select(
-        "conv_id", "n_turns", "n_equal", render(F.col("turns")).alias("rendered"))
+    t = hashed_turns(turns)
+    kept = maximal(t).withColumnRenamed("conv_id", "kept_id")
+    return (t.join(kept, t["conv_id"].eqNullSafe(kept["kept_id"])).groupBy("conv_id")
+            .agg(F.first("n_turns").alias("n_turns"), F.first("n_equal").alias("n_equal"),
+                 F.sort_array(F.collect_list(F.struct("part", "n", "role", "text"))).alias("turns"))
+            .select("conv_id", "n_turns", "n_equal", render(F.col("turns")).alias("rendered")))
 
 
 def op6_snapshot_collapse(spark, sf_dir: str) -> DataFrame:

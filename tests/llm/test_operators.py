@@ -282,6 +282,21 @@ def test_snapshots_collapse_to_maximal_conversations(spark):
     assert chat.format_chats(t.limit(0)).count() == 0
 
 
+def test_one_conversation_is_spread_over_tasks(spark):
+    long = [(c, i, "user", f"turn {i}") for c in (None, 4, 9) for i in range(600)] + [(9, 600, "user", "more")]
+    t = spark.createDataFrame(long + [(20 + i, j, "user", f"turn {j}") for i in range(40) for j in range(i + 1)] + [(99, None, "x", f"{i}") for i in range(300)],
+                              "conv_id long, turn long, role string, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert chat.hashed_turns(t).filter("conv_id IS NULL").select("part").distinct().count() > 1
+        out = {r["conv_id"]: r for r in chat.format_chats(t).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert set(out) == {9, 99} and out[9]["n_turns"] == 601 and out[9]["n_equal"] == 1 and out[99]["n_turns"] == 300
+    turns = [x.split("\n")[1] for x in out[9]["rendered"].split("<|im_end|>\n")[:-1]]
+    assert turns == [f"turn {i}" for i in range(600)] + ["more"]
+
+
 # 8 Jaccard join
 
 def _components(rows, rule):
