@@ -294,6 +294,16 @@ def test_quarantine_of_the_loads_is_that_of_one_full_load(spark, tmp_path, monke
     assert spark.read.parquet(paths.bronze).count() == rows.count()
 
 
+def test_the_refreshed_query_rests_on_the_refresh(spark, monkeypatch):
+    from airshed.catalog import QUERIES
+    from tests.conftest import SF_SMALL
+    want = QUERIES["gold_daily"](spark, SF_SMALL)
+    months = lambda g: {r[0] for r in g.select(F.date_format("date", "yyyyMM")).distinct().collect()}
+    assert months(QUERIES["gold_refreshed"](spark, SF_SMALL).select(want.columns).exceptAll(want)) == set()
+    monkeypatch.setattr(inc, "refresh_gold", lambda *a: None)
+    assert months(want.exceptAll(QUERIES["gold_refreshed"](spark, SF_SMALL).select(want.columns))) == months(want)
+
+
 def test_run_log_feeds_the_monitoring(spark, tmp_path):
     from airshed.layers import as_run_history
     from airshed.plans.runs import circuit_breaker
