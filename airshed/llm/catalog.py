@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airshed.llm import chat, decontamination, jaccard, packing, phrases, quality, secret_scan, sharding, tokens, warc
+from airshed.llm import chat, decontamination, infill, jaccard, merkle, packing, phrases, quality, secret_scan, sharding, tokens, warc
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_parity_sketch": jaccard.op8_parity_sketch,
     "op9_rule_ledger": quality.op9_rule_ledger,
     "op10_randomness_battery": secret_scan.op10_randomness_battery,
+    "op11_indexable_skip_list": infill.op11_indexable_skip_list,
+    "op12_time_forward": merkle.op12_time_forward,
 }
 
 ORACLES = {
@@ -24,4 +26,6 @@ ORACLES = {
     "op6_snapshot_collapse": chat.ORACLE,
     "op8_parity_sketch": jaccard.ORACLE,
     "op9_rule_ledger": quality.ORACLE,
+    "op11_indexable_skip_list": infill.ORACLE,
+    "op12_time_forward": merkle.ORACLE,
 }
