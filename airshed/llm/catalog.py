@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airshed.llm import chat, decontamination, infill, jaccard, merkle, packing, phrases, quality, secret_scan, sharding, tokens, warc
+from airshed.llm import chat, decontamination, infill, jaccard, merkle, minhash, packing, phrases, quality, secret_scan, sharding, tokens, warc
 
 QUERIES = {
     "op1_sampled_splitters": sharding.op1_sampled_splitters,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_randomness_battery": secret_scan.op10_randomness_battery,
     "op11_indexable_skip_list": infill.op11_indexable_skip_list,
     "op12_time_forward": merkle.op12_time_forward,
+    "op13_hyper_minhash": minhash.op13_hyper_minhash,
 }
 
 ORACLES = {
@@ -28,4 +29,5 @@ ORACLES = {
     "op9_rule_ledger": quality.ORACLE,
     "op11_indexable_skip_list": infill.ORACLE,
     "op12_time_forward": merkle.ORACLE,
+    "op13_hyper_minhash": minhash.ORACLE,
 }

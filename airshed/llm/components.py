@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import written
+from airshed.llm.common import forget, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -35,9 +35,12 @@ def components(edges: DataFrame) -> DataFrame:
     hot node's edges meet its minimum in an equi-join that adaptive execution can split.
     """
     now = written(edges.filter("u <> v").select("u", "v").distinct(), "edges")
-    state = None
+    size = now.count()
     while True:
-        now = written(_small_star(_large_star(now)), "edges")
-        before, state = state, now.agg(F.count("*"), F.coalesce(F.sum(F.hash("u", "v").cast("long")), F.lit(0))).first()
-        if state == before:
+        last, before = now, size
+        now = written(_small_star(_large_star(last)), "edges")
+        size = now.count()
+        same = size == before and now.join(last, ["u", "v"], "left_anti").isEmpty()
+        forget(last)
+        if same:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

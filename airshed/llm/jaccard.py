@@ -6,10 +6,9 @@ one of them, and the blocks (and the parity bits) in which two sketches differ a
 the symmetric difference. Linked documents of one size band differ in at most d shingles, so of
 d + 1 + x blocks at least x + 1 are equal: documents are joined on equal blocks (pigeonhole).
 
-Documents with equal sets form a class first. In a bucket of equal blocks each class is compared with the
-smallest class only; links are verified on the whole sets and give components. Buckets that still hold
-several components are then searched by the Hamming distance of their parity bits, the closest
-pair of a class and another component at a time, until no unverified pair is close enough.
+Documents with equal sets form a class first. In a bucket of equal blocks each class is compared with a few
+centres, first by the Hamming distance of their parity bits, then on the whole sets; the links give components, and what lies
+in several components of one bucket is searched against an index of whole sets (``linking``).
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -25,30 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airshed.llm import linking
 from airshed.llm.common import forget, table, texts, written
-from airshed.llm.components import components
-from airshed.llm.hashing import WordHashes, grams, mixed
+from airshed.llm.hashing import WordHashes, mixed
+from airshed.llm.linking import Rule, shingle_set
 
-#: A bucket with more classes is compared in pairs of chunks of about this size, each pair in a group of its own.
-CHUNK = 2000
 #: Bits of a bucket's key; unequal blocks that share a key are compared in vain, and nothing else.
 KEY_BITS = 48
 #: Parity bits of a block.
 PARITY_BITS = 16
 
 
-@dataclass(frozen=True)
-class Rule:
-    """Shingles of ``words`` words; two sets link if ``den`` * intersection >= ``num`` * union."""
-    words: int = 5
-    num: int = 80
-    den: int = 100
-
-    def difference(self, sizes):
-        """The largest symmetric difference of two linked sets whose sizes add up to ``sizes``."""
-        return sizes * (self.den - self.num) // (self.den + self.num)
-
-
 @lru_cache(maxsize=4)
 def _bands(rule: Rule) -> list[int]:
     """First sizes of the bands: sizes that may link are in one band or in neighbouring ones.
@@ -89,14 +74,6 @@ def _blocks(rule: Rule, band: int) -> tuple[int, int, int]:
     raise AssertionError
 
 
-def _set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text; with fewer words, the whole sequence is one shingle."""
-    w = hashes.of((text or "").encode().lower().split())
-    if not len(w):
-        return w
-    return np.unique(mixed(grams(w, min(words, len(w))) + np.uint64(min(words, len(w)))))
-
-
 def _places(s: np.ndarray, n_blocks: int) -> np.ndarray:
     return ((s >> np.uint64(32)) % np.uint64(n_blocks)).astype(np.int64)
 
@@ -146,7 +123,7 @@ def _sketches(rule: Rule):
             for batch in batches:
                 rows = []
                 for doc_id, text_digest, text in zip(*batch.columns, strict=True):
-                    s = _set(hashes, text.as_py(), rule.words)
+                    s = shingle_set(hashes, text.as_py(), rule.words)
                     band = _band(rule, len(s)) if len(s) else 0
                     rows.append((doc_id.as_py(), text_digest.as_py(), len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
                                  _keys(s, rule, band) if len(s) else [], _keys(s, rule, band + 1) if len(s) and _reaches_next(rule, len(s), band) else []))
@@ -174,7 +151,7 @@ def _sets(rule: Rule):
             for batch in batches:
                 rows = []
                 for c, text in zip(*batch.columns, strict=True):
-                    s = _set(hashes, text.as_py(), rule.words)
+                    s = shingle_set(hashes, text.as_py(), rule.words)
                     band = _band(rule, len(s))
                     rows.append((c.as_py(), len(s), s.view(np.int64), _parity(s, rule, band),
                                  _parity(s, rule, band + 1) if _reaches_next(rule, len(s), band) else b""))
@@ -185,76 +162,6 @@ def _sets(rule: Rule):
     return sets
 
 
-_PAIRS = pa.schema([("key", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("more", pa.bool_())])
-
-
-def _closest(rule: Rule):
-    """Pairs of classes worth verifying in groups of rows (group, key, side, c, component, n, parity, no), sorted by
-    group. side: -1 compares all with all, 0 with 1 otherwise. Of the pairs within the bound, nearest first, those that
-    join components not yet joined by a nearer one: fewer than the group has components. ``more`` tells
-    that others were left out; if a pair turns out not to link, the group is searched again. ``no`` lists classes
-    found not to link."""
-    def pairs(group: dict) -> Iterator[tuple[int, int, int, bool]]:
-        c, comp, n, side = (np.array(group[x]) for x in ("c", "component", "n", "side"))
-        if (comp == comp[0]).all():
-            return
-        bits = np.frombuffer(b"".join(group["parity"]), dtype=np.uint64).reshape(len(c), -1)
-        known = {(a, b) for a, no in zip(group["c"], group["no"], strict=True) for b in no or ()}
-        values, comp, counts = np.unique(comp, return_inverse=True, return_counts=True)
-        found: list[tuple[np.ndarray, ...]] = []
-        for i in np.flatnonzero(comp != np.argmax(counts)):  # each pair of components has a side that is not the largest
-            other = comp != comp[i]
-            if side[i] >= 0:
-                other &= side != side[i]
-            j = np.flatnonzero(other)
-            far = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            slack = rule.difference(n[j] + n[i]) - far
-            # sizes too far apart cannot link either
-            near = (slack >= 0) & (rule.den * np.minimum(n[j], n[i]) >= rule.num * np.maximum(n[j], n[i]))
-            found.append((np.full(near.sum(), i), j[near], slack[near]))
-        first, second, slack = (np.concatenate(x) for x in zip(*found, strict=True))
-        if known:
-            fresh = np.array([(c[a], c[b]) not in known and (c[b], c[a]) not in known for a, b in zip(first, second, strict=True)], dtype=bool)
-            first, second, slack = first[fresh], second[fresh], slack[fresh]
-        near = np.argsort(-slack, kind="stable")
-        of = np.sort(np.stack([comp[first[near]], comp[second[near]]]), axis=0)
-        best = np.sort(np.unique(of[0] * len(values) + of[1], return_index=True)[1])  # the nearest pair of each two components
-        joined, pairs_ = list(range(len(values))), []
-        def root(x: int) -> int:
-            while joined[x] != x:
-                joined[x] = x = joined[joined[x]]
-            return x
-        for at in best:
-            a, b = root(of[0, at]), root(of[1, at])
-            if a != b:
-                joined[a] = b
-                pairs_.append(sorted((int(c[first[near[at]]]), int(c[second[near[at]]]))))
-        for u, v in pairs_:
-            yield group["key"][0], u, v, len(first) > len(pairs_)
-
-    def by_length(group: dict) -> list[tuple[int, int, int, bool]]:
-        """Sketches of unlike lengths are of different bands, whose keys collided, and not compared."""
-        lengths, out = np.array([len(x) for x in group["parity"]]), []
-        for length in np.unique(lengths):
-            at = np.flatnonzero(lengths == length)
-            out += pairs({x: [values[i] for i in at] for x, values in group.items()})
-        return sorted(set(out))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held, now = ("key", "side", "c", "component", "n", "parity", "no"), None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["group"] != now:
-                    if held:
-                        yield _batch(by_length(held), _PAIRS)
-                    held, now = {x: [] for x in names}, row["group"]
-                for x in names:
-                    held[x].append(row[x])
-        if held:
-            yield _batch(by_length(held), _PAIRS)
-    return search
-
-
 def _distance(a: bytes, b: bytes) -> int:
     """Hamming distance; sketches of unlike lengths belong to different bands and met by a chance collision of keys."""
     if len(a) != len(b):
@@ -281,16 +188,6 @@ def _near_pairs(starred: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return starred.select("u", "v", "n_u", "n_v", "bits_u", "bits_v").mapInArrow(_within(rule), "u long, v long").distinct()
 
 
-def _verify(edges: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """u, v and ``linked`` of each pair, from the whole sets. Only v's set is shuffled to u; a
-    class with many partners is a skewed key of an equi-join, not a copied set for each."""
-    v = sets.select(F.col("c").alias("v"), F.col("n").alias("n_v"), F.col("shingles").alias("s_v"))
-    u = sets.select(F.col("c").alias("u"), F.col("n").alias("n_u"), F.col("shingles").alias("s_u"))
-    common = F.size(F.array_intersect("s_u", "s_v"))
-    return (edges.join(v, "v").join(u, "u").withColumn("common", common)
-            .select("u", "v", (rule.den * F.col("common") >= rule.num * (F.col("n_u") + F.col("n_v") - F.col("common"))).alias("linked")))
-
-
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, text_digest, n_shingles, component_id and ``first`` of every row of ``docs`` (doc_id, text).
 
@@ -313,12 +210,11 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     rows = keyed.select((F.col("c") * 2).alias("entry"), F.explode("home").alias("key")).unionByName(
         keyed.select((F.col("c") * 2 + 1).alias("entry"), F.explode("next").alias("key")))
     shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "jaccard-keys")
-    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"), "size"),
+    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next")),
                       "jaccard-buckets")
     forget(keyed)
-    centres = buckets.groupBy("key").agg(F.min(F.struct("c", "next")).alias("u"))
-    starred = written(buckets.join(centres, "key").filter("c <> u.c").select(
-        F.col("u.c").alias("u"), F.col("u.next").alias("next_u"), F.col("c").alias("v"), F.col("next").alias("next_v")).distinct(), "jaccard-pairs")
+    centred = written(linking.centres(buckets, ["c", "next"]), "jaccard-centres")
+    starred = written(linking.star_pairs(buckets, centred, ["c", "next"]), "jaccard-pairs")
     # one text of each class that shares a bucket; copies of a text are one before the shuffle
     wanted = buckets.select("c").distinct().join(classes.select("c", "text_digest"), "c")
     body = d.groupBy("text_digest").agg(F.first("text").alias("text"))
@@ -327,28 +223,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     # pairs whose parity bits are too far apart are no links; only for the others are whole sets sent
     near = written(_near_pairs(starred, sets, rule), "jaccard-near")
-    verdicts = written(_verify(near, sets, rule), "jaccard-verdicts")
-    open_ = buckets.filter("size > 2")  # buckets of two are done
-    while True:
-        member = components(verdicts.filter("linked").select("u", "v")).withColumnRenamed("node", "c")
-        found = written(_candidates(open_, sets, member, verdicts, rule), "jaccard-candidates")
-        fresh = found.select("u", "v").distinct()
-        if fresh.isEmpty():
-            break
-        new = written(_verify(fresh, sets, rule), "jaccard-verdicts")
-        verdicts = verdicts.unionByName(new)
-        # a bucket stays open while a pair that did not link leaves others behind it
-        left = found.filter("more").join(new.filter("not linked"), ["u", "v"]).select("key").distinct()
-        open_ = open_.join(left, "key", "left_semi")
-
-    labelled = classes.select("c", "digest").join(member, "c", "left").select("digest", F.coalesce("component", "c").alias("component"))
-    out = documents.join(labelled, "digest", "left")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_digest")
-    leads = out.filter("n > 0").groupBy("component").agg(F.min(order).alias("lead"))
-    out = out.join(leads, "component", "left")
-    return out.select("doc_id", "text_digest", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("lead.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                      F.when(F.col("n") > 0, order == F.col("lead")).otherwise(F.lit(True)).alias("first"))
+    verdicts = written(linking.verify(near, sets, rule), "jaccard-verdicts")
+    member = linking.members(buckets, centred, verdicts.filter("linked").select("u", "v"), sets, rule)
+    return linking.labelled(documents, classes, member)
 
 
 def first_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -361,24 +238,6 @@ def first_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
             .dropDuplicates(["id", "digest"]).select("row.*"))
 
 
-def _candidates(buckets: DataFrame, sets: DataFrame, member: DataFrame, verdicts: DataFrame, rule: Rule) -> DataFrame:
-    """Unverified pairs of different components from the buckets that hold several."""
-    rows = buckets.join(member, "c", "left").withColumn("component", F.coalesce("component", "c"))
-    several = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
-    rows = rows.join(several, "key", "left_semi").select("key", "c", "next", "component", "size")
-    # a bucket beyond the chunk size is dealt to one group for each pair of chunks
-    n = F.ceil(F.col("size") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("c"), n).cast("int")
-    rows = rows.withColumn("n_chunks", n).withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, n_chunks - 1)")))
-    rows = rows.withColumn("group", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).withColumn(
-        "side", F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise((F.col("own") > F.col("other")).cast("int")))
-    no = verdicts.filter("not linked").groupBy("v").agg(F.collect_list("u").alias("no")).withColumnRenamed("v", "c")
-    parity = sets.select("c", "n", "home", F.col("next").alias("next_bits"))
-    rows = rows.join(parity, "c").join(no, "c", "left").select(
-        "group", "key", "side", "c", "component", "n", F.when(F.col("next"), F.col("next_bits")).otherwise(F.col("home")).alias("parity"), "no")
-    return (rows.repartition("group").sortWithinPartitions("group").mapInArrow(_closest(rule), "key long, u long, v long, more boolean").distinct())
-
-
 def op8_parity_sketch(spark, sf_dir: str) -> DataFrame:
     """Components of all documents that share nine tenths of their three-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=3, num=90, den=100)).select("doc_id", "n_shingles", "component_id")

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from airshed.llm import chat, decontamination, jaccard, packing, phrases, quality, secret_scan, sharding, tokens, warc
+from airshed.llm import chat, decontamination, jaccard, linking, packing, phrases, quality, secret_scan, sharding, tokens, warc
 from airshed.llm.common import scratch
 from tests.llm.fixtures import corpus, documents, space_words, words
 
@@ -340,7 +340,7 @@ def test_a_large_group_at_all_distances(spark, monkeypatch):
         expected = _components(rows, rule)
         d = documents(spark, rows)
         assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(d, rule).collect()) == expected
-    monkeypatch.setattr(jaccard, "CHUNK", 20)  # buckets dealt out as pairs of chunks
+    monkeypatch.setattr(linking, "HELD_SHINGLES", 2000)  # the search goes over several blocks and parts
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(d, rule).collect()) == expected
 
 
