@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,30 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_OPEN: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch_tables() -> Iterator[None]:
+    """Removes, at its end, the tables that ``written`` made inside it. What reads them has to be written before, outside of them: see ``settled``."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for df in _OPEN.pop():
+            forget(df)
+
+
+def settled(make, name: str) -> DataFrame:
+    """The table that ``make`` returns, written; the tables that were written on the way to it are removed."""
+    with scratch_tables():
+        out = written(make(), name)
+        _OPEN[-1].remove(out)
+    for around in _OPEN[-1:]:
+        around.append(out)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -36,6 +61,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
+    for inside in _OPEN[-1:]:
+        inside.append(out)
     return out
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airshed.llm import linking
-from airshed.llm.common import forget, table, texts, written
+from airshed.llm.common import forget, settled, table, texts, written
 from airshed.llm.hashing import WordHashes, mixed
 from airshed.llm.linking import Rule, shingle_set
 
@@ -196,6 +196,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     A null text or one without words has an empty set, is linked with nothing and a component of its own.
     Repeated rows are in one component. Letters A to Z count as a to z; an empty table gives no rows.
     """
+    return settled(lambda: _near_duplicates(docs, rule), "jaccard-components")
+
+
+def _near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
     d = texts(docs).select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("text_digest"), "text")
     schema = "doc_id long, text_digest binary, n long, digest binary, home array<long>, next array<long>"
     sketched = written(d.mapInArrow(_sketches(rule), schema), "jaccard-sketches")

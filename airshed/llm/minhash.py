@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed.llm import linking
-from airshed.llm.common import forget, table, texts, written
+from airshed.llm.common import settled, table, texts, written
 from airshed.llm.hashing import WordHashes, mixed
 from airshed.llm.linking import Rule, shingle_set
 
@@ -161,7 +161,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), bands: Bands | None =
     Repeated rows and texts with equal sets are in one component whatever their registers. Letters A to Z count as a to z; further columns
     are left behind; an empty table gives no rows. A link at the threshold is missed with a probability of at most 1e-8 (``least_bands``).
     """
-    bands = bands or least_bands(rule)
+    return settled(lambda: _near_duplicates(docs, rule, bands or least_bands(rule)), "minhash-components")
+
+
+def _near_duplicates(docs: DataFrame, rule: Rule, bands: Bands) -> DataFrame:
     d = texts(docs).select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("text_digest"), "text")
     sketched = written(d.mapInArrow(_sketches(rule, bands), "doc_id long, text_digest binary, n long, digest binary, registers binary"), "minhash-sketches")
     classes = written(sketched.filter("n > 0").groupBy("digest").agg(
@@ -185,8 +188,6 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), bands: Bands | None =
     sets = written(body.join(wanted, "text_digest").select("c", "text").mapInArrow(_sets(rule), "c long, n long, shingles array<long>"), "minhash-sets")
     verdicts = written(linking.verify(likely, sets, rule), "minhash-verdicts")
     member = linking.members(buckets, centred, verdicts.filter("linked").select("u", "v"), sets, rule)
-    for scratch in (buckets, centred, likely, sets):
-        forget(scratch)
     return linking.labelled(sketched.select("doc_id", "text_digest", "n", "digest"), classes, member)
 
 
