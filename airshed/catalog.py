@@ -27,8 +27,8 @@ from airshed.session import scratch_path
 from airshed.sources import adapter
 from airshed.sources.tables import read_table
 from airshed.schema import GOLD_KEYS
-from airshed.sources.layers_io import (BATCH_LOAD, LOAD, MONTH, read_by_month, refresh_table, write_by_month,
-                                       write_layer)
+from airshed.sources.layers_io import (BATCH_LOAD, LOAD, MONTH, read_by_month, refresh_table, remove_folder,
+                                       write_by_month, write_layer)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,6 +233,57 @@ def _incremental_load(spark, sf_dir):
     return read_by_month(spark, paths.gold)
 
 
+def _incremental_late_rows(spark, sf_dir):
+    """Three loads of a source that changes: months that arrive late, values corrected later, rows delivered twice and withdrawn; Gold as after one
+    full load of the last state."""
+    from airshed.layers import LayerPaths
+    from airshed.sources.fingerprints import sync_layers
+    root = scratch_path(spark, f"late-rows-{uuid.uuid4().hex[:12]}")
+    paths, ledger, rows = LayerPaths(root), os.path.join(root, "fingerprints"), bronze_table(spark, sf_dir)
+    late = F.col("date").between("1995-02-01", "1995-05-31") & (F.col("location") < "J")
+    wrong = F.col("date").between("1996-07-01", "1996-07-31")
+    twice = rows.filter(F.col("date").between("1997-03-01", "1997-03-31") & (F.col("value") > 30))
+    early = rows.withColumn("value", F.when(wrong, F.col("value") + 1000).otherwise(F.col("value"))).filter(F.coalesce(~late, F.lit(True)))
+    run_date = datetime.date(1998, 12, 31)
+    for state in (early.unionByName(twice), early, rows):
+        sync_layers(spark, paths, state, ledger, as_of="2099-12-31", run_date=run_date)
+    return read_by_month(spark, paths.gold)
+
+
+#: Repairs of the registered replay: the sign of negative values is dropped, coordinates beyond the poles or the date line go to these.
+def _repairs():
+    from airshed.sources.replay import Repair
+    return [Repair("value_negative", "value", F.abs("value")),
+            Repair("latitude_out_of_range", "latitude", F.greatest(F.lit(-90.0), F.least(F.lit(90.0), "latitude"))),
+            Repair("longitude_out_of_range", "longitude", F.greatest(F.lit(-180.0), F.least(F.lit(180.0), "longitude")))]
+
+
+def _replayed(spark, sf_dir):
+    """The layers of a full run whose quarantine has been replayed twice with the same repairs."""
+    from airshed.layers import LayerPaths, write_bronze, write_gold, write_silver
+    from airshed.sources.replay import replay_quarantine
+    root = scratch_path(spark, f"replayed-{uuid.uuid4().hex[:12]}")
+    paths, ledger = LayerPaths(root), os.path.join(root, "replays")
+    write_bronze(spark, bronze_table(spark, sf_dir), paths.bronze)
+    write_silver(spark, paths.bronze, paths.silver, paths.quarantine, datetime.date(1998, 12, 31))
+    write_gold(spark, paths.silver, paths.gold)
+    for _ in range(2):
+        replay_quarantine(spark, paths, _repairs(), ledger, "signs-and-bounds")
+    return paths
+
+
+def _replayed_quarantine(spark, sf_dir):
+    """Gold after the replay."""
+    return read_by_month(spark, _replayed(spark, sf_dir).gold)
+
+
+def _replay_leftovers(spark, sf_dir):
+    """What the replay leaves in quarantine, with its reasons."""
+    left = clean.REJECT_REASONS
+    q = spark.read.parquet(_replayed(spark, sf_dir).quarantine)
+    return q.drop("run_date", LOAD, "ingestion_timestamp", "source_file").withColumn(left, F.array_join(left, ","))
+
+
 def _csv_mixed_headers(spark, sf_dir):
     """The raw rows as CSV files of two header orders in one landing folder, read in one call."""
     from airshed.sources.csv_ingest import read_raw_csv
@@ -299,6 +350,40 @@ def _stream_gold(spark, sf_dir):
     return read_by_month(spark, gold_path)
 
 
+def _landed_in_parts(spark, sf_dir, landed, parts, of):
+    """Bronze as files of a landing folder: the ``parts`` of ``of`` equal shares by a hash of the row, one file each."""
+    from airshed.sources.csv_ingest import to_bronze
+    b = to_bronze(bronze_table(spark, sf_dir))
+    share = F.pmod(F.xxhash64("date", "location", "pollutant_type", "value", "latitude"), F.lit(of))
+    for part in parts:
+        b.filter(share == part).coalesce(1).write.mode("append").parquet(landed)
+
+
+def _stream_gold_delta(spark, sf_dir):
+    """Bronze folded into one Gold by two streams with checkpoints of their own, a file a micro-batch; the first stream goes on after the
+    second has run, and then loses its last commit, so that its last batch is given again."""
+    from airshed.streaming.gold_delta import start_bronze_to_gold_deltas
+    landed, state, checkpoints, gold_path = _stream_paths(spark, "stream-gold-delta")
+    for stream, parts in (("a", (0, 1)), ("b", (2, 3)), ("a", (4, 5))):
+        folder, checkpoint = f"{landed}/{stream}", f"{checkpoints}/{stream}"
+        _landed_in_parts(spark, sf_dir, folder, parts, 6)
+        run = lambda f=folder, c=checkpoint: _finished(start_bronze_to_gold_deltas(spark, f, state, gold_path, c, max_files_per_trigger=1))
+        run()
+    remove_folder(spark, f"{checkpoints}/a/commits/3")
+    run()
+    return read_by_month(spark, gold_path)
+
+
+def _stream_two_checkpoints(spark, sf_dir):
+    """Two streams with checkpoints of their own over one Silver (T2): neither takes the other's rows for its own."""
+    from airshed.streaming.gold_refresh import start_bronze_to_gold
+    landed, out, state, gold_path = _stream_paths(spark, "stream-two")
+    for part in (0, 1):
+        _landed_in_parts(spark, sf_dir, f"{landed}/{part}", (part,), 2)
+        _finished(start_bronze_to_gold(spark, f"{landed}/{part}", out, gold_path, f"{state}/{part}"))
+    return read_by_month(spark, out).drop("ingestion_timestamp", "source_file")
+
+
 def _stream_dedupe(spark, sf_dir):
     """Events delivered twice, streamed through the duplicate suppression (T4)."""
     from airshed.streaming import alerts
@@ -377,11 +462,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_problems": _schema_problems,
     "gold_refreshed": _gold_refreshed,
     "incremental_load": _incremental_load,
+    "incremental_late_rows": _incremental_late_rows,
+    "replayed_quarantine": _replayed_quarantine,
+    "replay_leftovers": _replay_leftovers,
     "csv_mixed_headers": _csv_mixed_headers,
     "silver_expired": _silver_expired,
     # streams, run to the end of their input and read back
     "stream_bronze_rows": _stream_bronze_rows,
     "stream_gold": _stream_gold,
+    "stream_gold_delta": _stream_gold_delta,
+    "stream_two_checkpoints": _stream_two_checkpoints,
     "stream_dedupe": _stream_dedupe,
     "stream_failure_windows": _stream_failure_windows,
     "dedupe_rows": _dedupe,

@@ -84,6 +84,11 @@ def _all_pass(rules: list[Rule]) -> Column:
     return cond
 
 
+def passes(rules: list[Rule]) -> Column:
+    """True where a row (``with_parsed_date``) fails no rule, false elsewhere."""
+    return ~_any_fails(rules)
+
+
 def _to_silver_columns(df: DataFrame, date_checked: bool = False) -> DataFrame:
     cols = [c for c in df.columns if c not in ("date", PARSED_DATE)]
     # Once the filter has kept only rows whose text passed the full date rule,

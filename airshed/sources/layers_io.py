@@ -114,6 +114,19 @@ def drop_partition(spark: SparkSession, path: str, name: str, value, *below) ->
         fs.delete(p, True)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none where it is missing."""
+    p, fs = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with what it holds, where it exists."""
+    p, fs = _path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def partition_folder(spark: SparkSession, name: str, value) -> str:
     """The folder name that Spark's writer gives a partition."""
     return f"{name}={spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))}"

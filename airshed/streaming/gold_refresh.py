@@ -17,15 +17,18 @@ from airshed.operators.clean import to_silver
 from airshed.schema import BRONZE_SCHEMA
 from airshed.sources.incremental import refresh_gold, touched_months
 from airshed.sources.layers_io import write_by_month
+from airshed.streaming.gold_delta import stream_id
 
 
 def process_batch(batch: DataFrame, batch_id: int, silver_dir: str, gold_dir: str) -> None:
+    """The batch's load bears the id of its stream, which the checkpoint keeps: batch numbers start at 0 in each
+    checkpoint, and streams that share a Silver keep each other's folders."""
     spark = batch.sparkSession
     batch = batch.persist()
     try:
         if batch.isEmpty():
             return
-        write_by_month(batch, silver_dir, ["date"], load_id=f"stream-{batch_id}", replace_months=True)
+        write_by_month(batch, silver_dir, ["date"], load_id=f"stream-{stream_id(batch)}-{batch_id}", replace_months=True)
         refresh_gold(spark, silver_dir, touched_months(batch), gold_dir)
     finally:
         batch.unpersist()
