@@ -284,6 +284,38 @@ def _replay_leftovers(spark, sf_dir):
     return q.drop("run_date", LOAD, "ingestion_timestamp", "source_file").withColumn(left, F.array_join(left, ","))
 
 
+def _expired_layers(spark, sf_dir):
+    """What 90 days of Bronze and 365 days of Silver leave, at noon of the report date. Rows arrived on their date (before July 1998: on the
+    first of its month, without a date: on the report date), at the hour that is the day of the month."""
+    from airshed.sources.retention import expire_bronze, expire_months_exactly, write_by_arrival
+    root, day = scratch_path(spark, f"expired-{uuid.uuid4().hex[:12]}"), clean.parse_date("date")
+    bronze, silver_path, as_of = os.path.join(root, "bronze"), os.path.join(root, "silver"), gold_report_date(spark, sf_dir)
+    arrived = F.coalesce(F.when(day < "1998-07-01", F.trunc(day, "month")).otherwise(day), F.lit(as_of))
+    hour = F.make_dt_interval(hours=F.coalesce(F.dayofmonth(day) % 24, F.lit(0)))
+    rows = bronze_table(spark, sf_dir).withColumn("ingestion_timestamp", arrived.cast("timestamp") + hour)
+    early = F.coalesce(F.col("latitude") < 0, F.lit(False))
+    write_by_arrival(rows.filter(early), bronze, "south")
+    write_by_arrival(rows.filter(~early), bronze, "north")
+    write_by_month(silver_table(spark, sf_dir), silver_path, ["date"], BATCH_LOAD)
+    expire_bronze(spark, bronze, 90, datetime.datetime.combine(as_of, datetime.time(12)))
+    expire_months_exactly(spark, silver_path, 365, as_of)
+    left = spark.read.parquet(bronze).select(F.lit("bronze").alias("layer"), F.to_date("ingestion_timestamp").alias("day"), "location", "pollutant_type", "value")
+    kept = read_by_month(spark, silver_path).select(F.lit("silver").alias("layer"), F.col("date").alias("day"), "location", "pollutant_type", "value")
+    return left.unionByName(kept)
+
+
+def _drifted_bronze(spark, sf_dir):
+    """Three loads of Bronze: the second gains a column and has another's numbers longer, the third lacks a column and has them with fractions."""
+    from airshed.sources.schema_ledger import read_loads, write_load
+    root, b = scratch_path(spark, f"drifted-{uuid.uuid4().hex[:12]}"), bronze_table(spark, sf_dir)
+    path, ledger = os.path.join(root, "bronze"), os.path.join(root, "schemas")
+    value, humidity = F.col("value"), (F.col("value") + 20).alias("humidity")
+    write_load(spark, b.filter("date < '1994'").select("*", value.cast("int").alias("reading")), path, ledger, "first")
+    write_load(spark, b.filter("date >= '1994' AND date < '1997'").select(humidity, "*", value.cast("long").alias("reading")), path, ledger, "second")
+    write_load(spark, b.filter("date >= '1997'").select("*", humidity, (value / 2).alias("reading")).drop("unit"), path, ledger, "third")
+    return read_loads(spark, path, ledger)
+
+
 def _csv_mixed_headers(spark, sf_dir):
     """The raw rows as CSV files of two header orders in one landing folder, read in one call."""
     from airshed.sources.csv_ingest import read_raw_csv
@@ -463,6 +495,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_refreshed": _gold_refreshed,
     "incremental_load": _incremental_load,
     "incremental_late_rows": _incremental_late_rows,
+    "expired_layers": _expired_layers,
+    "drifted_bronze": _drifted_bronze,
     "replayed_quarantine": _replayed_quarantine,
     "replay_leftovers": _replay_leftovers,
     "csv_mixed_headers": _csv_mixed_headers,

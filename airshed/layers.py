@@ -63,9 +63,9 @@ def write_bronze(spark: SparkSession, raw: DataFrame, path: str,
 
 
 def _bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze with all its columns. Declared columns have to be there with their
+    """Bronze with all columns of all its loads (a column that a load lacks is NULL in its rows; types that differ between loads raise). Declared columns have to be there with their
     types (``schema_diff``); undeclared ones go through to Silver."""
-    bronze = read_layer(spark, path).drop(LOAD)
+    bronze = read_layer(spark, path, merge=True).drop(LOAD)
     wrong = [r for r in schema_diff(spark, bronze.schema, BRONZE_SCHEMA).collect() if r["problem"] != "unexpected"]
     if wrong:
         raise ValueError(f"{path} differs from the declared schema: {[(r['column'], r['problem']) for r in wrong]}")
@@ -130,7 +130,8 @@ def run_incremental(spark: SparkSession, paths: LayerPaths, raw: DataFrame, mark
     write_partitions(to_bronze(rows, run_ts).withColumn(LOAD, F.lit(load_id)), paths.bronze, [LOAD])
     if not path_exists(spark, f"{paths.bronze}/{partition_folder(spark, LOAD, load_id)}"):
         return []
-    bronze = spark.read.parquet(paths.bronze).filter(F.col(LOAD) == load_id).drop(LOAD)
+    # the load's folder alone: a column that the source has gained is in its files, and not in those of earlier loads
+    bronze = spark.read.parquet(f"{paths.bronze}/{partition_folder(spark, LOAD, load_id)}")
     # without rows the write replaces nothing, and the folder may hold those of a failed run
     if bronze.filter(F.col("ingestion_timestamp") == F.lit(run_ts).cast("timestamp")).isEmpty():
         return []  # nothing after the mark, and no new row without a date

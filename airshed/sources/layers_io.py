@@ -21,14 +21,15 @@ def month_of(date: Column | str) -> Column:
     return F.year(date) * 100 + F.month(date)
 
 
-def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:
     """Parquet scan of a layer; a missing path raises FileNotFoundError and a
     layer without rows (or without columns) raises ValueError.
 
-    The emptiness test is ``isEmpty()`` - a one-row job, not a count.
+    The emptiness test is ``isEmpty()`` - a one-row job, not a count. With ``merge`` the columns are those of
+    all files (their footers are read in tasks), else those of one.
     """
     try:
-        df = spark.read.parquet(path)
+        df = spark.read.option("mergeSchema", merge).parquet(path)
         if not df.columns:
             raise ValueError(f"layer has no columns: {path}")
         if schema is not None:
@@ -127,6 +128,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    p, fs = _path(spark, path)
+    if not fs.rename(p, _path(spark, to)[0]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def partition_folder(spark: SparkSession, name: str, value) -> str:
     """The folder name that Spark's writer gives a partition."""
     return f"{name}={spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))}"
