@@ -369,6 +369,37 @@ def _stream_bronze_rows(spark, sf_dir):
     return b.withColumn("has_metadata", known).drop("ingestion_timestamp", "source_file")
 
 
+def _land(spark, sf_dir, landed, columns, south):
+    """The southern or the other rows as CSV files, each time the same ones under new names."""
+    b = bronze_table(spark, sf_dir)
+    part = F.coalesce(F.col("latitude") < 0, F.lit(False)) == south
+    rows = b.filter(part).repartition(3, "location").sortWithinPartitions(*b.columns).select(*columns)
+    rows.write.mode("append").option("header", True).csv(landed)
+
+
+def _stream_mixed_headers(spark, sf_dir):
+    """Files of two header orders streamed into one Bronze (T1), two files a micro-batch."""
+    from airshed.streaming.landing import start_landing_loads
+    landed, out, state, ledger = _stream_paths(spark, "stream-mixed")
+    columns = bronze_table(spark, sf_dir).columns
+    _land(spark, sf_dir, landed, columns, True)
+    _land(spark, sf_dir, landed, columns[::-1], False)
+    _finished(start_landing_loads(spark, landed, out, ledger, state, max_files_per_trigger=2))
+    return spark.read.parquet(out).select(*columns)
+
+
+def _stream_redelivered(spark, sf_dir):
+    """Every file delivered twice under unlike names (T4), over two runs of the stream: the second run has the other half of the first and all once more."""
+    from airshed.streaming.landing import start_landing_loads
+    landed, out, state, ledger = _stream_paths(spark, "stream-redelivered")
+    columns = bronze_table(spark, sf_dir).columns
+    for parts in ((True, True), (False, True, False)):
+        for south in parts:
+            _land(spark, sf_dir, landed, columns, south)
+        _finished(start_landing_loads(spark, landed, out, ledger, state, max_files_per_trigger=4))
+    return spark.read.parquet(out).select(*columns)
+
+
 def _stream_gold(spark, sf_dir):
     """Bronze streamed into Silver and Gold (T2), in two runs of the stream."""
     from airshed.sources.csv_ingest import to_bronze
@@ -504,6 +535,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # streams, run to the end of their input and read back
     "stream_bronze_rows": _stream_bronze_rows,
     "stream_gold": _stream_gold,
+    "stream_mixed_headers": _stream_mixed_headers,
+    "stream_redelivered": _stream_redelivered,
     "stream_gold_delta": _stream_gold_delta,
     "stream_two_checkpoints": _stream_two_checkpoints,
     "stream_dedupe": _stream_dedupe,

@@ -80,6 +80,14 @@ def read_raw_csv(spark: SparkSession, paths, strict: bool = True, multi_line: bo
         if _is_missing_path(e):
             raise FileNotFoundError(f"no CSV file at {paths}") from e
         raise
+    df = read_csv_groups(spark, groups, strict, multi_line)
+    if df is None:
+        raise ValueError(f"no rows and no header in {paths}")
+    return df
+
+
+def read_csv_groups(spark: SparkSession, groups: list[list[str]], strict: bool = True, multi_line: bool = False) -> DataFrame | None:
+    """Typed rows of groups of CSV files, the files of a group having one header; combined by name. None where no file has one."""
     frames = []
     for files in groups:
         text = (spark.read.option("header", True).option("mode", "FAILFAST").option("multiLine", multi_line)
@@ -87,7 +95,7 @@ def read_raw_csv(spark: SparkSession, paths, strict: bool = True, multi_line: bo
         if text.columns:
             frames.append(typed_raw(text, strict).withColumn("source_file", F.col("_metadata.file_name")))
     if not frames:
-        raise ValueError(f"no rows and no header in {paths}")
+        return None
     df = frames[0]
     for other in frames[1:]:
         df = df.unionByName(other, allowMissingColumns=True)

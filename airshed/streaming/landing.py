@@ -1,4 +1,9 @@
-"""T1: load CSV files as they land, exactly once per file (checkpointed)."""
+"""T1: load CSV files as they land, exactly once per file (checkpointed).
+
+``start_landing_to_bronze`` streams files of one header. ``start_landing_loads`` takes files of any headers: a micro-batch is a set
+of files, which are read by their own headers and become a load of the Bronze that the batch run writes too. The
+checkpoint knows files by name; a ledger of content digests, appended with each load, keeps out a file that comes again under another name.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from airshed.schema import RAW_COLUMNS
-from airshed.sources.csv_ingest import typed_raw
+from airshed.sources.csv_ingest import read_csv_groups, to_bronze, typed_raw
+from airshed.sources.layers_io import LOAD, path_exists, write_partitions
+from airshed.streaming.gold_delta import stream_id
 
 TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in RAW_COLUMNS])
 
@@ -43,3 +50,55 @@ def start_landing_to_bronze(spark: SparkSession, landing_dir: str, bronze_dir: s
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(bronze_dir)
+
+
+_FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                       T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+DELIVERIES = "digest string, file string, loaded boolean, stream string, batch long"
+
+
+def new_files(batch: DataFrame, ledger: str, stream: str, batch_id: int) -> DataFrame:
+    """path, digest, header and ``fresh`` of a micro-batch's files: of equal files the first by name is fresh, unless a load other than this batch's own
+    has brought one like it. Contents stay in the tasks; a file may hold 2 GB."""
+    spark = batch.sparkSession
+    head = F.regexp_replace(F.substring_index(F.col("content").cast("string"), "\n", 1), "^\ufeff|\r$", "")
+    files = batch.select("path", F.sha2("content", 256).alias("digest"), head.alias("header"))
+    files = files.join(files.groupBy("digest").agg(F.min("path").alias("first")), "digest")
+    if path_exists(spark, ledger):
+        known = spark.read.schema(DELIVERIES).parquet(ledger).filter(F.col("loaded") & ~((F.col("stream") == stream) & (F.col("batch") == batch_id)))
+        files = files.join(known.select("digest").distinct().withColumn("known", F.lit(True)), "digest", "left")
+    else:
+        files = files.withColumn("known", F.lit(None).cast("boolean"))
+    return files.select("path", "digest", "header", ((F.col("path") == F.col("first")) & F.col("known").isNull()).alias("fresh"))
+
+
+def load_files(batch: DataFrame, batch_id: int, stream: str, bronze_dir: str, ledger: str, strict: bool = True) -> int:
+    """One micro-batch of files as a load of Bronze; returns how many files it took. A batch given again replaces its load and its entries. Names,
+    digests and headers of the batch's files reach the driver, which lists files for their scan anyway. A file without a header is recorded and gives no rows."""
+    spark = batch.sparkSession
+    files = new_files(batch, ledger, stream, batch_id).collect()
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        if f["fresh"] and f["header"]:
+            groups.setdefault(f["header"], []).append(f["path"])
+    rows = read_csv_groups(spark, [sorted(g) for _, g in sorted(groups.items())], strict)
+    if rows is not None:
+        write_partitions(to_bronze(rows).withColumn(LOAD, F.lit(f"landing-{stream}-{batch_id}")), bronze_dir, [LOAD])
+    entries = [(f["digest"], f["path"], f["fresh"], stream, batch_id) for f in files]
+    write_partitions(spark.createDataFrame(entries, DELIVERIES).coalesce(1), ledger, ["stream", "batch"])
+    return sum(f["fresh"] for f in files)
+
+
+def start_landing_loads(spark: SparkSession, landing_dir: str, bronze_dir: str, ledger: str, checkpoint: str, pattern: str = "*.csv",
+                        max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Files of ``landing_dir``, whatever the order of their columns, as loads of Bronze; each content once. Streams that take the same content at the
+    same moment may both load it: the ledger is read when a batch starts."""
+    reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", pattern)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        load_files(batch, batch_id, stream_id(batch), bronze_dir, ledger)
+    w = reader.load(landing_dir).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
