@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.llm.common import scratch, slices, table, texts, utf8_bytes
+from airshed.llm.common import forget, scratch, slices, table, texts, utf8_bytes, written
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Texts with a longer run of white space go to the tokenizers library, whose matcher needs no stack for it.
@@ -91,7 +91,8 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str = BYTE_BPE) -> Data
 
     Normalised content is the text itself, null as the empty text: nothing else
     keeps the counts of every tokenizer. Null doc_ids and repeated rows are rows of
-    their own. Each digest's text is encoded once, whichever and however many rows hold it: texts are
+    their own. The digests that the cache lacks are found without the texts; only if there are any, texts are shuffled. Each
+    digest's text is encoded once, whichever and however many rows hold it: texts are
     reduced to one for each digest before and after the shuffle, so a text that a third of
     all rows share is no hot key. Two runs at a time may both encode
     and append a digest; the counts are equal and the join reads distinct rows.
@@ -99,9 +100,10 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str = BYTE_BPE) -> Data
     spark, version = docs.sparkSession, tokenizer_digest(tokenizer)
     text = F.coalesce("text", F.lit(""))
     d = texts(docs).select("doc_id", text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
-    distinct = d.groupBy("digest").agg(F.first("text").alias("text"))
+    missing = d.select("digest").distinct()
     if (known := read_cache(spark, cache)) is not None:
-        distinct = distinct.join(known.filter(F.col("tokenizer") == version), "digest", "left_anti")
+        missing = missing.join(known.filter(F.col("tokenizer") == version).select("digest"), "digest", "left_anti")
+    missing = written(missing, "token-missing")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = encoder(tokenizer)
@@ -110,12 +112,18 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str = BYTE_BPE) -> Data
             yield pa.RecordBatch.from_arrays([pa.array([version] * len(counts)), batch.column(0), pa.array(counts, pa.int64())],
                                              names=["tokenizer", "digest", "n_tokens"])
 
-    distinct.select("digest", "text").mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    if known is None or not missing.isEmpty():
+        wanted = d.groupBy("digest").agg(F.first("text").alias("text")).join(missing, "digest", "left_semi")
+        wanted.select("digest", "text").mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    forget(missing)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version).select("digest", "n_tokens").distinct()
     return d.select("doc_id", "digest", utf8_bytes(F.col("text")).alias("n_bytes")).join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
 
 
 def op7_digest_cache(spark, sf_dir: str, cache: str | None = None) -> DataFrame:
-    """Token counts of all documents, through a cache that starts empty."""
-    counts = count_tokens(table(spark, sf_dir, "documents"), cache or scratch(spark, "token-cache"))
+    """Token counts of all documents, read through the cache: the first pass stores what it lacks, the second
+    finds all digests in it and encodes nothing."""
+    docs, cache = table(spark, sf_dir, "documents"), cache or scratch(spark, "token-cache")
+    count_tokens(docs, cache)
+    counts = count_tokens(docs, cache)
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)

@@ -169,6 +169,23 @@ def test_token_counts_equal_the_library(spark, docs, nothing, name):
     assert tokens.count_tokens(nothing, cache, name).count() == 0
 
 
+def test_token_query_reads_its_cache(spark, docs, library, tmp_path, monkeypatch):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    cache, stored = scratch(spark, "cache"), []
+    whole = tokens.count_tokens
+
+    def counting(*args):
+        out = whole(*args)
+        stored.append(spark.read.parquet(cache).count())
+        return out
+    monkeypatch.setattr(tokens, "count_tokens", counting)
+    out = tokens.op7_digest_cache(spark, str(tmp_path), cache)
+    assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    n = [(i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in ROWS]
+    assert Counter(map(tuple, out.collect())) == Counter((*row, row[2] > 512) for row in n)
+    assert stored == [len({t or "" for _, t in ROWS})] * 2  # the second pass stores nothing
+
+
 def test_cache_is_kept_apart_by_tokenizer(spark, docs):
     cache = scratch(spark, "cache")
     a = tokens.count_tokens(docs, cache, "byte_bpe_50k.json").collect()
