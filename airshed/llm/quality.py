@@ -15,6 +15,12 @@ from airshed.llm.common import table, written
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
+#: Fixed value: scripts written without blanks between words (Thai, Lao, Myanmar, Khmer, kana, Han) with their full-width punctuation.
+UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3000}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{3FFFF}"
+SPACED_WORD = rf"[^\x20\x09-\x0D{UNSPACED}]+"
+LETTER = r"[\p{L}\p{M}]"
+ELLIPSIS_LINE = r"(\x{2026}|\.\.\.)[\x20\x09-\x0D]*$"
+BULLET_LINE = r"^[\x20\x09-\x0D]*[-*\x{2022}\x{2023}\x{25AA}\x{25CF}]"
 
 #: name -> (bit, failing condition over the measurements). A bit keeps its meaning for ever; changed rules get new bits.
 RULES = {
@@ -24,13 +30,22 @@ RULES = {
     "duplicate_lines": (3, "100 * n_dup_lines > 30 * n_lines"),
     "short_words": (4, "word_chars < 2 * n_words"),
     "long_words": (5, "word_chars > 25 * n_words"),
+    "long_spaced_words": (6, "spaced_chars > 25 * n_spaced_words"),
+    "few_letters": (7, "100 * n_letters < 40 * word_chars"),
+    "ellipsis_lines": (8, "100 * n_ellipsis_lines > 30 * n_lines"),
+    "bullet_lines": (9, "100 * n_bullet_lines > 90 * n_lines"),
+    "frequent_pair": (10, "200 * n_top_pair > 20 * n_words and n_top_pair > 4"),
 }
 #: Versioned sets of rules; a document is kept if it fails none of them.
 POLICIES = {
     "base-1": ("few_words", "repeated_words"),
     "corpus-1": ("few_words", "repeated_words", "symbols", "duplicate_lines", "short_words", "long_words"),
+    # long words are told by what lies between blanks and characters of scripts that have none
+    "corpus-2": ("few_words", "repeated_words", "symbols", "duplicate_lines", "short_words", "long_spaced_words", "few_letters",
+                 "ellipsis_lines", "bullet_lines", "frequent_pair"),
 }
-MEASUREMENTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+MEASUREMENTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
+                "spaced_chars", "n_spaced_words", "n_letters", "n_ellipsis_lines", "n_bullet_lines", "n_top_pair")
 
 
 def policy_mask(policy: str) -> int:
@@ -60,12 +75,27 @@ def _repeated(docs: DataFrame) -> DataFrame:
             .withColumn("n_repeat_words", F.coalesce(covered["n"], F.lit(0).cast("long"))).drop("twice"))
 
 
+def _top_pair(docs: DataFrame) -> DataFrame:
+    """Add n_top_pair: how often the most frequent pair of neighbouring words occurs. Hashes of the pairs are sorted; the longest run of equals counts."""
+    pairs = F.when(F.col("n_words") > 1, F.array_sort(F.zip_with(
+        F.slice("words", 1, F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int")),
+        F.slice("words", 2, F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int")), lambda a, b: F.xxhash64(a, b))))
+    def step(acc: Column, h: Column) -> Column:
+        run = F.when(acc["h"] == h, acc["run"] + 1).otherwise(F.lit(1).cast("long"))
+        return F.struct(h.alias("h"), run.alias("run"), F.greatest(acc["top"], run).alias("top"))
+    zero = F.lit(0).cast("long")
+    start = F.struct(F.lit(None).cast("long").alias("h"), zero.alias("run"), zero.alias("top"))
+    return (docs.withColumn("pairs", pairs)
+            .withColumn("n_top_pair", F.coalesce(F.aggregate("pairs", start, step)["top"], zero)).drop("pairs"))
+
+
 def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
     """doc_id and the measurements of every row of ``docs`` (doc_id, text), in one pass without a shuffle.
     With ``carry``, the row itself too, as the struct ``row``, whatever its columns are called.
 
     A null text has no words; a null doc_id and repeated rows are measured like any other.
     Counts are in code points; a line counts if it holds a word, and is a duplicate if an equal line precedes it.
+    Spaced words are what lies between blanks and characters of scripts written without blanks; marks count as letters.
     """
     row = [F.struct("*").alias("row")] if carry else []
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), *row)
@@ -77,9 +107,14 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.char_length(F.array_join(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)), "")).cast("long").alias("spaced_chars"),
+        F.regexp_count("text", F.lit(SPACED_WORD)).cast("long").alias("n_spaced_words"),
+        F.regexp_count("text", F.lit(LETTER)).cast("long").alias("n_letters"),
+        F.size(F.filter("lines", lambda x: x.rlike(ELLIPSIS_LINE))).cast("long").alias("n_ellipsis_lines"),
+        F.size(F.filter("lines", lambda x: x.rlike(BULLET_LINE))).cast("long").alias("n_bullet_lines"))
     # a generator of one row: filters on the measurements stay above it and do not copy the lambdas into each other
-    return _repeated(d).select("doc_id", *row, F.inline(F.array(F.struct(*MEASUREMENTS))))
+    return _top_pair(_repeated(d)).select("doc_id", *row, F.inline(F.array(F.struct(*MEASUREMENTS))))
 
 
 def ledger(docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -94,7 +129,10 @@ def apply_policy(entries: DataFrame, policy: str) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, policy: str) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text and any further columns) that the policy keeps, as they are."""
+    """The rows of ``docs`` (doc_id, text and any further columns, of any names) that the policy keeps, as they are.
+
+    Null and empty texts have no words and fail few_words; repeated rows stay or go together; an empty table stays empty.
+    """
     return apply_policy(ledger(docs, carry=True), policy).filter("kept").select("row.*")
 
 
@@ -114,16 +152,18 @@ def ablation(entries: DataFrame, policy: str) -> DataFrame:
 
 def op9_rule_ledger(spark, sf_dir: str) -> DataFrame:
     """The ledger of all documents, written and read back, under the corpus policy."""
-    entries = apply_policy(written(ledger(table(spark, sf_dir, "documents")), "quality-ledger"), "corpus-1")
+    entries = apply_policy(written(ledger(table(spark, sf_dir, "documents")), "quality-ledger"), "corpus-2")
     base = F.col("fail_bits").bitwiseAND(F.lit(policy_mask("base-1")).cast("long")) != 0
     return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                          base.alias("base_failed"), "kept", "n_lines", "fail_bits")
+                          base.alias("base_failed"), "kept", *MEASUREMENTS[5:], "fail_bits")
 
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
-line_counts AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+line_counts AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
+    count(*) FILTER (regexp_matches(line, '(\x{2026}|\.\.\.)[\x20\x09-\x0D]*$')) AS n_ellipsis_lines,
+    count(*) FILTER (regexp_matches(line, '^[\x20\x09-\x0D]*[-*\x{2022}\x{2023}\x{25AA}\x{25CF}]')) AS n_bullet_lines FROM lines
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 word_rows AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
 starts AS (SELECT doc_id, i, word || ' ' || lead(word) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w
@@ -131,13 +171,23 @@ starts AS (SELECT doc_id, i, word || ' ' || lead(word) OVER w || ' ' || lead(wor
 windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM starts WHERE five IS NOT NULL),
 covered AS (SELECT doc_id, count(DISTINCT w) AS n_repeat_words FROM
   (SELECT doc_id, unnest(range(i, i + 5)) AS w FROM windows WHERE n > 1) GROUP BY doc_id),
+pair_counts AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, word, lead(word) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM word_rows)
+  WHERE after IS NOT NULL GROUP BY doc_id, word, after),
+top_pairs AS (SELECT doc_id, max(n) AS n_top_pair FROM pair_counts GROUP BY doc_id),
+spaced AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D@UNSPACED@]+') AS spaced FROM d),
 m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
-    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
-  FROM d LEFT JOIN line_counts USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+    length(array_to_string(spaced, '')) AS spaced_chars, len(spaced) AS n_spaced_words, len(regexp_extract_all(text, '[\p{L}\p{M}]')) AS n_letters,
+    coalesce(n_ellipsis_lines, 0) AS n_ellipsis_lines, coalesce(n_bullet_lines, 0) AS n_bullet_lines, coalesce(n_top_pair, 0) AS n_top_pair
+  FROM d JOIN spaced USING (doc_id) LEFT JOIN line_counts USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN top_pairs USING (doc_id)),
 b AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END)
     + (CASE WHEN 100 * n_symbols > 40 * n_words THEN 4 ELSE 0 END) + (CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END)
-    + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END) + (CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END) AS fail_bits FROM m)
+    + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END) + (CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END)
+    + (CASE WHEN spaced_chars > 25 * n_spaced_words THEN 64 ELSE 0 END) + (CASE WHEN 100 * n_letters < 40 * word_chars THEN 128 ELSE 0 END)
+    + (CASE WHEN 100 * n_ellipsis_lines > 30 * n_lines THEN 256 ELSE 0 END) + (CASE WHEN 100 * n_bullet_lines > 90 * n_lines THEN 512 ELSE 0 END)
+    + (CASE WHEN 200 * n_top_pair > 20 * n_words AND n_top_pair > 4 THEN 1024 ELSE 0 END) AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits % 4 > 0 AS base_failed,
-  fail_bits = 0 AS kept, n_lines, CAST(fail_bits AS BIGINT) AS fail_bits FROM b
-"""
+  fail_bits & ~32 = 0 AS kept, n_lines, spaced_chars, n_spaced_words, n_letters, n_ellipsis_lines, n_bullet_lines, n_top_pair,
+  CAST(fail_bits AS BIGINT) AS fail_bits FROM b
+""".replace("@UNSPACED@", UNSPACED)

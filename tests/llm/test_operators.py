@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -363,14 +364,25 @@ def test_a_large_group_at_all_distances(spark, monkeypatch):
 
 # 9 quality rules
 
+def _unspaced(c):
+    return any(a <= ord(c) <= b for a, b in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3000, 0x30FF), (0x3400, 0x4DBF),
+                                             (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF), (0x20000, 0x3FFFF)))
+
+
 def _quality(text):
     w = space_words(text)
     five = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
     n = Counter(five)
     again = {p for i, x in enumerate(five) if n[x] > 1 for p in range(i, i + 5)}
     lines = [x for x in (text or "").split("\n") if space_words(x)]
+    spaced = space_words("".join(" " if _unspaced(c) else c for c in text or ""))
     return {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum((text or "").count(c) for c in "#*$%&|<>"),
-            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(again), "n_lines": len(lines)}
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(again), "n_lines": len(lines),
+            "spaced_chars": sum(map(len, spaced)), "n_spaced_words": len(spaced),
+            "n_letters": sum(unicodedata.category(c)[0] in "LM" for c in text or ""),
+            "n_ellipsis_lines": sum(x.rstrip(" \t\n\v\f\r").endswith(("...", "\u2026")) for x in lines),
+            "n_bullet_lines": sum(x.lstrip(" \t\n\v\f\r")[0] in "-*\u2022\u2023\u25aa\u25cf" for x in lines),
+            "n_top_pair": max(Counter(zip(w, w[1:], strict=False)).values(), default=0)}
 
 
 def test_ledger_equals_brute_force(docs, nothing):
@@ -385,14 +397,41 @@ def test_ledger_equals_brute_force(docs, nothing):
     assert kept.columns == docs.columns
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
         r for r, e in zip(ROWS, expected, strict=True) if not e[-1] & quality.policy_mask("base-1"))
-    mask = quality.policy_mask("corpus-1")
-    for r in quality.ablation(entries, "corpus-1").collect():
-        bit = 1 << quality.RULES[r["rule"]][0]
-        assert (r["fails"], r["fails_alone"], r["rejected"]) == (
-            sum(e[-1] & bit > 0 for e in expected), sum(e[-1] & mask == bit for e in expected), sum(e[-1] & mask > 0 for e in expected))
+    for policy in ("corpus-1", "corpus-2"):
+        mask = quality.policy_mask(policy)
+        for r in quality.ablation(entries, policy).collect():
+            bit = 1 << quality.RULES[r["rule"]][0]
+            assert (r["fails"], r["fails_alone"], r["rejected"]) == (
+                sum(e[-1] & bit > 0 for e in expected), sum(e[-1] & mask == bit for e in expected), sum(e[-1] & mask > 0 for e in expected))
     assert quality.ledger(nothing).count() == 0
 
 
+QUALITY = [
+    (1, " ".join(["\u8fd9\u662f\u4e00\u4e2a\u5173\u4e8e\u5929\u6c14\u548c\u7a7a\u6c14\u8d28\u91cf\u7684\u8bf4\u660e\uff0c\u6211\u4eec\u6bcf\u5929\u90fd\u4f1a\u66f4\u65b0\u6570\u636e" + chr(0x4E00 + i) for i in range(12)])),
+    (2, " ".join(["\u3053\u308c\u306f\u6bce\u65e5\u306e\u5929\u6c17\u3068\u7a7a\u6c17\u306e\u8cea\u306b\u3064\u3044\u3066\u306e\u9577\u3044\u8aac\u660e\u306e\u6587\u7ae0\u3067\u3059\u3002" + chr(0x3041 + i) for i in range(12)])),
+    (3, " ".join(["\u0e19\u0e35\u0e48\u0e04\u0e37\u0e2d\u0e02\u0e49\u0e2d\u0e04\u0e27\u0e32\u0e21\u0e40\u0e01\u0e35\u0e48\u0e22\u0e27\u0e01\u0e31\u0e1a\u0e2a\u0e20\u0e32\u0e1e\u0e2d\u0e32\u0e01\u0e32\u0e28" + chr(0xE01 + i) for i in range(12)])),
+    (4, " ".join(f"{'x' * 40}{i}" for i in range(12))),
+    (5, " ".join(f"{i}.{i}7" for i in range(30))),
+    (6, "\n".join(" ".join(x + chr(97 + i) for x in ("line", "goes", "upon", "after")) + "..." for i in range(6)) + "\nlast line here \u2026  \nand one whole line"),
+    (7, "\n".join("  \u2022 " + " ".join(x + chr(97 + i) for x in ("point", "of", "the", "list")) for i in range(12))),
+    (8, " ".join(f"buy now {chr(97 + i)}{chr(98 + i)} of{i}" for i in range(14))),
+    (9, "An ordinary text of more than ten words, with nothing odd about it at all."),
+]
+
+
+def test_rules_of_the_second_corpus_policy(spark):
+    """Clean texts in scripts without blanks stay; each new rule rejects its own case alone; corpus-1 keeps its meaning."""
+    entries = quality.ledger(documents(spark, QUALITY))
+    rows = {r["doc_id"]: r for r in entries.collect()}
+    for i, t in QUALITY:
+        assert {x: rows[i][x] for x in quality.MEASUREMENTS} == _quality(t), i
+    failed = {i: {n for n in quality.POLICIES["corpus-2"] if rows[i]["fail_bits"] >> quality.RULES[n][0] & 1} for i in rows}
+    assert failed == {1: set(), 2: set(), 3: set(), 4: {"long_spaced_words"}, 5: {"few_letters"}, 6: {"ellipsis_lines"}, 7: {"bullet_lines"},
+                      8: {"frequent_pair"}, 9: set()}
+    assert {r["doc_id"] for r in quality.apply_policy(entries, "corpus-1").filter("kept").collect()} == {5, 6, 7, 8, 9}
+    assert quality.kept_documents(documents(spark, QUALITY), "corpus-2").count() == 4
+
+
 # 10 secrets
 
 SECRETS = [(1, 'password = "hunter22" and token: abc and SECRET:abcdef'), (2, "AKIA" + "A1B2C3D4E5F6G7H8" + " AKIA123"), (3, "0123456789abcdef0123456789 short abc123"),
