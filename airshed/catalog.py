@@ -210,6 +210,14 @@ def _monthly_summary_table(spark, sf_dir):
     return refresh_table(spark, levels.monthly_levels(gold_table(spark, sf_dir)), path)
 
 
+def _ordered_reports(spark, sf_dir):
+    """The order of every report that has one: report, position and key of each row."""
+    from functools import reduce
+    from airshed.plans.order import REPORT_ORDER, report_positions
+    root = scratch_path(spark, f"ordered-{uuid.uuid4().hex[:12]}")
+    return reduce(DataFrame.unionByName, [report_positions(QUERIES[n](spark, sf_dir), n, os.path.join(root, n)) for n in REPORT_ORDER])
+
+
 def _gold_refreshed(spark, sf_dir):
     """Gold written from about half of Silver's rows of each month, then all months refreshed in place from the whole."""
     from airshed.sources.incremental import refresh_gold, touched_months
@@ -548,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_status": _plain(levels.latest_status),
     "recent_levels": _report(levels.recent_levels),
     "monthly_summary_table": _monthly_summary_table,
+    "ordered_reports": _ordered_reports,
     # run-history monitoring
     "run_failure_rate": _runs(runmon.run_failure_rate),
     "run_failure_rate_any": _runs(runmon.run_failure_rate, alert_percent=0.0),
