@@ -18,7 +18,7 @@ WINDOW = 5
 #: Fixed value: scripts written without blanks between words (Thai, Lao, Myanmar, Khmer, kana, Han) with their full-width punctuation.
 UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3000}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{3FFFF}"
 SPACED_WORD = rf"[^\x20\x09-\x0D{UNSPACED}]+"
-LETTER = r"[\p{L}\p{M}]"
+NO_LETTERS = r"[^\p{L}\p{M}]+"
 ELLIPSIS_LINE = r"(\x{2026}|\.\.\.)[\x20\x09-\x0D]*$"
 BULLET_LINE = r"^[\x20\x09-\x0D]*[-*\x{2022}\x{2023}\x{25AA}\x{25CF}]"
 
@@ -77,7 +77,7 @@ def _repeated(docs: DataFrame) -> DataFrame:
 
 def _top_pair(docs: DataFrame) -> DataFrame:
     """Add n_top_pair: how often the most frequent pair of neighbouring words occurs. Hashes of the pairs are sorted; the longest run of equals counts."""
-    pairs = F.when(F.col("n_words") > 1, F.array_sort(F.zip_with(
+    pairs = F.when(F.col("n_words") > 1, F.sort_array(F.zip_with(
         F.slice("words", 1, F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int")),
         F.slice("words", 2, F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int")), lambda a, b: F.xxhash64(a, b))))
     def step(acc: Column, h: Column) -> Column:
@@ -102,15 +102,17 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
     row = ["row"] if carry else []
     d = d.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     d = d.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    # without such a character the spaced words are the words
+    d = d.withColumn("spaced", F.when(F.col("text").rlike(f"[{UNSPACED}]"), F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))).otherwise(F.col("words")))
     d = d.select(
         "doc_id", *row, "words", F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.char_length(F.array_join(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)), "")).cast("long").alias("spaced_chars"),
-        F.regexp_count("text", F.lit(SPACED_WORD)).cast("long").alias("n_spaced_words"),
-        F.regexp_count("text", F.lit(LETTER)).cast("long").alias("n_letters"),
+        F.char_length(F.array_join("spaced", "")).cast("long").alias("spaced_chars"),
+        F.size("spaced").cast("long").alias("n_spaced_words"),
+        F.char_length(F.regexp_replace("text", F.lit(NO_LETTERS), F.lit(""))).cast("long").alias("n_letters"),
         F.size(F.filter("lines", lambda x: x.rlike(ELLIPSIS_LINE))).cast("long").alias("n_ellipsis_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(BULLET_LINE))).cast("long").alias("n_bullet_lines"))
     # a generator of one row: filters on the measurements stay above it and do not copy the lambdas into each other
