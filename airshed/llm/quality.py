@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from airshed.llm.common import table, written
 
-WORD = r"[^\x20\x09-\x0D]+"
+BLANK, BLANKS = r"[\x20\x09-\x0D]", " \t\n\x0b\f\r"
 SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
 #: Fixed value: scripts written without blanks between words (Thai, Lao, Myanmar, Khmer, kana, Han) with their full-width punctuation.
 UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3000}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF00}-\x{FFEF}\x{20000}-\x{3FFFF}"
 SPACED_WORD = rf"[^\x20\x09-\x0D{UNSPACED}]+"
-NO_LETTERS = r"[^\p{L}\p{M}]+"
-ELLIPSIS_LINE = r"(\x{2026}|\.\.\.)[\x20\x09-\x0D]*$"
+LETTERS = r"[\p{L}\p{M}]+"
 BULLET_LINE = r"^[\x20\x09-\x0D]*[-*\x{2022}\x{2023}\x{25AA}\x{25CF}]"
 
 #: name -> (bit, failing condition over the measurements). A bit keeps its meaning for ever; changed rules get new bits.
@@ -52,41 +51,53 @@ def policy_mask(policy: str) -> int:
     return sum(1 << RULES[r][0] for r in POLICIES[policy])
 
 
+def _hashed(docs: DataFrame) -> DataFrame:
+    """Add hash1, hash2 and hash4: 64-bit hashes of the words and of the runs of two and of four neighbouring words, by where they start.
+    Each step is a column of its own, since a lambda evaluates what it refers to anew for each element."""
+    def joined(left: str, right: str, ahead: int, words: int) -> Column:
+        """Of the hashes in ``left`` and those that start ``ahead`` words later in ``right``, where runs of ``words`` begin."""
+        n = F.greatest(F.col("n_words") - (words - 1), F.lit(0)).cast("int")
+        return F.zip_with(F.slice(left, 1, n), F.slice(right, 1 + ahead, n), lambda a, b: F.xxhash64(a, b))
+    return (docs.withColumn("hash1", F.transform("words", lambda w: F.xxhash64(w)))
+            .withColumn("hash2", joined("hash1", "hash1", 1, 2)).withColumn("hash4", joined("hash2", "hash2", 2, 4))
+            # a window is known by four words and the fifth; only a text in which four words recur has such a window twice
+            .withColumn("windows", F.when(F.size(F.array_distinct("hash4")) < F.size("hash4"), joined("hash4", "hash1", WINDOW - 1, WINDOW))))
+
+
 def _repeated(docs: DataFrame) -> DataFrame:
     """Add n_repeat_words: words in windows of five that occur twice or more in the text.
 
-    A window is held as the 64-bit hash of its words. Documents whose hashes are all distinct
-    (most) end there; for the others, (hash, position) pairs are sorted, equal
-    neighbours give the repeated positions, and a running maximum counts the words they cover once.
-    Each step is a column of its own, since a lambda evaluates what it refers to anew for each element.
+    In texts with such windows (few), numbers of the upper half of a window's hash and its position
+    are sorted; neighbours that agree in the upper half are compared by whole hashes. The positions of
+    equal ones, sorted, count the words they cover once.
     """
-    n = F.col("n_words")
-    hashes = F.when(n > WINDOW, F.transform(F.sequence(F.lit(1), (n - (WINDOW - 1)).cast("int")),
-                                            lambda i: F.xxhash64(F.slice(F.col("words"), i, WINDOW))))
-    pairs = F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"),
-                   F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    def same(p: Column, at: Column) -> Column:
-        return F.coalesce(F.get(F.col("pairs"), at)["h"] == p["h"], F.lit(False))
-    twice = F.filter("pairs", lambda p, j: same(p, j - 1) | same(p, j + 1))
+    low = F.lit((1 << 32) - 1)
+    packed = F.when(F.size(F.array_distinct("windows")) < F.size("windows"),
+                    F.sort_array(F.transform("windows", lambda h, i: F.shiftleft(F.shiftright(h, 32), 32).bitwiseOR(i.cast("long")))))
+    def same(values: str, value: Column, at: Column, by) -> Column:
+        return F.coalesce(by(F.get(F.col(values), at)) == by(value), F.lit(False))
+    def neighbours(values: str, by) -> Column:
+        return F.filter(values, lambda p, j: same(values, p, j - 1, by) | same(values, p, j + 1, by))
+    def placed(p: Column) -> Column:
+        i = p.bitwiseAND(low).cast("int")
+        return F.struct(F.get(F.col("windows"), i).alias("h"), i.alias("i"))
     covered = F.aggregate(F.sort_array(F.transform("twice", lambda p: p["i"])),
                           F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n")),
                           lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n")))
-    return (docs.withColumn("hashes", hashes).withColumn("pairs", pairs).withColumn("twice", twice).drop("pairs", "hashes")
-            .withColumn("n_repeat_words", F.coalesce(covered["n"], F.lit(0).cast("long"))).drop("twice"))
+    return (docs.withColumn("packed", packed).withColumn("alike", neighbours("packed", lambda p: F.shiftright(p, 32)))
+            .withColumn("pairs", F.sort_array(F.transform("alike", placed))).withColumn("twice", neighbours("pairs", lambda p: p["h"]))
+            .withColumn("n_repeat_words", F.coalesce(covered["n"], F.lit(0).cast("long"))).drop("packed", "alike", "pairs", "twice", "windows"))
 
 
 def _top_pair(docs: DataFrame) -> DataFrame:
-    """Add n_top_pair: how often the most frequent pair of neighbouring words occurs. Hashes of the pairs are sorted; the longest run of equals counts."""
-    pairs = F.when(F.col("n_words") > 1, F.sort_array(F.zip_with(
-        F.slice("words", 1, F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int")),
-        F.slice("words", 2, F.greatest(F.col("n_words") - 1, F.lit(0)).cast("int")), lambda a, b: F.xxhash64(a, b))))
+    """Add n_top_pair: how often the most frequent pair of neighbouring words occurs. Hashes of the pairs are sorted; of a run of equals all
+    but the first remain, and the longest run of these counts."""
     def step(acc: Column, h: Column) -> Column:
-        run = F.when(acc["h"] == h, acc["run"] + 1).otherwise(F.lit(1).cast("long"))
+        run = F.when(acc["h"] == h, acc["run"] + 1).otherwise(F.lit(2).cast("long"))
         return F.struct(h.alias("h"), run.alias("run"), F.greatest(acc["top"], run).alias("top"))
-    zero = F.lit(0).cast("long")
-    start = F.struct(F.lit(None).cast("long").alias("h"), zero.alias("run"), zero.alias("top"))
-    return (docs.withColumn("pairs", pairs)
-            .withColumn("n_top_pair", F.coalesce(F.aggregate("pairs", start, step)["top"], zero)).drop("pairs"))
+    start = F.struct(F.lit(None).cast("long").alias("h"), F.lit(0).cast("long").alias("run"), F.least(F.size("hash2"), F.lit(1)).cast("long").alias("top"))
+    return (docs.withColumn("pairs", F.sort_array("hash2")).withColumn("again", F.filter("pairs", lambda h, j: h == F.get(F.col("pairs"), j - 1)))
+            .withColumn("n_top_pair", F.aggregate("again", start, step)["top"]).drop("pairs", "again"))
 
 
 def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -100,23 +111,30 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
     row = [F.struct("*").alias("row")] if carry else []
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), *row)
     row = ["row"] if carry else []
-    d = d.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    d = d.withColumn("words", F.array_remove(F.split("text", BLANK), ""))
     d = d.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    # without such a character the spaced words are the words
-    d = d.withColumn("spaced", F.when(F.col("text").rlike(f"[{UNSPACED}]"), F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))).otherwise(F.col("words")))
+    # without such a character the spaced words are the words; all of them have three bytes or more in UTF-8, of which one range of code points tells
+    unspaced = (F.octet_length("text") > F.char_length("text")) & F.col("text").rlike(r"[\x{0800}-\x{10FFFF}]") & F.col("text").rlike(f"[{UNSPACED}]")
+    d = d.withColumn("spaced", F.when(unspaced, F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))))
+    d = d.withColumn("joined", F.array_join("words", ""))
+    # no symbol is a letter, a mark or a blank
+    d = d.withColumn("others", F.regexp_replace("joined", F.lit(LETTERS), F.lit("")))
+    def ellipsis(line: Column) -> Column:
+        end = F.rtrim(line, F.lit(BLANKS))
+        return end.endswith("...") | end.endswith("\u2026")
     d = d.select(
         "doc_id", *row, "words", F.size("words").cast("long").alias("n_words"),
-        F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
+        F.char_length("joined").cast("long").alias("word_chars"),
+        F.regexp_count("others", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.char_length(F.array_join("spaced", "")).cast("long").alias("spaced_chars"),
-        F.size("spaced").cast("long").alias("n_spaced_words"),
-        F.char_length(F.regexp_replace("text", F.lit(NO_LETTERS), F.lit(""))).cast("long").alias("n_letters"),
-        F.size(F.filter("lines", lambda x: x.rlike(ELLIPSIS_LINE))).cast("long").alias("n_ellipsis_lines"),
+        F.coalesce(F.char_length(F.array_join("spaced", "")), F.char_length("joined")).cast("long").alias("spaced_chars"),
+        F.coalesce(F.array_size("spaced"), F.size("words")).cast("long").alias("n_spaced_words"),
+        (F.char_length("joined") - F.char_length("others")).cast("long").alias("n_letters"),
+        F.size(F.filter("lines", ellipsis)).cast("long").alias("n_ellipsis_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(BULLET_LINE))).cast("long").alias("n_bullet_lines"))
     # a generator of one row: filters on the measurements stay above it and do not copy the lambdas into each other
-    return _top_pair(_repeated(d)).select("doc_id", *row, F.inline(F.array(F.struct(*MEASUREMENTS))))
+    return _top_pair(_repeated(_hashed(d))).select("doc_id", *row, F.inline(F.array(F.struct(*MEASUREMENTS))))
 
 
 def ledger(docs: DataFrame, carry: bool = False) -> DataFrame:
