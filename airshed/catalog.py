@@ -381,7 +381,7 @@ def _land(spark, sf_dir, landed, columns, south):
     """The southern or the other rows as CSV files, each time the same ones under new names."""
     b = bronze_table(spark, sf_dir)
     part = F.coalesce(F.col("latitude") < 0, F.lit(False)) == south
-    rows = b.filter(part).repartition(3, "location").sortWithinPartitions(*b.columns).select(*columns)
+    rows = b.filter(part).repartition(8, "location", "date", "pollutant_type", "value").sortWithinPartitions(*b.columns).select(*columns)
     rows.write.mode("append").option("header", True).csv(landed)
 
 

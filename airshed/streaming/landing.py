@@ -7,6 +7,12 @@ checkpoint knows files by name; a ledger of content digests, appended with each
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,14 +61,87 @@ def start_landing_to_bronze(spark: SparkSession, landing_dir: str, bronze_dir: s
 _FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
                        T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 DELIVERIES = "digest string, file string, loaded boolean, stream string, batch long"
+DIGESTS = "path string, digest string, header string"
+#: Lines whose digests are hashed together; a digest has so many bytes.
+LEAF, SHA = 1 << 14, 32
+_PIECES = pa.schema([("block", pa.int64()), ("leaf", pa.int64()), ("at", pa.int64()), ("whole", pa.bool_()), ("digests", pa.binary()), ("header", pa.binary())])
+
+
+def _pieces(before: dict[int, int]):
+    """Of lines (block, digest, value where the line is its file's first) in the order of their blocks, a row per block and leaf: the hash of a whole
+    leaf, or the digests of those of its lines that the block has. ``before``: the lines of its file that come before a block."""
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, no, held, header = None, 0, bytearray(), None
+
+        def piece() -> pa.RecordBatch:
+            at, whole = no - len(held) // SHA, len(held) == LEAF * SHA
+            row = {"block": now, "leaf": at // LEAF, "at": at, "whole": whole, "digests": hashlib.sha256(held).digest() if whole else bytes(held), "header": header}
+            return pa.RecordBatch.from_pylist([row], schema=_PIECES)
+        for batch in batches:
+            blocks, digests, first = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
+            turns = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            for a, b in zip(turns[:-1], turns[1:], strict=True):
+                if a < b and blocks[a] != now:
+                    if held:
+                        yield piece()
+                    now, held, header = int(blocks[a]), bytearray(), first[a].as_py()
+                    no = before[now]
+                    if (no == 0) == (header is None):
+                        raise ValueError("the blocks of the files are not those that were counted")
+                while a < b:
+                    n = min(b - a, LEAF - no % LEAF)
+                    held += b"".join(digests.slice(a, n).to_pylist())
+                    a, no = a + n, no + n
+                    if no % LEAF == 0:
+                        yield piece()
+                        held, header = bytearray(), None
+        if held:
+            yield piece()
+    return pieces
+
+
+def file_digests(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
+    """path, digest and header (None: an empty file) of files (path, length). The digest is a SHA-256 tree of the length and the lines in their order: lines,
+    leaves of ``LEAF`` lines, file. Files are read as lines, in blocks by any number of tasks; a task holds a leaf's digests and a line of them, however
+    large a file is. Where blocks begin does not change the digest. A row per block (its number of lines) and per file reach the driver."""
+    found = []
+    if files:
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        block = F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+        lines = spark.read.option("lineSep", "\n").text([p for p, _ in files]).select(
+            path.alias("path"), F.col("_metadata.file_block_start").alias("start"), block.alias("block"),
+            F.col("value").cast("binary").alias("value"), F.monotonically_increasing_id().alias("id"))
+        counts = lines.groupBy("path", "start", "block").agg(F.count("*").alias("n"), F.min("id").alias("id")).collect()
+        before, total, firsts = {}, Counter(), []
+        for r in sorted(counts, key=lambda r: (r["path"], r["start"])):
+            if not total[r["path"]]:
+                firsts.append(r["id"])
+            before[r["block"]] = total[r["path"]]
+            total[r["path"]] += r["n"]
+        if len(before) < len(counts) or not set(total) <= {p for p, _ in files}:
+            raise ValueError(f"blocks of {sorted(total)} do not tell the files apart")
+        if counts:
+            pieces = lines.select("block", F.unhex(F.sha2("value", 256)), F.when(F.col("id").isin(firsts), F.col("value"))).mapInArrow(
+                _pieces(before), "block long, leaf long, at long, whole boolean, digests binary, header binary")
+            names = F.broadcast(spark.createDataFrame([(r["block"], r["path"]) for r in counts], "block long, path string"))
+            parts = F.array_sort(F.collect_list(F.struct("at", "digests")))
+            leaves = pieces.join(names, "block").groupBy("path", "leaf").agg(F.bool_or("whole").alias("whole"), parts.alias("parts"), F.max("header").alias("header"))
+            joined = F.aggregate("parts", F.lit(b""), lambda all_, p: F.concat(all_, p["digests"]))
+            leaves = leaves.select("path", "leaf", F.when(F.col("whole"), F.lower(F.hex(joined))).otherwise(F.sha2(joined, 256)).alias("hash"), "header")
+            tree = F.transform(F.array_sort(F.collect_list(F.struct("leaf", "hash"))), lambda x: x["hash"])
+            found = leaves.groupBy("path").agg(F.sha2(F.array_join(tree, ",").cast("binary"), 256).alias("tree"), F.max("header").cast("string").alias("header")).collect()
+    trees = {r["path"]: r for r in found}
+    # the length tells whether the last line is ended, and whether a mark of the byte order, which the reader drops, comes first
+    rows = [(p, hashlib.sha256(f"{n}:{trees[p]['tree'] if p in trees else ''}".encode()).hexdigest(), trees[p]["header"] if p in trees else None) for p, n in files]
+    return spark.createDataFrame(rows, DIGESTS)
 
 
 def new_files(batch: DataFrame, ledger: str, stream: str, batch_id: int) -> DataFrame:
-    """path, digest, header and ``fresh`` of a micro-batch's files: of equal files the first by name is fresh, unless a load other than this batch's own
-    has brought one like it. Contents stay in the tasks; a file may hold 2 GB."""
+    """path, digest, header and ``fresh`` of a micro-batch's files (path, length): of equal files the first by name is fresh, unless a load other than this
+    batch's own has brought one like it."""
     spark = batch.sparkSession
-    head = F.regexp_replace(F.substring_index(F.col("content").cast("string"), "\n", 1), "^\ufeff|\r$", "")
-    files = batch.select("path", F.sha2("content", 256).alias("digest"), head.alias("header"))
+    files = file_digests(spark, [tuple(r) for r in batch.select("path", "length").collect()])
+    files = files.withColumn("header", F.regexp_replace("header", "^\ufeff|\r$", ""))
     files = files.join(files.groupBy("digest").agg(F.min("path").alias("first")), "digest")
     if path_exists(spark, ledger):
         known = spark.read.schema(DELIVERIES).parquet(ledger).filter(F.col("loaded") & ~((F.col("stream") == stream) & (F.col("batch") == batch_id)))
@@ -99,6 +178,7 @@ def start_landing_loads(spark: SparkSession, landing_dir: str, bronze_dir: str,
 
     def load(batch: DataFrame, batch_id: int) -> None:
         load_files(batch, batch_id, stream_id(batch), bronze_dir, ledger)
-    w = reader.load(landing_dir).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    # contents are not read here: a file's content would have to fit into a task
+    w = reader.load(landing_dir).select("path", "length").writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -10,6 +10,7 @@ import pytest
 from airshed.layers import LayerPaths, write_bronze, write_silver
 from airshed.schema import RAW_COLUMNS, RAW_SCHEMA
 from airshed.sources.layers_io import read_by_month
+from airshed.streaming import landing as landing_module
 from airshed.streaming.landing import DELIVERIES, load_files, start_landing_loads
 from tests.conftest import HEADER, RAW_ROWS, _csv_text
 
@@ -65,3 +66,34 @@ def test_a_batch_given_again_replaces_its_load(spark, tmp_path, landing):
         assert load_files(batch, 3, "s", str(tmp_path / "bronze"), str(tmp_path / "ledger")) == 1
     assert load_files(batch, 4, "s", str(tmp_path / "bronze"), str(tmp_path / "ledger")) == 0
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == len(RAW_ROWS)
+
+
+def test_a_digest_is_of_all_lines_in_their_order_wherever_blocks_begin(spark, tmp_path):
+    lines = [f"line {i % 7}" for i in range(landing_module.LEAF * 2 + 5)]
+    texts = {"a b+c%41.csv": "\n".join(lines), "copy.csv": "\n".join(lines), "ended.csv": "\n".join(lines) + "\n", "marked.csv": "﻿" + "\n".join(lines),
+             "returns.csv": "\r\n".join(lines), "turned.csv": "\n".join([lines[1], lines[0], *lines[2:]]), "swapped.csv": "\n".join([*lines[:-2], lines[-1], lines[-2]]),
+             "one.csv": "a", "two.csv": "b"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    files = [tuple(r) for r in spark.read.format("binaryFile").load(str(tmp_path)).select("path", "length").collect()]
+    found = {r["path"].rpartition("/")[2]: (r["digest"], r["header"]) for r in landing_module.file_digests(spark, files).collect()}
+    assert found["a b+c%41.csv"] == found["copy.csv"]
+    assert len({d for d, _ in found.values()}) == len(texts) - 1
+    assert {n: h for n, (_, h) in found.items()} == {n: t.split("\n")[0].lstrip("﻿") for n, t in texts.items()}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+        assert found == {r["path"].rpartition("/")[2]: (r["digest"], r["header"]) for r in landing_module.file_digests(spark, files).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_stream_reads_no_content_of_a_file_whole(spark, tmp_path, landing):
+    folder, run = landing
+    (folder / "a.csv").write_text(_csv_text(RAW_ROWS * 50), encoding="utf-8")
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    try:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")  # a larger content than this fails
+        assert run() == Counter(RAW_ROWS * 50)
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
