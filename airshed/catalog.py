@@ -27,7 +27,7 @@ from airshed.session import scratch_path
 from airshed.sources import adapter
 from airshed.sources.tables import read_table
 from airshed.schema import GOLD_KEYS
-from airshed.sources.layers_io import (BATCH_LOAD, LOAD, MONTH, read_by_month, refresh_table, remove_folder,
+from airshed.sources.layers_io import (BATCH_LOAD, LOAD, MONTH, move_files, read_by_month, refresh_table, remove_folder,
                                        write_by_month, write_layer)
 
 
@@ -421,13 +421,11 @@ def _stream_gold(spark, sf_dir):
     return read_by_month(spark, gold_path)
 
 
-def _landed_in_parts(spark, sf_dir, landed, parts, of):
-    """Bronze as files of a landing folder: the ``parts`` of ``of`` equal shares by a hash of the row, one file each."""
+def _bronze_in_parts(spark, sf_dir, of):
+    """Bronze with its ``part`` of ``of`` equal shares by a hash of the row."""
     from airshed.sources.csv_ingest import to_bronze
-    b = to_bronze(bronze_table(spark, sf_dir))
     share = F.pmod(F.xxhash64("date", "location", "pollutant_type", "value", "latitude"), F.lit(of))
-    for part in parts:
-        b.filter(share == part).coalesce(1).write.mode("append").parquet(landed)
+    return to_bronze(bronze_table(spark, sf_dir)).withColumn("part", share.cast("int"))
 
 
 def _stream_gold_delta(spark, sf_dir):
@@ -435,9 +433,13 @@ def _stream_gold_delta(spark, sf_dir):
     second has run, and then loses its last commit, so that its last batch is given again."""
     from airshed.streaming.gold_delta import start_bronze_to_gold_deltas
     landed, state, checkpoints, gold_path = _stream_paths(spark, "stream-gold-delta")
+    # all parts are written side by side, one file each in row groups for several tasks, and put into the streams' folders when it is their turn
+    parts_of_6 = _bronze_in_parts(spark, sf_dir, 6).repartitionById(6, "part")
+    parts_of_6.write.option("parquet.block.size", 16 << 20).partitionBy("part").parquet(f"{landed}/parts")
     for stream, parts in (("a", (0, 1)), ("b", (2, 3)), ("a", (4, 5))):
         folder, checkpoint = f"{landed}/{stream}", f"{checkpoints}/{stream}"
-        _landed_in_parts(spark, sf_dir, folder, parts, 6)
+        for part in parts:
+            move_files(spark, f"{landed}/parts/part={part}", folder)
         run = lambda f=folder, c=checkpoint: _finished(start_bronze_to_gold_deltas(spark, f, state, gold_path, c, max_files_per_trigger=1))
         run()
     remove_folder(spark, f"{checkpoints}/a/commits/3")
@@ -450,7 +452,7 @@ def _stream_two_checkpoints(spark, sf_dir):
     from airshed.streaming.gold_refresh import start_bronze_to_gold
     landed, out, state, gold_path = _stream_paths(spark, "stream-two")
     for part in (0, 1):
-        _landed_in_parts(spark, sf_dir, f"{landed}/{part}", (part,), 2)
+        _bronze_in_parts(spark, sf_dir, 2).filter(F.col("part") == part).drop("part").write.parquet(f"{landed}/{part}")
         _finished(start_bronze_to_gold(spark, f"{landed}/{part}", out, gold_path, f"{state}/{part}"))
     return read_by_month(spark, out).drop("ingestion_timestamp", "source_file")
 

@@ -134,6 +134,16 @@ def rename_folder(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"{path} could not be renamed to {to}")
 
 
+def move_files(spark: SparkSession, path: str, to: str) -> None:
+    """Move the files of a folder, where it exists, into another, which is made; they keep their names."""
+    p, fs = _path(spark, path)
+    target = _path(spark, to)[0]
+    fs.mkdirs(target)
+    for status in fs.listStatus(p) if fs.exists(p) else []:
+        if status.isFile() and not fs.rename(status.getPath(), _path(spark, f"{to}/{status.getPath().getName()}")[0]):
+            raise OSError(f"{status.getPath()} could not be moved to {to}")
+
+
 def partition_folder(spark: SparkSession, name: str, value) -> str:
     """The folder name that Spark's writer gives a partition."""
     return f"{name}={spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))}"
