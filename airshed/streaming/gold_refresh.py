@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from airshed.operators.clean import to_silver
 from airshed.schema import BRONZE_SCHEMA
-from airshed.sources.incremental import refresh_gold, touched_months
-from airshed.sources.layers_io import write_by_month
+from airshed.sources.incremental import refresh_gold
+from airshed.sources.layers_io import MONTH, partitions_with_load, write_by_month
 from airshed.streaming.gold_delta import stream_id
 
 
@@ -24,14 +24,13 @@ def process_batch(batch: DataFrame, batch_id: int, silver_dir: str, gold_dir: st
     """The batch's load bears the id of its stream, which the checkpoint keeps: batch numbers start at 0 in each
     checkpoint, and streams that share a Silver keep each other's folders."""
     spark = batch.sparkSession
-    batch = batch.persist()
-    try:
-        if batch.isEmpty():
-            return
-        write_by_month(batch, silver_dir, ["date"], load_id=f"stream-{stream_id(batch)}-{batch_id}", replace_months=True)
-        refresh_gold(spark, silver_dir, touched_months(batch), gold_dir)
-    finally:
-        batch.unpersist()
+    if batch.isEmpty():
+        return
+    load_id = f"stream-{stream_id(batch)}-{batch_id}"
+    write_by_month(batch, silver_dir, ["date"], load_id=load_id, replace_months=True)
+    # the months are those of the load's folders, so the batch is read once and kept nowhere
+    months = [int(m) for m in partitions_with_load(spark, silver_dir, MONTH, load_id) if m.isdigit()]
+    refresh_gold(spark, silver_dir, months, gold_dir)
 
 
 def start_bronze_to_gold(spark: SparkSession, bronze_dir: str, silver_dir: str, gold_dir: str,

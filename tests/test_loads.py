@@ -19,6 +19,7 @@ from airshed.sources.layers_io import read_by_month
 from airshed.sources.replay import Repair, replay_quarantine
 from airshed.streaming import gold_delta
 from airshed.streaming.gold_refresh import start_bronze_to_gold
+from tests.conftest import SF_SMALL
 
 RUN_DATE = dt.date(2025, 1, 1)
 
@@ -169,3 +170,27 @@ def test_streams_with_checkpoints_of_their_own_keep_each_others_rows(spark, tmp_
         start_bronze_to_gold(spark, str(tmp_path / name), out, gold, str(tmp_path / f"state-{name}")).awaitTermination()
     assert counted(read_by_month(spark, out), ["location"]) == Counter({("A",): 5, ("B",): 3})
     assert counted(read_by_month(spark, gold), ["location", "record_count"]) == Counter([("A", 5), ("B", 3)])
+
+
+def test_a_streamed_batch_is_kept_nowhere_and_read_once(spark, tmp_path, monkeypatch):
+    from airshed.streaming import gold_refresh
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda *a, **k: pytest.fail("a micro-batch may be larger than the executors' memory"))
+    monkeypatch.setattr(gold_refresh, "stream_id", lambda batch: "s")
+    rows = [(f"2024-0{m}-01", "London", 51.5, -0.1, "urban", "south", "NO2", 1.0, "u", "valid") for m in (1, 2)]
+    out, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    for _ in range(2):
+        gold_refresh.process_batch(_silver(spark, rows), 0, out, gold)
+    gold_refresh.process_batch(_silver(spark, rows[:1]), 1, out, gold)
+    gold_refresh.process_batch(_silver(spark, []), 2, out, gold)
+    assert sorted((r["date"].month, r["record_count"]) for r in read_by_month(spark, gold).collect()) == [(1, 2), (2, 1)]
+
+
+def test_landed_parts_are_one_file_each_written_side_by_side(spark, tmp_path, monkeypatch):
+    from airshed import catalog
+    folders = []
+    from airshed.streaming import gold_delta as module
+    run = module.start_bronze_to_gold_deltas
+    monkeypatch.setattr(module, "start_bronze_to_gold_deltas", lambda s, folder, *a, **k: (folders.append((folder, len([f for f in os.listdir(folder) if f.endswith(".parquet")]))), run(s, folder, *a, **k))[1])
+    monkeypatch.setattr(type(spark.range(0)), "coalesce", lambda df, n, f=type(spark.range(0)).coalesce: pytest.fail("Bronze goes through one task") if "location" in df.columns else f(df, n))
+    catalog.QUERIES["stream_gold_delta"](spark, SF_SMALL).count()
+    assert [n for _, n in folders] == [2, 2, 4, 4]
