@@ -3,11 +3,13 @@
 An operator deals classes (different sets of shingles) into buckets so that any two that link share one. In each bucket a few
 members, its centres, are compared with all: a number of pairs that grows with the rows. What then still lies in
 several components of one bucket is searched without pairs: buckets that share a component make a cluster, its classes
-outside the largest component are held as an inverted index, in blocks of bounded size, and all the cluster's classes pass by them.
+outside the largest component are held as an inverted index by their size, in blocks of bounded size, and the cluster's classes
+of sizes that may link pass by them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,19 +91,26 @@ def _search(buckets: DataFrame, centred: DataFrame, member: DataFrame, sets: Dat
     clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
     rows = open_.select("c", "component").distinct().join(clusters, "component", "left").withColumn("cluster", F.coalesce("cluster", "component"))
     rows = rows.join(sets.select("c", "n"), "c")
-    of = rows.groupBy("cluster", "component").agg(F.count("*").alias("classes"), F.sum("n").alias("n"))
-    of = of.groupBy("cluster").agg(F.max_by("component", F.struct("classes", "component")).alias("main"), F.sum("n").alias("all"),
-                                   F.max_by("n", F.struct("classes", "component")).alias("in_main"))
-    sizes = of.select("cluster", "main", F.ceil((F.col("all") - F.col("in_main")) / HELD_SHINGLES).alias("blocks"), F.ceil(F.col("all") / HELD_SHINGLES).alias("parts"))
-    rows = written(rows.join(sizes, "cluster").select("cluster", "c", "component", "main", "blocks", "parts"), "linking-rows")
+    of = rows.groupBy("cluster", "component").agg(F.count("*").alias("classes"))
+    of = of.groupBy("cluster").agg(F.max_by("component", F.struct("classes", "component")).alias("main"))
+    # sizes of linked sets lie in one band or in neighbouring ones (a band is a little wider than what rounding may add)
+    band = F.floor(F.log(F.col("n").cast("double")) / max(math.log(rule.den / rule.num) * (1 + 1e-9), 1e-9))
+    rows = written(rows.join(of, "cluster").select("cluster", "c", "component", "main", "n", band.alias("band")), "linking-rows")
+    held = rows.filter("component <> main").select("cluster", "band", "c", "component", "n")
+    passing = rows.select("cluster", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band"), "c", "component", "n")
+
+    def count(of: DataFrame, name: str) -> DataFrame:
+        return of.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / HELD_SHINGLES).alias(name))
+    sizes = count(held, "blocks").join(count(passing, "parts"), ["cluster", "band"])
 
     def dealt(count: str):
         return F.pmod(F.xxhash64("c", F.lit(count)), F.col(count))
 
     def every(count: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-    held = rows.filter("component <> main").select("cluster", dealt("blocks").alias("block"), every("parts").alias("part"), F.lit(0).alias("side"), "c", "component")
-    passing = rows.select("cluster", every("blocks").alias("block"), dealt("parts").alias("part"), F.lit(1).alias("side"), "c", "component")
+    group = F.xxhash64("cluster", "band").alias("cluster")  # groups that share a hash are searched together
+    held = held.join(sizes, ["cluster", "band"]).select(group, dealt("blocks").alias("block"), every("parts").alias("part"), F.lit(0).alias("side"), "c", "component")
+    passing = passing.join(sizes, ["cluster", "band"]).select(group, every("blocks").alias("block"), dealt("parts").alias("part"), F.lit(1).alias("side"), "c", "component")
     both = held.unionByName(passing).join(sets.select("c", "shingles"), "c").select("cluster", "block", "part", "side", "c", "component", "shingles")
     found = (both.repartition("cluster", "block", "part").sortWithinPartitions("cluster", "block", "part", "side")
              .mapInArrow(_searched(rule), "u long, v long").distinct())

@@ -6,9 +6,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from airshed.llm import linking, minhash
+from airshed.llm.common import scratch_tables
 from airshed.llm.linking import Rule
 from tests.llm.fixtures import corpus, documents, words
 from tests.llm.test_operators import _components
@@ -88,3 +91,30 @@ def test_query_keeps_one_of_each_component(spark, tmp_path):
 
 def test_empty_table(spark):
     assert minhash.near_duplicates(documents(spark, []), RULE).collect() == []
+
+
+def test_search_sends_classes_only_to_sizes_that_may_link(spark, monkeypatch):
+    sizes = {c: 80 if c < 10 else 100 if c < 20 else 4000 for c in range(30)}
+    shingles = {c: [c % 2 * 10**6 + i for i in range(n)] if c < 20 else [c * 10**7 + i for i in range(n)] for c, n in sizes.items()}
+    sets = spark.createDataFrame([(c, n, shingles[c]) for c, n in sizes.items()], "c long, n long, shingles array<long>")
+    buckets = spark.createDataFrame([(1, c) for c in sizes], "key long, c long")
+    centred = spark.createDataFrame([(1, [(99,)])], "key long, centres array<struct<c:long>>")
+    member = spark.createDataFrame([], "node long, component long")
+    monkeypatch.setattr(linking, "HELD_SHINGLES", 1000)
+    with scratch_tables():
+        found = {tuple(r) for r in linking._search(buckets, centred, member, sets, Rule(5, 80, 100)).collect()}
+        assert all(u % 2 == v % 2 and v < 20 for u, v in found)  # 80 of 100 is a link
+        for odd in (0, 1):
+            joined, edges = {odd}, {e for e in found if e[0] % 2 == odd}
+            for _ in range(20):
+                joined |= {x for e in edges if joined & set(e) for x in e}
+            assert joined == {c for c in range(20) if c % 2 == odd}
+
+        def sent(rule):
+            def rows(batches):
+                for b in batches:
+                    yield pa.RecordBatch.from_arrays([b.column(4), pa.compute.add(pa.compute.multiply(b.column(1), 1000), b.column(2))], names=["u", "v"])
+            return rows
+        monkeypatch.setattr(linking, "_searched", sent)
+        rows = linking._search(buckets, centred, member, sets, Rule(5, 80, 100)).filter("u < 20").groupBy("u").count().agg({"count": "max"}).first()[0]
+        assert rows <= 8  # sent to the blocks of every size: more than forty
