@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -71,6 +72,11 @@ def _flushed(rows: Iterator[tuple], schema: pa.Schema, step: int) -> Iterator[pa
     yield _batch(held, schema)
 
 
+def _bytes(batch: pa.RecordBatch, at: int) -> list[pa.Array]:
+    """A batch's columns, the texts in one of them as their UTF-8 bytes."""
+    return [c.cast(pa.binary()) if i == at else c for i, c in enumerate(batch.columns)]
+
+
 def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
@@ -84,8 +90,8 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     hashes = WordHashes()
     def rows():
         for batch in batches:
-            for doc_id, k1, k2, text in zip(*batch.columns, strict=True):
-                words = text.as_py().encode().split()
+            for doc_id, k1, k2, text in zip(*_bytes(batch, 3), strict=True):
+                words = text.as_py().split()
                 yield (doc_id.as_py(), k1.as_py(), k2.as_py(), len(words), _sha(words), *anchored(hashes.of(words)))
     with np.errstate(over="ignore"):
         yield from _flushed(rows(), _DOCS, 500)
@@ -107,11 +113,11 @@ def _name_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for batch in batches:
             for a, b in slices(batch.num_rows, 200):
                 columns: list[list[np.ndarray]] = [[] for _ in _PLACES]
-                for k1, k2, text, rows, anchors, occurs, ats, windows in zip(*(c.slice(a, b - a) for c in batch.columns), strict=True):
+                for k1, k2, text, rows, anchors, occurs, ats, windows in zip(*(c.slice(a, b - a) for c in _bytes(batch, 2)), strict=True):
                     at, marked = (np.array(x.as_py(), dtype=np.int64) for x in (ats, windows))
                     n = marked % TWICE
                     names = [mixed(w[at] * np.uint64(0x9E3779B97F4A7C15) + mixed(w[at + n - 1] + n.astype(np.uint64))).view(np.int64)
-                             for w in _window_hashes(hashes.of(text.as_py().encode().split()))]
+                             for w in _window_hashes(hashes.of(text.as_py().split()))]
                     fixed = [np.full(len(at), x.as_py(), dtype=np.int64) for x in (k1, k2, rows)]
                     for column, values in zip(columns, (*names, np.array(anchors.as_py()), np.array(occurs.as_py()), fixed[0], fixed[1], at, marked, fixed[2]), strict=True):
                         column.append(values)
@@ -128,8 +134,8 @@ def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.num_rows, 100):
                 columns: list[list[np.ndarray]] = [[] for _ in _WINDOWS]
-                for text, segments in zip(*(c.slice(a, b - a) for c in batch.columns), strict=True):
-                    w1, w2 = _window_hashes(hashes.of(text.as_py().encode().split()))
+                for text, segments in zip(*(c.slice(a, b - a) for c in _bytes(batch, 0)), strict=True):
+                    w1, w2 = _window_hashes(hashes.of(text.as_py().split()))
                     s1, s2, at, n, times = (np.array(x, dtype=np.int64) for x in zip(
                         *((s["s1"], s["s2"], s["at"], s["windows"] % TWICE, s["times"]) for s in segments.as_py()), strict=True))
                     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -141,35 +147,39 @@ def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _TEXTS = pa.schema([("shard", pa.int32()), ("salt", pa.int32()), ("salts", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()),
-                    ("segment", pa.string()), ("offsets", pa.list_(pa.int32())), ("whole", pa.bool_())])
+                    ("segment", pa.binary()), ("offsets", pa.list_(pa.int32())), ("whole", pa.bool_())])
 
 
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of each segment listed with each text, with its phrases and its group."""
     def rows():
         for batch in batches:
-            for text, segments in zip(*batch.columns, strict=True):
-                words = text.as_py().encode().split()
+            for text, segments in zip(*_bytes(batch, 0), strict=True):
+                words = text.as_py().split()
                 for s in segments.as_py():
-                    yield (s["shard"], s["salt"], s["salts"], s["s1"], s["s2"], b" ".join(words[s["at"]:s["at"] + s["windows"] % TWICE + WINDOW - 1]).decode(),
+                    yield (s["shard"], s["salt"], s["salts"], s["s1"], s["s2"], b" ".join(words[s["at"]:s["at"] + s["windows"] % TWICE + WINDOW - 1]),
                            s["offsets"], s["whole"])
     yield from _flushed(rows(), _TEXTS, 5000)
 
 
+class _Letters(dict):
+    """A letter for each word, a new one for a new word."""
+
+    def __missing__(self, word: bytes) -> str:
+        n = len(self) + 2
+        letter = self[word] = chr(n if n < 0xD800 else n + 0x800)
+        return letter
+
+
 class Automaton:
     """An Aho-Corasick automaton over words: a word of its phrases is one letter, any other word a letter in no phrase."""
 
     def __init__(self):
-        self.letters, self.found, self.empty = {}, ahocorasick.Automaton(), True
+        self.letters, self.found, self.empty = _Letters(), ahocorasick.Automaton(), True
 
     def spell(self, words: list[bytes]) -> str:
         """Words as letters, with new letters for new words."""
-        letters = self.letters
-        for w in words:
-            if w not in letters:
-                n = len(letters) + 2
-                letters[w] = chr(n if n < 0xD800 else n + 0x800)
-        return "".join([letters[w] for w in words])
+        return "".join(map(self.letters.__getitem__, words))
 
     def add(self, phrase: str) -> None:
         self.found.add_word(phrase, len(phrase))
@@ -179,7 +189,7 @@ class Automaton:
         self.found.make_automaton()
 
     def read(self, words: list[bytes]) -> str:
-        return "".join([self.letters.get(w, "\x01") for w in words])
+        return "".join(map(self.letters.get, words, repeat("\x01")))
 
     def ranges(self, spelled: str) -> list[tuple[int, int]]:
         """The merged stretches of words that occurrences of phrases cover."""
@@ -201,7 +211,7 @@ def _search(group: list[dict]) -> Iterator[tuple]:
     """One group: its phrases are compiled, then all its segments streamed through the automaton."""
     automaton = Automaton()
     for row in group:
-        row["words"] = row["segment"].encode().split()
+        row["words"] = row["segment"].split()
         if row["whole"] or row["offsets"]:
             row["spelled"] = spelled = automaton.spell(row["words"])
             if row["whole"]:
@@ -236,8 +246,8 @@ def _remove(with_text: bool):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                for k1, k2, text, spans in zip(*batch.columns, strict=True):
-                    words = text.as_py().encode().split()
+                for k1, k2, text, spans in zip(*_bytes(batch, 2), strict=True):
+                    words = text.as_py().split()
                     change = np.zeros(len(words) + 1, dtype=np.int64)
                     for s in spans.as_py():
                         change[s["start"]] += 1
@@ -298,7 +308,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
                              salts.alias("salts"), "s1", "s2", "at", "windows", "offsets", (F.col("mixed").isNull() & (F.col("times") > 1)).alias("whole")).alias("s"))
         .groupBy("k1", "k2").agg(F.collect_list("s").alias("segments")))
     search = body.join(grouped, ["k1", "k2"]).select("text", "segments").mapInArrow(
-        _cut_texts, "shard int, salt int, salts int, s1 long, s2 long, segment string, offsets array<int>, whole boolean")
+        _cut_texts, "shard int, salt int, salts int, s1 long, s2 long, segment binary, offsets array<int>, whole boolean")
     # to its own group a segment goes whole; to its anchor's other groups it goes as a guest if it has phrases
     to = F.when((F.col("salts") > 1) & (F.col("whole") | F.col("offsets").isNotNull()), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array("salt"))
     search = search.withColumn("to", F.explode(to)).select("shard", F.col("to").alias("salt"), (F.col("to") != F.col("salt")).alias("guest"),
