@@ -7,7 +7,7 @@ the symmetric difference. Linked documents of one size band differ in at most d
 d + 1 + x blocks at least x + 1 are equal: documents are joined on equal blocks (pigeonhole).
 
 Documents with equal sets form a class first. In a bucket of equal blocks each class is compared with a few
-centres, first by the Hamming distance of their parity bits, then on the whole sets; the links give components, and what lies
+centres (in a small one all with all), first by the Hamming distance of their parity bits, then on the whole sets; the links give components, and what lies
 in several components of one bucket is searched against an index of whole sets (``linking``).
 """
 
@@ -112,27 +112,20 @@ def _band(rule: Rule, n: int) -> int:
     return int(np.searchsorted(_bands(rule), n, "right")) - 1
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_digest", pa.binary()), ("n", pa.int64()), ("digest", pa.binary()),
-                     ("home", pa.list_(pa.int64())), ("next", pa.list_(pa.int64()))])
+_DIGESTS = pa.schema([("doc_id", pa.int64()), ("text_digest", pa.binary()), ("n", pa.int64()), ("digest", pa.binary())])
 
 
-def _sketches(rule: Rule):
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(rule: Rule):
+    """The size and digest of each text's set."""
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
-                rows = []
-                for doc_id, text_digest, text in zip(*batch.columns, strict=True):
-                    s = shingle_set(hashes, text.as_py(), rule.words)
-                    band = _band(rule, len(s)) if len(s) else 0
-                    rows.append((doc_id.as_py(), text_digest.as_py(), len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                                 _keys(s, rule, band) if len(s) else [], _keys(s, rule, band + 1) if len(s) and _reaches_next(rule, len(s), band) else []))
-                    if len(rows) == 500:
-                        yield _batch(rows, _SKETCH)
-                        rows = []
-                if rows:
-                    yield _batch(rows, _SKETCH)
-    return sketch
+                sets = (shingle_set(hashes, text.as_py(), rule.words) for text in batch.column(2))
+                n, made = zip(*((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest()) for s in sets), strict=True) if len(batch) else ((), ())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.binary()), pa.array(n, pa.int64()), pa.array(made, pa.binary())],
+                                                 schema=_DIGESTS)
+    return digests
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -140,26 +133,26 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-_SETS = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("home", pa.binary()), ("next", pa.binary())])
+_KEYED = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("home", pa.list_(pa.int64())), ("next", pa.list_(pa.int64())),
+                    ("home_bits", pa.binary()), ("next_bits", pa.binary())])
 
 
-def _sets(rule: Rule):
-    """Whole sets and parity bits of the classes in (c, text)."""
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(rule: Rule):
+    """Bucket keys and parity bits of the classes in (c, text)."""
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
-                rows = []
-                for c, text in zip(*batch.columns, strict=True):
-                    s = shingle_set(hashes, text.as_py(), rule.words)
-                    band = _band(rule, len(s))
-                    rows.append((c.as_py(), len(s), s.view(np.int64), _parity(s, rule, band),
-                                 _parity(s, rule, band + 1) if _reaches_next(rule, len(s), band) else b""))
-                    if len(rows) == 200:
-                        yield _batch(rows, _SETS)
-                        rows = []
-                yield _batch(rows, _SETS)
-    return sets
+                for at in range(0, len(batch), 500):
+                    rows = []
+                    for c, text in zip(*batch.slice(at, 500).columns, strict=True):
+                        s = shingle_set(hashes, text.as_py(), rule.words)
+                        band = _band(rule, len(s))
+                        reaches = _reaches_next(rule, len(s), band)
+                        rows.append((c.as_py(), len(s), _keys(s, rule, band), _keys(s, rule, band + 1) if reaches else [],
+                                     _parity(s, rule, band), _parity(s, rule, band + 1) if reaches else b""))
+                    yield _batch(rows, _KEYED)
+    return keyed
 
 
 def _distance(a: bytes, b: bytes) -> int:
@@ -180,11 +173,11 @@ def _within(rule: Rule):
     return within
 
 
-def _near_pairs(starred: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    parity = sets.select("c", "n", "home", "next")
+def _near_pairs(starred: DataFrame, parity: DataFrame, rule: Rule) -> DataFrame:
     for side in ("v", "u"):
-        own = parity.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), "home", "next")
-        starred = starred.join(own, side).withColumn(f"bits_{side}", F.when(F.col(f"next_{side}"), F.col("next")).otherwise(F.col("home"))).drop("home", "next")
+        own = parity.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), "home_bits", "next_bits")
+        starred = starred.join(own, side).withColumn(f"bits_{side}", F.when(F.col(f"next_{side}"), F.col("next_bits")).otherwise(F.col("home_bits"))).drop(
+            "home_bits", "next_bits")
     return starred.select("u", "v", "n_u", "n_v", "bits_u", "bits_v").mapInArrow(_within(rule), "u long, v long").distinct()
 
 
@@ -201,34 +194,30 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def _near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
     d = texts(docs).select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("text_digest"), "text")
-    schema = "doc_id long, text_digest binary, n long, digest binary, home array<long>, next array<long>"
-    sketched = written(d.mapInArrow(_sketches(rule), schema), "jaccard-sketches")
-    documents = written(sketched.select("doc_id", "text_digest", "n", "digest"), "jaccard-documents")
-    keyed = written(sketched.filter("n > 0").groupBy("digest").agg(
-        F.min("text_digest").alias("text_digest"), F.first("home").alias("home"), F.first("next").alias("next"))
-        .withColumn("c", F.monotonically_increasing_id()), "jaccard-keyed")
-    classes = written(keyed.select("c", "digest", "text_digest"), "jaccard-classes")
-    forget(sketched)
+    documents = written(d.mapInArrow(_digests(rule), "doc_id long, text_digest binary, n long, digest binary"), "jaccard-documents")
+    classes = written(documents.filter("n > 0").groupBy("digest").agg(F.min("text_digest").alias("text_digest"))
+                      .withColumn("c", F.monotonically_increasing_id()), "jaccard-classes")
+    # one text of each class; copies of a text are one before the shuffle
+    body = d.groupBy("text_digest").agg(F.first("text").alias("text")).join(classes.select("c", "text_digest"), "text_digest").select("c", "text")
+    keyed = written(body.mapInArrow(_keyed(rule), "c long, n long, home array<long>, next array<long>, home_bits binary, next_bits binary"), "jaccard-keyed")
 
     # c and whether the block is for the next band, in one number
     rows = keyed.select((F.col("c") * 2).alias("entry"), F.explode("home").alias("key")).unionByName(
         keyed.select((F.col("c") * 2 + 1).alias("entry"), F.explode("next").alias("key")))
     shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "jaccard-keys")
-    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next")),
+    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"), "size"),
                       "jaccard-buckets")
+    parity = written(keyed.select("c", "n", "home_bits", "next_bits").join(buckets.select("c").distinct(), "c", "left_semi"), "jaccard-parity")
     forget(keyed)
     centred = written(linking.centres(buckets, ["c", "next"]), "jaccard-centres")
     starred = written(linking.star_pairs(buckets, centred, ["c", "next"]), "jaccard-pairs")
-    # one text of each class that shares a bucket; copies of a text are one before the shuffle
-    wanted = buckets.select("c").distinct().join(classes.select("c", "text_digest"), "c")
-    body = d.groupBy("text_digest").agg(F.first("text").alias("text"))
-    sets = written(body.join(wanted, "text_digest").select("c", "text")
-                   .mapInArrow(_sets(rule), "c long, n long, shingles array<long>, home binary, next binary"), "jaccard-sets")
-
-    # pairs whose parity bits are too far apart are no links; only for the others are whole sets sent
-    near = written(_near_pairs(starred, sets, rule), "jaccard-near")
+
+    # pairs whose parity bits are too far apart are no links; whole sets are made only of the others and of what may be searched
+    near = written(_near_pairs(starred, parity, rule), "jaccard-near")
+    sets = written(body.join(linking.compared(linking.larger(buckets), centred, near), "c", "left_semi").mapInArrow(
+        linking.whole_sets(rule), "c long, n long, shingles array<long>"), "jaccard-sets")
     verdicts = written(linking.verify(near, sets, rule), "jaccard-verdicts")
-    member = linking.members(buckets, centred, verdicts.filter("linked").select("u", "v"), sets, rule)
+    member = linking.members(linking.larger(buckets), centred, verdicts.filter("linked").select("u", "v"), sets, rule)
     return linking.labelled(documents, classes, member)
 
 

@@ -1,8 +1,8 @@
 """From buckets of candidates to components of verified links, for the operators that join similar texts.
 
-An operator deals classes (different sets of shingles) into buckets so that any two that link share one. In each bucket a few
-members, its centres, are compared with all: a number of pairs that grows with the rows. What then still lies in
-several components of one bucket is searched without pairs: buckets that share a component make a cluster, its classes
+An operator deals classes (different sets of shingles) into buckets so that any two that link share one. In a small bucket all
+members are compared with all, in a larger one a few, its centres: a number of pairs that grows with the rows. What then still lies in
+several components of one larger bucket is searched without pairs: buckets that share a component make a cluster, its classes
 outside the largest component are held as an inverted index by their size, in blocks of bounded size, and the cluster's classes
 of sizes that may link pass by them.
 """
@@ -22,8 +22,8 @@ from airshed.llm.common import written
 from airshed.llm.components import components
 from airshed.llm.hashing import WordHashes, grams, mixed
 
-#: Members of a bucket that are compared with all its members.
-CENTRES = 3
+#: Members of a bucket that are compared with all its members, and the members up to which a bucket is small: all of them are centres.
+CENTRES, SMALL = 3, 12
 #: Shingles held at once by a task of the search, and pairs of equal shingles it counts at once.
 HELD_SHINGLES, COUNTED_PAIRS = 1 << 21, 1 << 22
 
@@ -48,11 +48,42 @@ def shingle_set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
     return np.unique(mixed(grams(w, min(words, len(w))) + np.uint64(min(words, len(w)))))
 
 
+def whole_sets(rule: Rule):
+    """(c, text) -> c, the size of its set and the set."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for at in range(0, len(batch), 200):
+                    part = batch.slice(at, 200)
+                    found = [shingle_set(hashes, text.as_py(), rule.words) for text in part.column(1)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()),
+                                                      pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["c", "n", "shingles"])
+    return sets
+
+
 def centres(buckets: DataFrame, columns: list[str]) -> DataFrame:
-    """key and ``centres`` (structs of ``columns``, which begin with c) of every bucket: the first members in CENTRES hashed orders, which
-    are the same orders in all buckets, so that buckets with the same members have the same centres."""
-    return buckets.groupBy("key").agg(F.array_distinct(F.array(*[
-        F.min_by(F.struct(*columns), F.xxhash64("c", F.lit(seed))) for seed in range(CENTRES)])).alias("centres"))
+    """key and ``centres`` (structs of ``columns``, which begin with c) of every bucket (key, ``size`` and columns): all members of a small one,
+    else the first in CENTRES hashed orders, which are the same orders in all buckets, so that buckets with the same members have the same centres."""
+    small = buckets.filter(F.col("size") <= SMALL).groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("centres"))
+    return small.unionByName(larger(buckets).groupBy("key").agg(F.array_distinct(F.array(*[
+        F.min_by(F.struct(*columns), F.xxhash64("c", F.lit(seed))) for seed in range(CENTRES)])).alias("centres")))
+
+
+def _others(buckets: DataFrame, centred: DataFrame) -> DataFrame:
+    """key and c of the members that are no centres."""
+    return buckets.select("key", "c").join(centred, "key").filter(~F.array_contains("centres.c", F.col("c"))).select("key", "c")
+
+
+def larger(buckets: DataFrame) -> DataFrame:
+    """The buckets that may have members that are no centres."""
+    return buckets.filter(F.col("size") > SMALL)
+
+
+def compared(buckets: DataFrame, centred: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The classes c whose whole sets ``verify`` (of ``pairs`` (u, v)) and ``members`` (of the same buckets) may read."""
+    return pairs.select(F.col("u").alias("c")).unionByName(pairs.select(F.col("v").alias("c"))).unionByName(
+        _others(buckets, centred).select("c")).distinct()
 
 
 def star_pairs(buckets: DataFrame, centred: DataFrame, columns: list[str]) -> DataFrame:
@@ -74,7 +105,8 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def members(buckets: DataFrame, centred: DataFrame, linked: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """node and component of the classes in components of several, given the links (u, v) among the pairs with a centre."""
+    """node and component of the classes in components of several, given the links (u, v) among the pairs with a centre. Of ``buckets``, those
+    that are all centres may be left out."""
     first = components(linked)
     found = written(_search(buckets, centred, first, sets, rule), "linking-found")
     return first if found.isEmpty() else components(linked.unionByName(found))
@@ -83,8 +115,7 @@ def members(buckets: DataFrame, centred: DataFrame, linked: DataFrame, sets: Dat
 def _search(buckets: DataFrame, centred: DataFrame, member: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Links (u, v) between classes of one bucket that lie in different components: enough to join these, fewer than there are classes.
     Pairs with a centre are known, so only the other members of a bucket are looked at."""
-    rest = buckets.select("key", "c").join(centred, "key").filter(~F.array_contains("centres.c", F.col("c"))).select("key", "c")
-    rest = rest.join(member.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
+    rest = _others(buckets, centred).join(member.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     unsettled = rest.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
     open_ = written(rest.join(unsettled.select("key", "least"), "key").select("c", "component", "least").distinct(), "linking-open")
     clusters = components(open_.select(F.col("least").alias("u"), F.col("component").alias("v")).distinct())

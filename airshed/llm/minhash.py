@@ -116,19 +116,6 @@ def _sketches(rule: Rule, bands: Bands):
     return sketch
 
 
-def _sets(rule: Rule):
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                for at in range(0, len(batch), 200):
-                    part = batch.slice(at, 200)
-                    found = [shingle_set(hashes, text.as_py(), rule.words) for text in part.column(1)]
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()),
-                                                      pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["c", "n", "shingles"])
-    return sets
-
-
 def _likely(rule: Rule, bands: Bands):
     """(u, v, n_u, n_v, r_u, r_v) -> the pairs (u, v) whose sizes allow a link and whose estimate is not too low for one."""
     t = rule.num / rule.den
@@ -173,7 +160,7 @@ def _near_duplicates(docs: DataFrame, rule: Rule, bands: Bands) -> DataFrame:
 
     # only a set of which one more shingle leaves enough in common can link with another
     rows = classes.filter(F.lit(rule.den - rule.num) * F.col("n") >= rule.num).select("c", F.explode(band_keys(F.col("registers"), bands)).alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key")
+    shared = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     buckets = written(rows.join(shared, "key"), "minhash-buckets")
     centred = written(linking.centres(buckets, ["c"]), "minhash-centres")
     pairs = linking.star_pairs(buckets, centred, ["c"])
@@ -182,12 +169,12 @@ def _near_duplicates(docs: DataFrame, rule: Rule, bands: Bands) -> DataFrame:
         pairs = pairs.join(own, side)
     likely = written(pairs.select("u", "v", "n_u", "n_v", "r_u", "r_v").mapInArrow(_likely(rule, bands), "u long, v long"), "minhash-likely")
 
-    # one text of each class that shares a bucket; copies of a text are one before the shuffle
-    wanted = buckets.select("c").distinct().join(classes.select("c", "text_digest"), "c")
+    # one text of each class whose whole set may be read; copies of a text are one before the shuffle
+    wanted = linking.compared(linking.larger(buckets), centred, likely).join(classes.select("c", "text_digest"), "c")
     body = d.groupBy("text_digest").agg(F.first("text").alias("text"))
-    sets = written(body.join(wanted, "text_digest").select("c", "text").mapInArrow(_sets(rule), "c long, n long, shingles array<long>"), "minhash-sets")
+    sets = written(body.join(wanted, "text_digest").select("c", "text").mapInArrow(linking.whole_sets(rule), "c long, n long, shingles array<long>"), "minhash-sets")
     verdicts = written(linking.verify(likely, sets, rule), "minhash-verdicts")
-    member = linking.members(buckets, centred, verdicts.filter("linked").select("u", "v"), sets, rule)
+    member = linking.members(linking.larger(buckets), centred, verdicts.filter("linked").select("u", "v"), sets, rule)
     return linking.labelled(sketched.select("doc_id", "text_digest", "n", "digest"), classes, member)
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import pytest
 
-from airshed.llm import linking, minhash
+from airshed.llm import jaccard, linking, minhash
 from airshed.llm.common import scratch_tables
 from airshed.llm.linking import Rule
 from tests.llm.fixtures import corpus, documents, words
@@ -118,3 +118,24 @@ def test_search_sends_classes_only_to_sizes_that_may_link(spark, monkeypatch):
         monkeypatch.setattr(linking, "_searched", sent)
         rows = linking._search(buckets, centred, member, sets, Rule(5, 80, 100)).filter("u < 20").groupBy("u").count().agg({"count": "max"}).first()[0]
         assert rows <= 8  # sent to the blocks of every size: more than forty
+
+
+def test_small_buckets_are_compared_whole_and_larger_ones_by_centres(spark, monkeypatch):
+    monkeypatch.setattr(linking, "SMALL", 4)
+    buckets = spark.createDataFrame([(1, c, 4) for c in range(4)] + [(2, c, 6) for c in range(6)], "key long, c long, size long")
+    centred = linking.centres(buckets, ["c"])
+    found = {r["key"]: [x["c"] for x in r["centres"]] for r in centred.collect()}
+    assert sorted(found[1]) == [0, 1, 2, 3] and 1 <= len(found[2]) <= linking.CENTRES
+    pairs = {(r["u"], r["v"]) for r in linking.star_pairs(buckets.filter("key = 1"), centred, ["c"]).collect()}
+    assert pairs == {(a, b) for b in range(4) for a in range(b)}
+    # whole sets are made of the members of larger buckets that are no centres, and of the pairs: not of every class that shares a bucket
+    near = spark.createDataFrame([(10, 11)], "u long, v long")
+    assert {r["c"] for r in linking.compared(linking.larger(buckets), centred, near).collect()} == {10, 11} | set(range(6)) - set(found[2])
+
+
+@pytest.mark.parametrize("small", [0, 3])
+def test_components_whatever_buckets_are_small(spark, monkeypatch, small):
+    monkeypatch.setattr(linking, "SMALL", small)
+    rows = _near_copies(5, 12, 4) + [(100 + i, t) for i, t in _near_copies(6, 9, 14)]
+    got = jaccard.near_duplicates(documents(spark, rows), RULE).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == _components(rows, RULE)
