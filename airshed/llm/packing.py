@@ -70,7 +70,8 @@ def pack(docs: DataFrame, tokenizer: str = BYTE_BPE, longest: int = MAX_LENGTH,
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = (counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
             .join(buckets.select("length", F.coalesce(F.sum("n").over(shorter), F.lit(0)).alias("bucket_0")), "length"))
-    out = pieces.join(base, ["length", "task"]).select(
+    # the counts (a row for each task and bucket) go to the pieces: the ids are not shuffled
+    out = pieces.join(F.broadcast(base), ["length", "task"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("bucket_0") + F.col("before") + F.col("nth")).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"), F.log2("length").cast("int").alias("bucket"), "ids")
     return out if with_ids else out.drop("ids")

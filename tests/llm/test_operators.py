@@ -146,6 +146,15 @@ def test_pieces_cover_every_id_once(docs, library):
     assert lengths == sorted(lengths) and all(1 << r["bucket"] == r["length"] for r in out)
 
 
+def test_ids_are_not_shuffled(spark, docs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = packing.pack(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [length" not in plan and "ShuffledHashJoin [length" not in plan
+
+
 def test_packing_nothing(nothing):
     assert packing.pack(nothing).count() == 0
 
