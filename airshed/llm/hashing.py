@@ -5,22 +5,12 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: A task forgets its word hashes beyond so many words.
-CACHED_WORDS = 300_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words (bytes), remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words. Nothing is remembered: looking a word up takes longer than hashing it."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

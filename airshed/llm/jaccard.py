@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from airshed.llm import linking
 from airshed.llm.common import forget, settled, table, texts, written
-from airshed.llm.hashing import WordHashes, mixed
+from airshed.llm.hashing import mixed
 from airshed.llm.linking import Rule, shingle_set
 
 #: Bits of a bucket's key; unequal blocks that share a key are compared in vain, and nothing else.
@@ -118,10 +118,9 @@ _DIGESTS = pa.schema([("doc_id", pa.int64()), ("text_digest", pa.binary()), ("n"
 def _digests(rule: Rule):
     """The size and digest of each text's set."""
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
-                sets = (shingle_set(hashes, text.as_py(), rule.words) for text in batch.column(2))
+                sets = (shingle_set(text.as_py(), rule.words) for text in batch.column(2))
                 n, made = zip(*((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest()) for s in sets), strict=True) if len(batch) else ((), ())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.binary()), pa.array(n, pa.int64()), pa.array(made, pa.binary())],
                                                  schema=_DIGESTS)
@@ -140,13 +139,12 @@ _KEYED = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("home", pa.list_(pa.i
 def _keyed(rule: Rule):
     """Bucket keys and parity bits of the classes in (c, text)."""
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
                 for at in range(0, len(batch), 500):
                     rows = []
                     for c, text in zip(*batch.slice(at, 500).columns, strict=True):
-                        s = shingle_set(hashes, text.as_py(), rule.words)
+                        s = shingle_set(text.as_py(), rule.words)
                         band = _band(rule, len(s))
                         reaches = _reaches_next(rule, len(s), band)
                         rows.append((c.as_py(), len(s), _keys(s, rule, band), _keys(s, rule, band + 1) if reaches else [],

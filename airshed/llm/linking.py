@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from airshed.llm.common import written
 from airshed.llm.components import components
-from airshed.llm.hashing import WordHashes, grams, mixed
+from airshed.llm.hashing import grams, mixed, word_hashes
 
 #: Members of a bucket that are compared with all its members, and the members up to which a bucket is small: all of them are centres.
 CENTRES, SMALL = 3, 12
@@ -40,9 +40,9 @@ class Rule:
         return sizes * (self.den - self.num) // (self.den + self.num)
 
 
-def shingle_set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
+def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a text; with fewer words, the whole sequence is one shingle."""
-    w = hashes.of((text or "").encode().lower().split())
+    w = word_hashes((text or "").encode().lower().split())
     if not len(w):
         return w
     return np.unique(mixed(grams(w, min(words, len(w))) + np.uint64(min(words, len(w)))))
@@ -51,12 +51,11 @@ def shingle_set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
 def whole_sets(rule: Rule):
     """(c, text) -> c, the size of its set and the set."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
                 for at in range(0, len(batch), 200):
                     part = batch.slice(at, 200)
-                    found = [shingle_set(hashes, text.as_py(), rule.words) for text in part.column(1)]
+                    found = [shingle_set(text.as_py(), rule.words) for text in part.column(1)]
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in found], pa.int64()),
                                                       pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["c", "n", "shingles"])
     return sets

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from airshed.llm import linking
 from airshed.llm.common import settled, table, texts, written
-from airshed.llm.hashing import WordHashes, mixed
+from airshed.llm.hashing import mixed
 from airshed.llm.linking import Rule, shingle_set
 
 #: A register has 16 bits: six for the leading zeros and ten behind the first one.
@@ -102,12 +102,11 @@ _SKETCH = pa.schema([("doc_id", pa.int64()), ("text_digest", pa.binary()), ("n",
 
 def _sketches(rule: Rule, bands: Bands):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
                 n, digests, held = [], [], []
                 for text in batch.column(2):
-                    s = shingle_set(hashes, text.as_py(), rule.words)
+                    s = shingle_set(text.as_py(), rule.words)
                     n.append(len(s))
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     held.append(registers(s, bands.registers).tobytes() if len(s) else None)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airshed.llm.common import slices, table, texts, written
-from airshed.llm.hashing import WordHashes, grams, mixed
+from airshed.llm.hashing import grams, mixed, word_hashes
 
 WINDOW, ANCHOR = 35, 8
 #: Segments in a shard, and occurrences of one anchor beyond which its segments are dealt to several groups.
@@ -87,12 +87,11 @@ _DOCS = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()
 
 
 def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     def rows():
         for batch in batches:
             for doc_id, k1, k2, text in zip(*_bytes(batch, 3), strict=True):
                 words = text.as_py().split()
-                yield (doc_id.as_py(), k1.as_py(), k2.as_py(), len(words), _sha(words), *anchored(hashes.of(words)))
+                yield (doc_id.as_py(), k1.as_py(), k2.as_py(), len(words), _sha(words), *anchored(word_hashes(words)))
     with np.errstate(over="ignore"):
         yield from _flushed(rows(), _DOCS, 500)
 
@@ -108,7 +107,6 @@ def _window_hashes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _name_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per segment of (k1, k2, text, rows, anchors, occurs, ats, windows). Its name is made of the hashes of its
     first and last windows, which together hold all its words, and their distance."""
-    hashes = WordHashes()
     with np.errstate(over="ignore"):
         for batch in batches:
             for a, b in slices(batch.num_rows, 200):
@@ -117,7 +115,7 @@ def _name_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     at, marked = (np.array(x.as_py(), dtype=np.int64) for x in (ats, windows))
                     n = marked % TWICE
                     names = [mixed(w[at] * np.uint64(0x9E3779B97F4A7C15) + mixed(w[at + n - 1] + n.astype(np.uint64))).view(np.int64)
-                             for w in _window_hashes(hashes.of(text.as_py().split()))]
+                             for w in _window_hashes(word_hashes(text.as_py().split()))]
                     fixed = [np.full(len(at), x.as_py(), dtype=np.int64) for x in (k1, k2, rows)]
                     for column, values in zip(columns, (*names, np.array(anchors.as_py()), np.array(occurs.as_py()), fixed[0], fixed[1], at, marked, fixed[2]), strict=True):
                         column.append(values)
@@ -129,13 +127,12 @@ _WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("s1", pa.int64())
 
 def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Both hashes of every window of the segments listed with each text."""
-    hashes = WordHashes()
     with np.errstate(over="ignore"):
         for batch in batches:
             for a, b in slices(batch.num_rows, 100):
                 columns: list[list[np.ndarray]] = [[] for _ in _WINDOWS]
                 for text, segments in zip(*(c.slice(a, b - a) for c in _bytes(batch, 0)), strict=True):
-                    w1, w2 = _window_hashes(hashes.of(text.as_py().split()))
+                    w1, w2 = _window_hashes(word_hashes(text.as_py().split()))
                     s1, s2, at, n, times = (np.array(x, dtype=np.int64) for x in zip(
                         *((s["s1"], s["s2"], s["at"], s["windows"] % TWICE, s["times"]) for s in segments.as_py()), strict=True))
                     offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)

@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import pytest
+import xxhash
 
-from airshed.llm import jaccard, linking, minhash
+from airshed.llm import hashing, jaccard, linking, minhash
 from airshed.llm.common import scratch_tables
 from airshed.llm.linking import Rule
 from tests.llm.fixtures import corpus, documents, words
@@ -139,3 +140,9 @@ def test_components_whatever_buckets_are_small(spark, monkeypatch, small):
     rows = _near_copies(5, 12, 4) + [(100 + i, t) for i, t in _near_copies(6, 9, 14)]
     got = jaccard.near_duplicates(documents(spark, rows), RULE).collect()
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == _components(rows, RULE)
+
+
+def test_word_hashes_hold_no_words():
+    held = [b"a", b"", "\u00fc".encode(), b"a", b"x" * 5000]
+    assert hashing.word_hashes(held).tolist() == [xxhash.xxh3_64_intdigest(w) for w in held]
+    assert hashing.word_hashes([]).dtype == np.uint64 and not any(isinstance(x, dict) for n, x in vars(hashing).items() if n[:2] != "__")
