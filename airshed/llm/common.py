@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -53,11 +54,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     above it, and what is numbered or sampled in it keeps its value however
     often it is read. The shuffle files of the finished write are of no further use;
     Spark removes them once the driver has collected its garbage, which is asked for here, so that
-    an operator of many steps holds the shuffle of one step at a time.
+    an operator of many steps holds the shuffle of one step at a time. The listeners hold the last event, the
+    write's end with its plan and shuffles, until a next one comes: that of a job without tasks, for which they get a moment.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jsc.emptyRDD().count()
+    time.sleep(0.1)
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path

@@ -8,7 +8,7 @@ d + 1 + x blocks at least x + 1 are equal: documents are joined on equal blocks
 
 Documents with equal sets form a class first. In a bucket of equal blocks each class is compared with a few
 centres (in a small one all with all), first by the Hamming distance of their parity bits, then on the whole sets; the links give components, and what lies
-in several components of one bucket is searched against an index of whole sets (``linking``).
+in several components of one bucket, and is close enough by its parity bits to a class of another one, is searched against an index of whole sets (``linking``).
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airshed.llm import linking
@@ -32,6 +32,10 @@ from airshed.llm.linking import Rule, shingle_set
 KEY_BITS = 48
 #: Parity bits of a block.
 PARITY_BITS = 16
+#: Parts of the keys that are dealt into buckets one after another: on disk lies the shuffle of one of them at a time.
+KEY_PARTS = 4
+#: Bytes of parity bits of a tile, pairs that are compared at once, and words of parity bits that are compared first.
+TILE_BYTES, TILE_PAIRS, HEAD_WORDS = 1 << 23, 1 << 15, 24
 
 
 @lru_cache(maxsize=4)
@@ -132,7 +136,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-_KEYED = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("home", pa.list_(pa.int64())), ("next", pa.list_(pa.int64())),
+_KEYED = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("band", pa.int64()), ("home", pa.list_(pa.int64())), ("next", pa.list_(pa.int64())),
                     ("home_bits", pa.binary()), ("next_bits", pa.binary())])
 
 
@@ -147,7 +151,7 @@ def _keyed(rule: Rule):
                         s = shingle_set(text.as_py(), rule.words)
                         band = _band(rule, len(s))
                         reaches = _reaches_next(rule, len(s), band)
-                        rows.append((c.as_py(), len(s), _keys(s, rule, band), _keys(s, rule, band + 1) if reaches else [],
+                        rows.append((c.as_py(), len(s), band, _keys(s, rule, band), _keys(s, rule, band + 1) if reaches else [],
                                      _parity(s, rule, band), _parity(s, rule, band + 1) if reaches else b""))
                     yield _batch(rows, _KEYED)
     return keyed
@@ -179,6 +183,98 @@ def _near_pairs(starred: DataFrame, parity: DataFrame, rule: Rule) -> DataFrame:
     return starred.select("u", "v", "n_u", "n_v", "bits_u", "bits_v").mapInArrow(_within(rule), "u long, v long").distinct()
 
 
+class _Tile:
+    """Some rows (c, component, n, bits) of a cluster; their parity bits are of one length."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        self.c, self.component, self.n = (rows.column(name).to_numpy() for name in ("c", "component", "n"))
+        bits = b"".join(rows.column("bits").to_pylist())
+        self.words = np.ascontiguousarray(np.frombuffer(bits, np.uint64).reshape(len(self.c), len(bits) // 8 // max(1, len(self.c))).T)
+
+    def close(self, other: _Tile, rule: Rule) -> np.ndarray:
+        """The c of both that have one of another component in the other tile, of a size and parity bits that allow a link."""
+        near_own, near_other = np.zeros(len(self.c), dtype=bool), np.zeros(len(other.c), dtype=bool)
+        head = max(HEAD_WORDS, -(-len(self.words) // 5))  # of the words; they tell most pairs
+        step = max(1, TILE_PAIRS // max(1, len(other.c)))
+        for at in range(0, len(self.c), step):
+            # in a tile itself each pair once
+            own, met = slice(at, at + step), slice(at if other is self else 0, None)
+            n_u, n_v = self.n[own, None], other.n[None, met]
+            far, most = _ones(self.words[:head, own, None], other.words[:head, None, met]), rule.difference(n_u + n_v)
+            near = (far <= most) & (rule.den * np.minimum(n_u, n_v) >= rule.num * np.maximum(n_u, n_v))
+            u, v = np.nonzero(near & (self.component[own, None] != other.component[None, met]))
+            for part in range(0, len(u), TILE_PAIRS):
+                i, j = u[part:part + TILE_PAIRS], v[part:part + TILE_PAIRS]
+                near = far[i, j] + _ones(self.words[head:, at + i], other.words[head:, met.start + j]) <= most[i, j]
+                near_own[at + i[near]] = True
+                near_other[met.start + j[near]] = True
+        return np.unique(np.concatenate([self.c[near_own], other.c[near_other]]))
+
+
+def _ones(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The bits in which arrays of words differ, added up over their first axis."""
+    out = np.zeros(np.broadcast_shapes(a.shape, b.shape)[1:], dtype=np.int32)
+    for x, y in zip(a, b, strict=True):
+        out += np.bitwise_count(x ^ y)
+    return out
+
+
+def _closing(rule: Rule):
+    """(cluster, band, a, b, side, c, component, n, bits) sorted by the first four -> c of the classes close to one of the other side of their group,
+    which is two tiles a and b of a cluster's band; a tile with itself has one side."""
+    def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        side = rows.column("side").to_numpy()
+        one, other = (_Tile(rows.filter(pa.array(side == s))) for s in (0, 1))
+        same = rows.column("a")[0] == rows.column("b")[0]
+        c = one.close(one if same else other, rule) if same or len(one.c) and len(other.c) else []
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64())], names=["c"])
+
+    def closing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            group = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            edges = np.flatnonzero((np.diff(group) != 0).any(axis=0)) + 1
+            for x, y in zip([0, *edges], [*edges, len(batch)], strict=True):
+                if x == y:
+                    continue
+                if (own := tuple(group[:, x].tolist())) != now:
+                    if held:
+                        yield found(held)
+                    now, held = own, []
+                held.append(batch.slice(x, y - x))
+        if held:
+            yield found(held)
+    return closing
+
+
+def _close(rows: DataFrame, parity: DataFrame, rule: Rule) -> DataFrame:
+    """The classes c of ``rows`` (cluster, c, component) that have, in their cluster, one of another component from which
+    their sizes and parity bits are not too far for a link. Parity bits are a thirteenth of a set or so; they are compared in tiles of bounded size."""
+    own = rows.select("cluster", "c", "component").join(parity, "c")
+    own = own.select("cluster", "c", "component", "n", F.explode(F.array(*[
+        F.struct((F.col("band") + i).alias("band"), F.col(bits).alias("bits")) for i, bits in enumerate(("home_bits", "next_bits"))])).alias("of")).select(
+        "cluster", "c", "component", "n", "of.*").filter(F.octet_length("bits") > 0)
+    sizes = own.groupBy("cluster", "band").agg((F.floor(F.sum(F.octet_length("bits")) / TILE_BYTES) + 1).alias("tiles"))
+    own = own.join(sizes, ["cluster", "band"]).withColumn("own", F.pmod(F.xxhash64("c"), F.col("tiles")))
+    own = own.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    own = own.select("cluster", "band", F.least("own", "met").alias("a"), F.greatest("own", "met").alias("b"), (F.col("own") > F.col("met")).cast("long").alias("side"),
+                     "c", "component", "n", "bits")
+    return own.repartition("cluster", "band", "a", "b").sortWithinPartitions("cluster", "band", "a", "b").mapInArrow(_closing(rule), "c long").distinct()
+
+
+def _bucketed(keyed: DataFrame, part: int) -> DataFrame:
+    """key, c, next (whether the block is for the next band) and size of the buckets of several, of one part of the keys."""
+    # c and whether the block is for the next band, in one number
+    rows = keyed.select((F.col("c") * 2).alias("entry"), F.explode("home").alias("key")).unionByName(
+        keyed.select((F.col("c") * 2 + 1).alias("entry"), F.explode("next").alias("key"))).filter(F.pmod("key", F.lit(KEY_PARTS)) == part)
+    shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "jaccard-keys")
+    out = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"), "size"),
+                  "jaccard-bucketed")
+    forget(shared)
+    return out
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, text_digest, n_shingles, component_id and ``first`` of every row of ``docs`` (doc_id, text).
 
@@ -197,36 +293,37 @@ def _near_duplicates(docs: DataFrame, rule: Rule) -> DataFrame:
                       .withColumn("c", F.monotonically_increasing_id()), "jaccard-classes")
     # one text of each class; copies of a text are one before the shuffle
     body = d.groupBy("text_digest").agg(F.first("text").alias("text")).join(classes.select("c", "text_digest"), "text_digest").select("c", "text")
-    keyed = written(body.mapInArrow(_keyed(rule), "c long, n long, home array<long>, next array<long>, home_bits binary, next_bits binary"), "jaccard-keyed")
+    keyed = written(body.mapInArrow(_keyed(rule), "c long, n long, band long, home array<long>, next array<long>, home_bits binary, next_bits binary"), "jaccard-keyed")
 
-    # c and whether the block is for the next band, in one number
-    rows = keyed.select((F.col("c") * 2).alias("entry"), F.explode("home").alias("key")).unionByName(
-        keyed.select((F.col("c") * 2 + 1).alias("entry"), F.explode("next").alias("key")))
-    shared = written(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "jaccard-keys")
-    buckets = written(rows.join(shared, "key").select("key", F.expr("entry div 2").alias("c"), (F.col("entry") % 2 == 1).alias("next"), "size"),
-                      "jaccard-buckets")
-    parity = written(keyed.select("c", "n", "home_bits", "next_bits").join(buckets.select("c").distinct(), "c", "left_semi"), "jaccard-parity")
-    forget(keyed)
+    parts = [_bucketed(keyed, part) for part in range(KEY_PARTS)]
+    buckets = written(reduce(DataFrame.unionByName, parts), "jaccard-buckets")
+    parity = written(keyed.select("c", "n", "band", "home_bits", "next_bits").join(buckets.select("c").distinct(), "c", "left_semi"), "jaccard-parity")
+    for done in (keyed, *parts):
+        forget(done)
     centred = written(linking.centres(buckets, ["c", "next"]), "jaccard-centres")
     starred = written(linking.star_pairs(buckets, centred, ["c", "next"]), "jaccard-pairs")
 
     # pairs whose parity bits are too far apart are no links; whole sets are made only of the others and of what may be searched
     near = written(_near_pairs(starred, parity, rule), "jaccard-near")
+    forget(starred)
     sets = written(body.join(linking.compared(linking.larger(buckets), centred, near), "c", "left_semi").mapInArrow(
         linking.whole_sets(rule), "c long, n long, shingles array<long>"), "jaccard-sets")
     verdicts = written(linking.verify(near, sets, rule), "jaccard-verdicts")
-    member = linking.members(linking.larger(buckets), centred, verdicts.filter("linked").select("u", "v"), sets, rule)
+    member = linking.members(linking.larger(buckets), centred, verdicts.filter("linked").select("u", "v"), sets, rule,
+                             lambda rows: _close(rows, parity, rule))
     return linking.labelled(documents, classes, member)
 
 
 def first_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row of ``docs`` (doc_id, text and any further columns, kept as they are) for each component.
     Rows that share their doc_id and text are one document; documents without words all stay."""
-    first = near_duplicates(docs, rule).filter("first").select("doc_id", "text_digest").distinct()
-    d = docs.select(F.struct("*").alias("row"), docs["doc_id"].cast("long").alias("id"),
-                    F.unhex(F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"), 256)).alias("digest"))
-    return (d.join(first, d["id"].eqNullSafe(first["doc_id"]) & (d["digest"] == first["text_digest"]), "left_semi")
-            .dropDuplicates(["id", "digest"]).select("row.*"))
+    def row_key(doc_id: Column, digest: Column) -> Column:
+        return F.concat(digest, F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    first = near_duplicates(docs, rule).filter("first").select(row_key(F.col("doc_id"), F.col("text_digest")).alias("key")).distinct()
+    digest = F.unhex(F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"), 256))
+    # one key without nulls: the rows are shuffled once, for both the copies and the join (an inner one, which is not pushed below the copies)
+    d = docs.select(F.struct("*").alias("row"), row_key(docs["doc_id"].cast("long"), digest).alias("key"))
+    return d.dropDuplicates(["key"]).join(first, "key").select("row.*")
 
 
 def op8_parity_sketch(spark, sf_dir: str) -> DataFrame:

@@ -103,23 +103,26 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             .select("u", "v", (rule.den * F.col("common") >= rule.num * (F.col("n_u") + F.col("n_v") - F.col("common"))).alias("linked")))
 
 
-def members(buckets: DataFrame, centred: DataFrame, linked: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def members(buckets: DataFrame, centred: DataFrame, linked: DataFrame, sets: DataFrame, rule: Rule, close=None) -> DataFrame:
     """node and component of the classes in components of several, given the links (u, v) among the pairs with a centre. Of ``buckets``, those
-    that are all centres may be left out."""
+    that are all centres may be left out. ``close``: see ``_search``."""
     first = components(linked)
-    found = written(_search(buckets, centred, first, sets, rule), "linking-found")
+    found = written(_search(buckets, centred, first, sets, rule, close), "linking-found")
     return first if found.isEmpty() else components(linked.unionByName(found))
 
 
-def _search(buckets: DataFrame, centred: DataFrame, member: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def _search(buckets: DataFrame, centred: DataFrame, member: DataFrame, sets: DataFrame, rule: Rule, close=None) -> DataFrame:
     """Links (u, v) between classes of one bucket that lie in different components: enough to join these, fewer than there are classes.
-    Pairs with a centre are known, so only the other members of a bucket are looked at."""
+    Pairs with a centre are known, so only the other members of a bucket are looked at. The whole sets of a cluster are copied for each of its blocks;
+    given ``close``, only the classes c take part that it returns of rows (cluster, c, component): it leaves out what links with no class of another component."""
     rest = _others(buckets, centred).join(member.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     unsettled = rest.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
     open_ = written(rest.join(unsettled.select("key", "least"), "key").select("c", "component", "least").distinct(), "linking-open")
     clusters = components(open_.select(F.col("least").alias("u"), F.col("component").alias("v")).distinct())
     clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
     rows = open_.select("c", "component").distinct().join(clusters, "component", "left").withColumn("cluster", F.coalesce("cluster", "component"))
+    if close:
+        rows = rows.join(written(close(rows), "linking-close"), "c", "left_semi")
     rows = rows.join(sets.select("c", "n"), "c")
     of = rows.groupBy("cluster", "component").agg(F.count("*").alias("classes"))
     of = of.groupBy("cluster").agg(F.max_by("component", F.struct("classes", "component")).alias("main"))
